@@ -66,31 +66,41 @@ def closed_cases(
     ).withColumn("case_age", F.datediff(as_of, "_created")).drop("_created")
 
 
-def newest_per_product(cases: DataFrame, n: int) -> DataFrame:
+def newest_per_product(cases: DataFrame, n: int, window_limit: int = WINDOW_LIMIT) -> DataFrame:
     """The n newest cases of each product; ties by case id.
 
     A small n is a rank filter, which Spark applies before the shuffle too. For a large n the
-    cases are counted per product and day first: whole days are kept by their running count,
-    and only the day the limit falls into is ranked, so no task sorts a whole product.
+    cases are counted per product and day, and those of the day the limit falls into per second,
+    to find the moment of the last case to keep. Only cases of that second are ranked, in salted
+    groups first. So no task sorts a whole product.
     """
-    newest = [F.col("created_ts").desc(), F.col("case_id").asc()]
-    if n <= WINDOW_LIMIT:
-        rank = F.row_number().over(Window.partitionBy("product_id").orderBy(*newest))
-        return cases.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
-    day = F.to_date("created_ts")
-    dated = cases.withColumn("_day", F.coalesce(day, F.lit("0001-01-01").cast("date")))
-    per_day = dated.groupBy("product_id", "_day").agg(F.count("*").alias("_count"))
-    later_days = (Window.partitionBy("product_id").orderBy(F.col("_day").desc())
-                  .rowsBetween(Window.unboundedPreceding, -1))
-    reach = (per_day.withColumn("_before", F.coalesce(F.sum("_count").over(later_days), F.lit(0)))
-             .filter(F.col("_before") < n)
-             .withColumn("_whole", F.col("_before") + F.col("_count") <= n))
-    within = dated.join(reach, ["product_id", "_day"])
-    whole = within.filter("_whole")
-    rank = F.row_number().over(Window.partitionBy("product_id", "_day").orderBy(*newest))
-    cut = (within.filter("NOT _whole").withColumn("_rank", rank)
-           .filter(F.col("_rank") <= F.lit(n) - F.col("_before")).drop("_rank"))
-    return whole.unionByName(cut).drop("_day", "_count", "_before", "_whole")
+    if n <= window_limit:
+        newest = Window.partitionBy("product_id").orderBy(F.col("created_ts").desc(), F.col("case_id").asc())
+        return cases.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
+    early = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    moment = F.coalesce(F.date_trunc("second", "created_ts").cast("timestamp_ntz"), early)
+    times = cases.select("product_id", moment.alias("_moment"), F.lit(n).cast("long").alias("_room"))
+
+    def reached(rows: DataFrame, slot: str) -> DataFrame:
+        """The slot of each product that holds the last case to keep, and the room left in it."""
+        later = (Window.partitionBy("product_id").orderBy(F.col(slot).desc())
+                 .rowsBetween(Window.unboundedPreceding, -1))
+        return (rows.groupBy("product_id", slot).agg(F.count("*").alias("_count"), F.max("_room").alias("_room"))
+                .withColumn("_left", F.col("_room") - F.coalesce(F.sum("_count").over(later), F.lit(0)))
+                .filter((F.col("_left") > 0) & (F.col("_left") <= F.col("_count")))
+                .select("product_id", slot, F.col("_left").alias("_room")))
+
+    dated = times.withColumn("_day", F.to_date("_moment"))
+    in_day = dated.drop("_room").join(reached(dated, "_day"), ["product_id", "_day"])
+    edge = reached(in_day, "_moment").select("product_id", F.col("_moment").alias("_edge"), "_room")
+    placed = cases.withColumn("_moment", moment).join(edge, "product_id", "left")
+    kept = placed.filter(F.col("_edge").isNull() | (F.col("_moment") > F.col("_edge"))).select(*cases.columns)
+    tied = placed.filter(F.col("_moment") == F.col("_edge"))
+    salt = F.pmod(F.xxhash64("case_id"), F.lit(64))
+    for keys in (["product_id", salt], ["product_id"]):
+        order = Window.partitionBy(*keys).orderBy(F.col("created_ts").desc(), "case_id")
+        tied = tied.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= F.col("_room"))
+    return kept.unionByName(tied.select(*cases.columns))
 
 
 def in_request_order(cases: DataFrame) -> DataFrame:

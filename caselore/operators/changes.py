@@ -11,22 +11,29 @@ from caselore.functions.vocabulary import MAX_INCREMENTS, MAX_INDEX_AGE_DAYS
 KEY = ["product_id", "case_id", "part_no"]
 
 
-def with_hash(documents: DataFrame) -> DataFrame:
-    return documents.withColumn("content_hash", content_hash(F.col("content")))
+def without_age(content: Column) -> Column:
+    """A document without the two lines of its head that change every day."""
+    return F.regexp_replace(content, r"(?m)\A((?:.*\n){5}.*)\nResolution Time: -?\d+ days(\n.*)\nCase Age: -?\d+ days$", "$1$2")
+
+
+def with_hash(documents: DataFrame, stable: bool = False) -> DataFrame:
+    """stable leaves the age of the case out of the hash."""
+    text = F.col("content")
+    return documents.withColumn("content_hash", content_hash(without_age(text) if stable else text))
 
 
 def _case_hash(parts: DataFrame, name: str) -> DataFrame:
     """One hash per case; the hash of the joined part hashes where a document has several."""
-    ordered = F.array_sort(F.collect_list(F.struct("part_no", "content_hash")))
+    ordered = F.sort_array(F.collect_list(F.struct("part_no", "content_hash")))
     joined = F.array_join(F.transform("parts", lambda p: p["content_hash"]), "")
     whole = F.when(F.size("parts") == 1, joined).otherwise(content_hash(joined))
     return (parts.groupBy("product_id", "case_id").agg(ordered.alias("parts"))
             .select("product_id", "case_id", whole.alias(name)))
 
 
-def classify_changes(documents: DataFrame, corpus: DataFrame) -> DataFrame:
+def classify_changes(documents: DataFrame, corpus: DataFrame, stable: bool = False) -> DataFrame:
     """New, Updated or Unchanged per case. Only ids and hashes are shuffled, never the texts."""
-    current = _case_hash(with_hash(documents).select(*KEY, "content_hash"), "current_hash")
+    current = _case_hash(with_hash(documents, stable).select(*KEY, "content_hash"), "current_hash")
     stored = _case_hash(corpus.select(*KEY, "content_hash"), "stored_hash")
     joined = current.join(stored, ["product_id", "case_id"], "left")
     known = F.col("stored_hash").isNotNull()

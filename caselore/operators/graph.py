@@ -21,20 +21,27 @@ def chunks(documents: DataFrame, size: int = V.CHUNK_SIZE, overlap: int = V.CHUN
     starts = F.sequence(F.lit(0), F.greatest(n - overlap - 1, F.lit(0)), F.lit(step))
     pieces = F.transform(starts, lambda s: F.slice(F.col("tokens"), s + 1, F.lit(size)))
     cut = F.transform(pieces, lambda p: F.struct(F.size(p).alias("n_tokens"), F.array_join(p, " ").alias("text")))
-    return (documents.select("doc_id", trimmed.alias("text")).filter(F.col("text") != "")
-            .select("doc_id", F.split("text", r"\s+").alias("tokens"))
+    return (documents.filter(F.col("text").rlike(r"\S"))
+            .select("doc_id", F.split(trimmed, r"\s+").alias("tokens"))
             .select("doc_id", F.posexplode(cut).alias("chunk_no", "c"))
             .select("doc_id", "chunk_no", "c.n_tokens", "c.text"))
 
 
+def chunk_count(documents: DataFrame, size: int = V.CHUNK_SIZE, overlap: int = V.CHUNK_OVERLAP) -> DataFrame:
+    """One row n: how many chunks the documents give, without cutting them."""
+    trimmed = F.regexp_replace("text", r"^\s+|\s+$", "")
+    tokens = F.size(F.split(trimmed, r"\s+"))
+    n = F.greatest(F.ceil((tokens - overlap) / (size - overlap)), F.lit(1))
+    return documents.filter(F.col("text").rlike(r"\S")).agg(F.coalesce(F.sum(n), F.lit(0)).alias("n"))
+
+
 def parse_records(texts: DataFrame) -> DataFrame:
     """Rows of record texts (analysis_id, doc_id, records): kind is entity, relationship or malformed."""
+    # cut and split inside the generator: a filter on its output cannot repeat the splitting
     body = F.substring_index("records", V.END_MARK, 1)
-    record = F.trim(F.col("record"))
-    inner = F.regexp_replace(record, r"^\(|\)$", "")
-    parts = (texts.select("analysis_id", "doc_id", F.explode(F.split(body, re.escape(V.RECORD_DELIMITER), -1)).alias("record"))
-             .filter(record != "")
-             .select("analysis_id", "doc_id", F.split(inner, re.escape(V.TUPLE_DELIMITER), -1).alias("p")))
+    records = F.filter(F.transform(F.split(body, re.escape(V.RECORD_DELIMITER), -1), F.trim), lambda r: r != "")
+    fields = F.transform(records, lambda r: F.split(F.regexp_replace(r, r"^\(|\)$", ""), re.escape(V.TUPLE_DELIMITER), -1))
+    parts = texts.select("analysis_id", "doc_id", F.explode(fields).alias("p"))
     tag, n = F.trim(F.get("p", 0)), F.size("p")
     strength = F.trim(F.get("p", 4)).try_cast("double")
     is_entity = (tag == '"entity"') & (n == 4)
@@ -85,35 +92,38 @@ def _relation_map(index: int, kind: str) -> Column:
     return F.create_map(*entries)
 
 
-def _end(side: str) -> Column:
-    return F.struct(F.lit(side).alias("side"), F.col(side).alias("end"), F.col(f"{side}_type").alias("end_type"))
+def vocabulary_violations(parsed: DataFrame) -> DataFrame:
+    """One row per violation (analysis_id, doc_id, violation, subject) in parsed records.
 
-
-def vocabulary_violations(entities: DataFrame, relations: DataFrame) -> DataFrame:
-    """One row per violation (analysis_id, doc_id, violation, subject).
-
-    Types and strength ranges are literal maps in the expression. An end point is in order if
-    the graph holds an entity of that name and the expected type.
+    Types and strength ranges are literal maps in the expression, so one pass finds what can
+    be wrong with each record. An end point is in order if the graph holds an entity of that
+    name and the expected type: those candidates carry it as a key and are anti-joined; the
+    others have no key and stay.
     """
-    unknown_type = entities.filter(~F.col("type").isin(*V.ENTITY_TYPES)).select(
-        "analysis_id", "doc_id", F.lit("entity type").alias("violation"), F.col("name").alias("subject"))
-    kind = F.col("type")
-    edge = F.concat_ws(" -> ", "source", "target")
-    checked = relations.select(
-        "analysis_id", "doc_id", "source", "target", "type", "strength", edge.alias("subject"),
-        _relation_map(1, "string")[kind].alias("source_type"), _relation_map(2, "string")[kind].alias("target_type"),
-        _relation_map(3, "double")[kind].alias("low"), _relation_map(4, "double")[kind].alias("high"))
-    out_of_range = (F.col("strength") < F.col("low")) | (F.col("strength") > F.col("high"))
-    local = checked.select("analysis_id", "doc_id", "subject", F.explode(F.array_compact(F.array(
-        F.when(kind.isNull(), F.lit("relation type")),
-        F.when(F.coalesce(out_of_range, F.lit(False)), F.lit("strength"))))).alias("violation"))
-    known = entities.select("analysis_id", F.col("name").alias("end"), F.col("type").alias("end_type")).distinct()
-    ends = checked.select("analysis_id", "doc_id", "subject", F.explode(F.array(
-        _end("source"), _end("target"))).alias("e"))
-    ends = (ends.select("analysis_id", "doc_id", "subject", "e.*").filter(F.col("end_type").isNotNull())
+    def candidate(found: Column, violation: str, subject: Column, end: Column, end_type: Column) -> Column:
+        return F.when(found, F.struct(F.lit(violation).alias("violation"), subject.alias("subject"),
+                                      end.alias("end"), end_type.alias("end_type")))
+
+    is_relation, is_entity = F.col("kind") == "relationship", F.col("kind") == "entity"
+    source, target, kind = F.col("source"), F.col("target"), F.col("type")
+    rows = parsed.filter(is_relation | is_entity).select(
+        "analysis_id", "doc_id", "kind", "strength", _name(1).alias("source"), _name(2).alias("target"),
+        F.when(is_relation, relation_type(F.trim(F.get("p", 3)))).otherwise(F.trim(F.get("p", 2))).alias("type"))
+    # what the vocabulary says of the type is looked up once, before it is used several times
+    said = rows.withColumns({name: F.when(is_relation, _relation_map(i, t)[kind]) for name, i, t in (
+        ("source_type", 1, "string"), ("target_type", 2, "string"), ("low", 3, "double"), ("high", 4, "double"))})
+    none, edge, strength = F.lit(None).cast("string"), F.concat_ws(" -> ", "source", "target"), F.col("strength")
+    candidates = F.array_compact(F.array(
+        candidate(is_entity & ~kind.isin(*V.ENTITY_TYPES), "entity type", source, none, none),
+        candidate(is_relation & kind.isNull(), "relation type", edge, none, none),
+        candidate((strength < F.col("low")) | (strength > F.col("high")), "strength", edge, none, none),
+        candidate(F.col("source_type").isNotNull(), "source type", edge, source, F.col("source_type")),
+        candidate(F.col("target_type").isNotNull(), "target type", edge, target, F.col("target_type"))))
+    known = parsed.filter(is_entity).select(
+        "analysis_id", _name(1).alias("end"), F.trim(F.get("p", 2)).alias("end_type")).distinct()
+    return (said.select("analysis_id", "doc_id", F.explode(candidates).alias("c")).select("analysis_id", "doc_id", "c.*")
             .join(known, ["analysis_id", "end", "end_type"], "left_anti")
-            .select("analysis_id", "doc_id", "subject", F.concat("side", F.lit(" type")).alias("violation")))
-    return unknown_type.unionByName(local).unionByName(ends)
+            .select("analysis_id", "doc_id", "violation", "subject"))
 
 
 def words(text: Column) -> Column:
@@ -122,12 +132,11 @@ def words(text: Column) -> Column:
 
 def mentions(chunked: DataFrame, lexicon: DataFrame, max_words: int = 3) -> DataFrame:
     """(doc_id, chunk_no, term, type, n) for lexicon terms of up to max_words words."""
-    def grams(n: int) -> Column:
-        last = F.size("words") - (n - 1)
-        return F.when(last >= 1, F.transform(
-            F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice("words", i, F.lit(n)), " ")))
-
-    runs = [F.col("words")] + [F.coalesce(grams(n), F.array().cast("array<string>")) for n in range(2, max_words + 1)]
+    runs = [F.col("words")]
+    for n in range(2, max_words + 1):
+        # each run joins the one before with the word that follows; past the end it is null
+        following = F.slice("words", F.lit(n), F.size("words"))
+        runs.append(F.zip_with(runs[-1], following, lambda run, word: F.concat(run, F.lit(" "), word)))
     return (chunked.select("doc_id", "chunk_no", words(F.col("text")).alias("words"))
             .select("doc_id", "chunk_no", F.explode(F.concat(*runs)).alias("term"))
             .join(lexicon, "term").groupBy("doc_id", "chunk_no", "term", "type").agg(F.count("*").alias("n")))

@@ -73,7 +73,9 @@ def control_gaps(relations: DataFrame) -> DataFrame:
 
 
 def risk_score(failure_modes: DataFrame, analyses: DataFrame) -> DataFrame:
-    scored = failure_modes.groupBy(A).agg(F.round(F.avg("rpn") / 10, 2).alias("risk_score"))
+    # decimal, so that halves round up whatever their binary form is
+    mean = F.sum("rpn").cast("decimal(20,0)") / F.count("*")
+    scored = failure_modes.groupBy(A).agg(F.round(mean / 10, 2).cast("double").alias("risk_score"))
     return analyses.select(A).distinct().join(scored, A, "left").select(A, F.coalesce("risk_score", F.lit(0.0)).alias("risk_score"))
 
 

@@ -183,7 +183,7 @@ def _listed(rows: DataFrame, name: str, *fields: str) -> DataFrame:
     """
     item = F.struct(*[F.col(f) for f in fields])
     order = F.struct(*[F.col(k) for k in (ARRIVAL if "query_no" in rows.columns else ["seq"])])
-    gathered = F.array_sort(F.collect_list(F.struct(order.alias("o"), item.alias("i"))))
+    gathered = F.sort_array(F.collect_list(F.struct(order.alias("o"), item.alias("i"))))
     return rows.groupBy(A).agg(F.transform(gathered, lambda x: x["i"]).alias(name))
 
 
@@ -219,7 +219,7 @@ def metrics_record(summary: DataFrame, metrics: DataFrame, risk_scores: DataFram
 def callback_summary(summary: DataFrame, gaps: DataFrame, risks: DataFrame) -> DataFrame:
     """Status row per analysis with the first five gap titles and failure modes."""
     def top(rows: DataFrame, field: str, name: str) -> DataFrame:
-        ordered = F.array_sort(F.collect_list(F.struct("place", field)))
+        ordered = F.sort_array(F.collect_list(F.struct("place", field)))
         return first_k(rows, 5).groupBy(A).agg(F.transform(ordered, lambda x: x[field]).alias(name))
 
     empty = F.array().cast("array<string>")

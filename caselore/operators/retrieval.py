@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -49,40 +49,107 @@ def top_k_similar(vectors: DataFrame, queries: DataFrame, k: int = 5, skip_self:
 
     vectors: (vec_id, vector); queries: (query_id, vector). The vectors stay where they are:
     each Arrow batch is scored against the queries by one matrix product and keeps its k best
-    per query, so the shuffle carries no other rows. The query side is counted first; more
-    than max_queries are searched in several passes.
+    per query, so the shuffle carries no other rows. At most max_queries are fetched at once;
+    if there are more, they are searched in several passes.
     """
-    count = queries.count()
-    passes = max(1, -(-count // max_queries))
-    found = []
-    for i in range(passes):
-        part = queries if passes == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == i)
-        rows = part.select("query_id", "vector").collect()
-        if rows:
-            matrix = np.array([r["vector"] for r in rows], dtype=np.float64)
-            found.append(_search(vectors, [r["query_id"] for r in rows], matrix, k, skip_self))
-    if not found:
-        return queries.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    def search(part: DataFrame, limit: int | None) -> DataFrame | None:
+        rows = (part if limit is None else part.limit(limit + 1)).select("query_id", "vector").collect()
+        if limit is not None and len(rows) > limit:
+            return None
+        matrix = np.array([r["vector"] for r in rows], dtype=np.float64)
+        return _search(vectors, [r["query_id"] for r in rows], matrix, k, skip_self) if rows else vectors.sparkSession.createDataFrame(
+            [], "query_id long, vec_id long, score double")
+
+    whole = search(queries, max_queries)
+    if whole is not None:
+        found = [whole]
+    else:
+        passes = -(-2 * queries.count() // max_queries)
+        bucket = F.pmod(F.xxhash64("query_id"), F.lit(passes))
+        found = [search(queries.filter(bucket == i), None) for i in range(passes)]
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id")))
     return (reduce(DataFrame.unionByName, found).withColumn("rank", rank).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def rank_chunks(chunked: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:
+MAX_QUESTION_TERMS = 200_000  # (question, term) pairs sent to every task at once
+ROWS_AT_ONCE = 512
+
+
+def _weights(tokens: DataFrame, terms: DataFrame, total: Column) -> DataFrame:
+    """(term, idf) with idf = ln((N+1)/(df+1)) for the asked terms."""
+    seen = tokens.join(terms, "term", "left_semi").select("term", "doc_id", "chunk_no").distinct()
+    return seen.groupBy("term").agg(F.count("*").alias("df")).select(
+        "term", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
+
+
+def _scores_by_join(tokens: DataFrame, asked: DataFrame) -> DataFrame:
+    """All (question, chunk) scores by joins; for question sets of any size."""
+    tf = (tokens.join(asked.select("term").distinct(), "term", "left_semi")
+          .groupBy("term", "doc_id", "chunk_no").agg(F.count("*").alias("tf")))
+    return (tf.join(asked, "term").groupBy("question_id", "doc_id", "chunk_no")
+            .agg(F.round(F.sum(F.col("tf") * F.col("idf")), 6).alias("score")))
+
+
+def _scores_by_matrix(tokens: DataFrame, pairs: pd.DataFrame, k: int) -> DataFrame:
+    """The k best chunks per question of every Arrow batch, by one matrix product.
+
+    pairs: question_id, term, idf. A chunk becomes a row of term counts; the questions are the
+    columns of a weight matrix. Only batch winners leave the task.
+    """
+    spark = tokens.sparkSession
+    ids = np.sort(pairs["question_id"].unique())
+    terms = np.sort(pairs["term"].unique())
+    weights = np.zeros((len(terms), len(ids)))
+    weights[np.searchsorted(terms, pairs["term"]), np.searchsorted(ids, pairs["question_id"])] = pairs["idf"]
+    numbers = spark.createDataFrame(pd.DataFrame({"term": terms, "term_no": np.arange(len(terms))}))
+    # the numbers are at most max_pairs rows, as checked by the caller
+    counted = (tokens.join(F.broadcast(numbers), "term").groupBy("doc_id", "chunk_no")
+               .agg(F.collect_list("term_no").alias("terms")))
+    asks = weights > 0
+
+    def winners(docs: np.ndarray, chunks: np.ndarray, scores: np.ndarray, hit: np.ndarray) -> pd.DataFrame:
+        found = []
+        for j, question in enumerate(ids):
+            rows = np.flatnonzero(hit[:, j])
+            rows = rows[np.lexsort((chunks[rows], docs[rows], -scores[rows, j]))[:k]]
+            found.append(pd.DataFrame({"question_id": question, "doc_id": docs[rows], "chunk_no": chunks[rows],
+                                       "score": scores[rows, j]}))
+        return pd.concat(found)
+
+    def best_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            best = []
+            for at in range(0, len(pdf), ROWS_AT_ONCE):
+                part = pdf.iloc[at:at + ROWS_AT_ONCE]
+                lengths = part["terms"].map(len).to_numpy()
+                counts = np.zeros((len(part), len(terms)))
+                np.add.at(counts, (np.repeat(np.arange(len(part)), lengths), np.concatenate(part["terms"].to_numpy())), 1)
+                best.append(winners(part["doc_id"].to_numpy(), part["chunk_no"].to_numpy(),
+                                    np.round(counts @ weights, 6), (counts @ asks) > 0))
+            rows = pd.concat(best)
+            yield (rows.sort_values(["score", "doc_id", "chunk_no"], ascending=[False, True, True])
+                   .groupby("question_id", sort=False).head(k))
+
+    return counted.mapInPandas(best_of_batch, "question_id long, doc_id long, chunk_no int, score double")
+
+
+def rank_chunks(chunked: DataFrame, questions: DataFrame, total: Column, k: int = 5,
+                max_pairs: int = MAX_QUESTION_TERMS) -> DataFrame:
     """(question_id, rank, doc_id, chunk_no, score): best chunks by tf * ln((N+1)/(df+1)).
 
-    Tokens that no question asks for are dropped before anything is shuffled.
+    total is the number of chunks N. Tokens that no question asks for are dropped before
+    anything is shuffled. At most max_pairs (question, term) pairs are fetched and sent to the
+    tasks; a larger question set is scored by joins.
     """
-    asked = questions.select("question_id", F.explode(F.array_distinct(words(F.col("question")))).alias("term"))
-    terms = asked.select("term").distinct()
     tokens = chunked.select("doc_id", "chunk_no", F.explode(words(F.col("text"))).alias("term"))
-    tf = tokens.join(terms, "term", "left_semi").groupBy("term", "doc_id", "chunk_no").agg(F.count("*").alias("tf"))
-    total = chunked.agg(F.count("*")).scalar()
-    weight = tf.groupBy("term").agg(F.count("*").alias("df")).select(
-        "term", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
-    scored = (tf.join(asked.join(weight, "term"), "term")
-              .groupBy("question_id", "doc_id", "chunk_no")
-              .agg(F.round(F.sum(F.col("tf") * F.col("idf")), 6).alias("score")))
+    asked = questions.select("question_id", F.explode(F.array_distinct(words(F.col("question")))).alias("term"))
+    weighted = asked.join(_weights(tokens, asked.select("term").distinct(), total), "term")
+    pairs = weighted.limit(max_pairs + 1).toPandas()
+    if len(pairs) <= max_pairs:
+        scored = _scores_by_matrix(tokens, pairs, k)
+    else:
+        scored = _scores_by_join(tokens, weighted)
     rank = F.row_number().over(Window.partitionBy("question_id").orderBy(F.col("score").desc(), "doc_id", "chunk_no"))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select(
         "question_id", "rank", "doc_id", "chunk_no", "score")

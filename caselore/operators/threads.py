@@ -59,7 +59,7 @@ def long_threads(pieces: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
 
 
 def _gather(pieces: DataFrame, *keys: str) -> DataFrame:
-    ordered = F.array_sort(F.collect_list(F.struct("created_ts", "text")))
+    ordered = F.sort_array(F.collect_list(F.struct("created_ts", "text")))
     thread = F.array_join(F.transform(ordered, lambda p: p["text"]), THREAD_SEPARATOR)
     return pieces.groupBy(*keys).agg(thread.alias("thread")).select(*keys, "thread")
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselore.functions import text as X
+from caselore.functions import vocabulary as V
 from caselore.operators import answers as ans
 from caselore.operators import cases as cs
 from caselore.operators import changes as ch
@@ -19,7 +20,7 @@ from caselore.operators import reports as rep
 from caselore.operators import retrieval as ret
 from caselore.operators import selfhelp as sh
 from caselore.operators import threads as th
-from caselore.session import scratch_path
+from caselore.session import scratch_path, widen
 from caselore.sources import files as fs
 from caselore.sources import mapping as mp
 from caselore.streaming import ingest
@@ -104,7 +105,7 @@ def component_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def doc_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return gr.chunks(mp.table(spark, d, "documents").select("doc_id", "text"))
+    return gr.chunks(widen(mp.table(spark, d, "documents").select("doc_id", "text")))
 
 
 def parsed_records(spark: SparkSession, d: str) -> DataFrame:
@@ -127,6 +128,12 @@ def closed_cases_filtered(spark: SparkSession, d: str) -> DataFrame:
     return _case_columns(all_cases(spark, d, product_id="P1", max_age_days=1500))
 
 
+@query
+def cases_of_area(spark: SparkSession, d: str) -> DataFrame:
+    """Area path given with the other kind of slash."""
+    return _case_columns(all_cases(spark, d, sap_path="ASIA/NATION_17", max_age_days=-1))
+
+
 @query
 def newest_n_per_product(spark: SparkSession, d: str) -> DataFrame:
     return _case_columns(cs.newest_per_product(all_cases(spark, d), 10))
@@ -194,6 +201,12 @@ def content_hash(spark: SparkSession, d: str) -> DataFrame:
     return mp.table(spark, d, "documents").select("doc_id", X.content_hash(F.col("text")).alias("content_hash"))
 
 
+@query
+def stable_hash(spark: SparkSession, d: str) -> DataFrame:
+    """Hashes that do not change with the age of a case."""
+    return ch.with_hash(documents(spark, d), stable=True).select("product_id", "case_id", "part_no", "content_hash")
+
+
 @query
 def classify_changes(spark: SparkSession, d: str) -> DataFrame:
     return ch.classify_changes(*documents_and_corpus(spark, d))
@@ -454,8 +467,7 @@ def malformed_records(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def vocabulary_violations(spark: SparkSession, d: str) -> DataFrame:
-    parsed = parsed_records(spark, d)
-    return gr.vocabulary_violations(gr.record_entities(parsed), gr.record_relations(parsed))
+    return gr.vocabulary_violations(parsed_records(spark, d))
 
 
 def _mentions(spark: SparkSession, d: str) -> DataFrame:
@@ -543,9 +555,22 @@ def knn_cosine(spark: SparkSession, d: str) -> DataFrame:
     return ret.top_k_similar(_vectors(spark, d), centroids, 5)
 
 
+def _ranked(spark: SparkSession, d: str, questions: DataFrame) -> DataFrame:
+    total = gr.chunk_count(widen(mp.table(spark, d, "documents").select("doc_id", "text"))).scalar()
+    return ret.rank_chunks(doc_chunks(spark, d), questions, total)
+
+
 @query
 def question_ranking(spark: SparkSession, d: str) -> DataFrame:
-    return ret.rank_chunks(doc_chunks(spark, d), mp.questions(spark, d))
+    return _ranked(spark, d, mp.questions(spark, d))
+
+
+@query
+def fixed_question_ranking(spark: SparkSession, d: str) -> DataFrame:
+    """The questions asked of every corpus, ranked over all documents."""
+    texts = V.GAP_QUESTIONS + V.FMEA_QUESTIONS + V.FOLLOW_UP_QUESTIONS
+    asked = spark.createDataFrame(list(enumerate(texts, 1)), "question_id long, question string")
+    return _ranked(spark, d, asked)
 
 
 # --- reports and records ------------------------------------------------------------------
@@ -636,7 +661,7 @@ def analysis_result(spark: SparkSession, d: str) -> DataFrame:
         F.coalesce(F.size("fmea.prevention_opportunities"), F.lit(0)).alias("n_prevention"),
         F.coalesce(F.size("recommendations"), F.lit(0)).alias("n_recs"),
         F.col("metrics.n_communities").alias("n_communities"),
-        F.array_join(F.transform(F.array_sort(F.map_entries("metrics.entity_types")),
+        F.array_join(F.transform(F.sort_array(F.map_entries("metrics.entity_types")),
                                  lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), "|")
         .alias("entity_types"))
 
@@ -711,27 +736,25 @@ def tracking_maps(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_cases(spark: SparkSession, d: str) -> DataFrame:
-    """Documents fed in file sets; the stored corpus afterwards."""
+    """An earlier corpus and then the present documents arrive; the stored corpus afterwards."""
     found, corpus = documents_and_corpus(spark, d)
     base = scratch_path(spark, "stream-cases")
-    columns = ["product_id", "case_id", "part_no", "content"]
-    corpus.select(*columns).repartition(2).write.parquet(f"{base}/in")
-    found.select(*columns).repartition(2).write.mode("append").parquet(f"{base}/in")
-    ingest.stream_cases(spark, f"{base}/in", f"{base}/corpus", f"{base}/check", files_per_batch=2).awaitTermination()
+    for rows in (corpus, found):
+        rows.select("product_id", "case_id", "part_no", "content").write.mode("append").parquet(f"{base}/in")
+        ingest.stream_cases(spark, f"{base}/in", f"{base}/corpus", f"{base}/check").awaitTermination()
     return ingest.read_corpus(spark, f"{base}/corpus").select("product_id", "case_id", "part_no", "content_hash")
 
 
 @query
 def stream_selfhelp(spark: SparkSession, d: str) -> DataFrame:
-    """Earlier and present self-help files fed in file sets; the tracking rows afterwards."""
+    """Earlier and then present self-help files arrive; the sections written for them."""
     base = scratch_path(spark, "stream-selfhelp")
-    columns = ["product_id", "file_name", "content", "modified_ts"]
     earlier = mp.selfhelp_tracking(spark, d).select(
         "product_id", "file_name", F.col("processed_content").alias("content"),
         F.col("last_processed").alias("modified_ts"))
-    earlier.select(*columns).coalesce(1).write.parquet(f"{base}/in")
-    mp.selfhelp_files(spark, d).select(*columns).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    ingest.stream_selfhelp(spark, f"{base}/in", f"{base}/sections", f"{base}/tracking", f"{base}/check",
-                           files_per_batch=1).awaitTermination()
+    for rows in (earlier, mp.selfhelp_files(spark, d)):
+        rows.select("product_id", "file_name", "content", "modified_ts").write.mode("append").parquet(f"{base}/in")
+        ingest.stream_selfhelp(spark, f"{base}/in", f"{base}/sections", f"{base}/tracking",
+                               f"{base}/check").awaitTermination()
     sections = ingest.read_sections(spark, f"{base}/sections")
     return sections.select("product_id", "file_name", "status", X.content_hash(F.col("section")).alias("section_hash"))

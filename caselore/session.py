@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "caselore", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,3 +43,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def widen(scan: DataFrame) -> DataFrame:
+    """Spread a scan over the cores if it has fewer splits than there are cores.
+
+    Many-file input has more splits than cores and is left alone, without a shuffle; a single
+    small file would otherwise keep all the work on it in one task.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

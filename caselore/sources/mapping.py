@@ -21,8 +21,26 @@ PARTS_PER_ANALYSIS = 40
 CITED_CASES = 7
 
 
+# Schemas are given, so that no job reads footers to find them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+                " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+                " l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "benchmark": "item_id long, text string",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ts(text: str) -> Column:
@@ -257,7 +275,7 @@ def gap_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(counts, F.col("p_partkey") == counts.l_partkey, "left").drop("l_partkey")
         .join(cited, F.col("p_partkey") == cited.l_partkey, "left").drop("l_partkey")
         .groupBy("analysis_id", "product_id", "question")
-        .agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("slot", item.alias("item")))),
+        .agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("slot", item.alias("item")))),
                                    lambda x: x["item"])).alias("payload")))
     return _answers(grouped, V.GAP_QUESTIONS, 0)
 
@@ -282,7 +300,7 @@ def fmea_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("check "), "p_name").alias("recommendedControl"),
         F.when(key % 20 != 0, key % 8 == 0).alias("customerActionable"),
         F.when(key % 12 == 0, F.col("p_name")).alias("selfHelpContentNeeded")))
-    rows = F.array_sort(F.collect_list(F.struct("slot", mode.alias("mode"), opportunity.alias("opp"))))
+    rows = F.sort_array(F.collect_list(F.struct("slot", mode.alias("mode"), opportunity.alias("opp"))))
     grouped = (
         parts(spark, sf_dir).groupBy("analysis_id", "product_id", "question").agg(rows.alias("rows"))
         .withColumn("opps", F.filter(F.transform("rows", lambda r: r["opp"]), lambda o: o.isNotNull()))
@@ -387,7 +405,7 @@ def extraction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("analysis_id", case_id.alias("doc_id"), "l_linenumber", text.alias("text"))
         .groupBy("analysis_id", "doc_id")
         .agg(F.concat(
-            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "text"))),
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "text"))),
                                      lambda x: x["text"]), V.RECORD_DELIMITER),
             F.lit(V.END_MARK + " trailing words")).alias("records")))
 
