@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselore.functions.vocabulary import PIECE_SEPARATOR
+from caselore.operators import threads as th
 
 
 def _text(name: str) -> Column:
@@ -40,6 +43,25 @@ EMAIL_TITLE = "CUSTOMER COMMUNICATIONS:\n"
 NOTE_TITLE = "=== RESOLUTION STEPS ===\n"
 
 
+def documents_of(cases: DataFrame, emails: DataFrame, notes: DataFrame, max_emails: int | None = None,
+                 note_mode: str = "sequential", part_rows: int = th.PART_ROWS) -> DataFrame:
+    """Documents of the cases from raw e-mails and notes.
+
+    Communications of other cases are dropped by a semi join, whose partitioning by case id
+    serves the gathering of the threads too.
+    """
+    ids = th.requested_ids(cases)
+    mails, steps = th.email_pieces(emails, ids), th.note_pieces(notes, ids, note_mode)
+    long_mails, long_steps = th.long_or_none(mails, part_rows), th.long_or_none(steps, part_rows)
+    found = [x for x in (long_mails, long_steps) if x is not None]
+    long_ids = reduce(DataFrame.unionByName, found).distinct() if found else None
+    return case_documents(
+        cases,
+        th.with_pieces(th.gather_threads(mails, long_mails, part_rows), max_emails),
+        th.with_pieces(th.gather_threads(steps, long_steps, part_rows)),
+        long_ids)
+
+
 def case_documents(cases: DataFrame, emails: DataFrame, notes: DataFrame, long_ids: DataFrame | None = None) -> DataFrame:
     """(product_id, case_id, part_no, content) from the pieces of e-mails and notes.
 

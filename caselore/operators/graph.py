@@ -39,7 +39,7 @@ def parse_records(texts: DataFrame) -> DataFrame:
     """Rows of record texts (analysis_id, doc_id, records): kind is entity, relationship or malformed."""
     # cut and split inside the generator: a filter on its output cannot repeat the splitting
     body = F.substring_index("records", V.END_MARK, 1)
-    records = F.filter(F.transform(F.split(body, re.escape(V.RECORD_DELIMITER), -1), F.trim), lambda r: r != "")
+    records = F.filter(F.transform(F.split(body, re.escape(V.RECORD_DELIMITER), -1), lambda r: F.trim(r)), lambda r: r != "")
     fields = F.transform(records, lambda r: F.split(F.regexp_replace(r, r"^\(|\)$", ""), re.escape(V.TUPLE_DELIMITER), -1))
     parts = texts.select("analysis_id", "doc_id", F.explode(fields).alias("p"))
     tag, n = F.trim(F.get("p", 0)), F.size("p")

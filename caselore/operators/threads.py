@@ -7,11 +7,11 @@ whole thread. part_no is 0 for every other case.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from caselore.functions.text import email_line, note_line, split_thread, wanted_subject
+from caselore.functions.text import email_line, has_text, note_line, split_thread, wanted_subject
 from caselore.functions.vocabulary import THREAD_SEPARATOR
 
 PART_ROWS = 10_000
@@ -19,8 +19,6 @@ PART_ROWS = 10_000
 
 def requested_ids(cases: DataFrame, column: str = "case_id") -> DataFrame:
     """Distinct ids that hold more than white space."""
-    from caselore.functions.text import has_text
-
     return cases.select(F.col(column).alias("case_id")).filter(has_text(F.col("case_id"))).distinct()
 
 
@@ -64,14 +62,20 @@ def _gather(pieces: DataFrame, *keys: str) -> DataFrame:
     return pieces.groupBy(*keys).agg(thread.alias("thread")).select(*keys, "thread")
 
 
+def long_or_none(pieces: DataFrame, part_rows: int = PART_ROWS) -> DataFrame | None:
+    """long_threads, or None if there is none. The check reads the id and filter columns only."""
+    long_ids = long_threads(pieces, part_rows)
+    return None if long_ids.isEmpty() else long_ids
+
+
 def threads(pieces: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """(case_id, part_no, thread): pieces by creation time, then text, joined by the separator.
+    """(case_id, part_no, thread): pieces by creation time, then text, joined by the separator."""
+    return gather_threads(pieces, long_or_none(pieces, part_rows), part_rows)
 
-    The sizes are checked first, on the id column only. Without a long thread the plan is one
-    aggregation; otherwise the rows of the long ones get the part their minute falls into.
-    """
-    long_ids = long_threads(pieces, part_rows)
-    if long_ids.isEmpty():
+
+def gather_threads(pieces: DataFrame, long_ids: DataFrame | None, part_rows: int = PART_ROWS) -> DataFrame:
+    """One aggregation if no thread is long; else rows of the long ones get the part of their minute."""
+    if long_ids is None:
         return _gather(pieces, "case_id").withColumn("part_no", F.lit(0))
     minute = F.coalesce(F.date_trunc("minute", "created_ts").cast("timestamp_ntz"),
                         F.lit("0001-01-01").cast("timestamp_ntz"))
@@ -103,7 +107,3 @@ def with_pieces(threads: DataFrame, max_pieces: int | None = None) -> DataFrame:
     left = F.greatest(F.lit(max_pieces) - before, F.lit(0)).cast("int")
     return (split.withColumn("left", left).withColumn("pieces", F.slice("pieces", F.lit(1), F.col("left")))
             .filter((F.col("part_no") == 0) | (F.col("left") > 0)).drop("left"))
-
-
-def piece_count(column: str = "pieces") -> Column:
-    return F.size(column)

@@ -48,15 +48,8 @@ def all_cases(spark: SparkSession, d: str, **params) -> DataFrame:
     return cs.closed_cases(mp.case_fact(spark, d), mp.area_dim(spark, d), mp.as_of(), **params)
 
 
-def _threads(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    mails = th.with_pieces(th.threads(th.email_pieces(mp.emails(spark, d))))
-    notes = th.with_pieces(th.threads(th.note_pieces(mp.notes(spark, d))))
-    return mails, notes
-
-
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    mails, notes = _threads(spark, d)
-    return docs.case_documents(all_cases(spark, d), mails, notes)
+    return docs.documents_of(all_cases(spark, d), mp.emails(spark, d), mp.notes(spark, d))
 
 
 def documents_and_corpus(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

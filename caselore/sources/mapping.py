@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from caselore.functions import vocabulary as V
 from caselore.functions.text import content_hash
+from caselore.session import widen
 
 AS_OF = "2002-01-01 00:00:00"
 PARTS_PER_ANSWER = 10
@@ -313,8 +314,8 @@ def fmea_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- graph --------------------------------------------------------------------------------
 
 def lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    lines = widen(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"))
     return lines.join(parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
 
 
