@@ -11,9 +11,18 @@ from caselore.functions.text import first_segment, forward_slashes, rest_of_path
 WINDOW_LIMIT = 1000  # above this a rank filter no longer prunes before the shuffle
 
 
-def _required(name: str) -> Column:
-    col = F.col(name)
-    return F.when(col.isNull(), F.raise_error(F.lit(f"{name} must not be null"))).otherwise(col)
+# Output columns: text is empty where null, numbers and flags must not be null, times may be null.
+TEXTS = {"case_id": "sr_number", "product_id": "pes_product_id", "product_name": "product_name", "sr_owner": "sr_owner",
+         "sr_status": "sr_status", "service_request_status": "service_request_status", "sr_severity": "sr_severity",
+         "sr_max_severity": "sr_max_severity", "internal_title": "internal_title", "ir_status": "ir_status",
+         "sap_path": "sap_path", "support_topic_id": "support_topic_id"}
+NUMBERS = ["case_idle_days", "communication_idle_days", "collaboration_tasks", "phone_interactions", "email_interactions"]
+FLAGS = ["is_s500", "is_transferred"]
+TIMES = ["created_ts", "closed_ts", "first_assignment_ts"]
+
+
+def _required(name: str) -> str:
+    return f"coalesce({name}, raise_error('{name} must not be null'))"
 
 
 def closed_cases(
@@ -40,30 +49,16 @@ def closed_cases(
     if sap_path:
         areas = areas.filter(forward_slashes(F.col("sap_path")) == sap_path.replace("\\", "/"))
 
-    def text(name: str) -> Column:
-        return text_or_empty(F.col(name))
-
     topic = F.col("support_topic_id")
     return fact.join(areas, "sap_key").select(
-        text("sr_number").alias("case_id"),
-        text("pes_product_id").alias("product_id"),
-        text("product_name").alias("product_name"),
-        "created_ts", "closed_ts",
-        *[text(n).alias(n) for n in ("sr_owner", "sr_status", "service_request_status", "sr_severity",
-                                     "sr_max_severity", "internal_title")],
-        "first_assignment_ts",
-        *[_required(n).cast("int").alias(n) for n in ("case_idle_days", "communication_idle_days")],
-        _required("is_s500").alias("is_s500"),
-        *[_required(n).cast("int").alias(n) for n in ("collaboration_tasks", "phone_interactions",
-                                                      "email_interactions")],
-        text("ir_status").alias("ir_status"),
-        _required("is_transferred").alias("is_transferred"),
-        text("sap_path").alias("sap_path"),
-        text("support_topic_id").alias("support_topic_id"),
+        F.expr("struct(" + ", ".join(
+            [f"coalesce(cast({source} AS string), '') AS {name}" for name, source in TEXTS.items()]
+            + [f"cast({_required(n)} AS int) AS {n}" for n in NUMBERS]
+            + [f"{_required(n)} AS {n}" for n in FLAGS] + TIMES) + ")").alias("c"),
         text_or_empty(first_segment(topic)).alias("support_topic_l2"),
         text_or_empty(rest_of_path(topic)).alias("support_topic_l3"),
-        _required("created_ts").alias("_created"),
-    ).withColumn("case_age", F.datediff(as_of, "_created")).drop("_created")
+        F.datediff(as_of, F.expr(_required("created_ts"))).alias("case_age"),
+    ).select("c.*", "support_topic_l2", "support_topic_l3", "case_age")
 
 
 def newest_per_product(cases: DataFrame, n: int, window_limit: int = WINDOW_LIMIT) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,32 +12,26 @@ from caselore.functions.vocabulary import PIECE_SEPARATOR
 from caselore.operators import threads as th
 
 
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
+# The lines of the document head; names in braces are columns.
+DOCUMENT_HEAD = """
+=== SUPPORT CASE: {case_id} ===
+Product: {product_name}
+Area: {sap_path}
+Title: {internal_title}
+Severity: {sr_severity} (Max: {sr_max_severity})
+Resolution Time: {case_age} days
+Customer Interactions: {email_interactions} emails, {phone_interactions} calls
+Case Age: {case_age} days
+Idle Days: {case_idle_days} case, {communication_idle_days} communication
+
+=== CUSTOMER PROBLEM ===
+"""
 
 
 def document_head() -> Column:
-    # The lines of the document head.
-    lines = [
-        ("=== SUPPORT CASE: ", _text("case_id"), " ==="),
-        ("Product: ", _text("product_name")),
-        ("Area: ", _text("sap_path")),
-        ("Title: ", _text("internal_title")),
-        ("Severity: ", _text("sr_severity"), " (Max: ", _text("sr_max_severity"), ")"),
-        ("Resolution Time: ", _text("case_age"), " days"),
-        ("Customer Interactions: ", _text("email_interactions"), " emails, ",
-         _text("phone_interactions"), " calls"),
-        ("Case Age: ", _text("case_age"), " days"),
-        ("Idle Days: ", _text("case_idle_days"), " case, ", _text("communication_idle_days"),
-         " communication"),
-        ("",),
-        ("=== CUSTOMER PROBLEM ===",),
-    ]
-    parts: list[Column] = []
-    for line in lines:
-        parts.append(F.lit("\n"))
-        parts += [F.lit(p) if isinstance(p, str) else p for p in line]
-    return F.concat(*parts, F.lit("\n"))
+    texts = re.split(r"\{(\w+)\}", DOCUMENT_HEAD)
+    parts = ["'" + t.replace("\n", "\\n") + "'" if i % 2 == 0 else t for i, t in enumerate(texts)]
+    return F.expr(f"concat({', '.join(parts)})")
 
 
 EMAIL_TITLE = "CUSTOMER COMMUNICATIONS:\n"
@@ -52,7 +47,9 @@ def documents_of(cases: DataFrame, emails: DataFrame, notes: DataFrame, max_emai
     """
     ids = th.requested_ids(cases)
     mails, steps = th.email_pieces(emails, ids), th.note_pieces(notes, ids, note_mode)
-    long_mails, long_steps = th.long_or_none(mails, part_rows), th.long_or_none(steps, part_rows)
+    # raw counts, dropped and repeated messages included: more cases may count as long, none is missed
+    long_mails, long_steps = (
+        th.long_or_none(raw.select(F.col("ticket_number").alias("case_id")), part_rows) for raw in (emails, notes))
     found = [x for x in (long_mails, long_steps) if x is not None]
     long_ids = reduce(DataFrame.unionByName, found).distinct() if found else None
     return case_documents(

@@ -78,36 +78,23 @@ def case_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
              .groupBy(F.col("conv_id").alias("o_orderkey"))
              .agg(F.count("*").cast("int").alias("mails")))
     customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
-    severity = F.substring("o_orderpriority", 1, 1)
     return (
         table(spark, sf_dir, "orders")
         .join(customer, "o_custkey")
         .join(lines, "o_orderkey", "left")
         .join(turns, "o_orderkey", "left")
-        .select(
-            F.col("c_nationkey").alias("sap_key"),
-            F.concat(F.lit("SR"), F.col("o_orderkey").cast("string")).alias("sr_number"),
-            F.col("c_name").alias("sr_owner"),
-            F.when(F.col("o_orderstatus") == "F", "Closed")
-            .when(F.col("o_orderstatus") == "O", "Open").otherwise("Pending").alias("sr_status"),
-            F.col("o_orderstatus").alias("service_request_status"),
-            severity.alias("sr_severity"),
-            F.when(F.col("o_totalprice") > 400000, "1").otherwise(severity).alias("sr_max_severity"),
-            F.when(F.col("o_orderkey") % 97 == 0, F.lit(None)).otherwise(
-                F.concat("c_mktsegment", F.lit(" "), "o_orderpriority")).alias("internal_title"),
-            (F.col("o_orderdate") + F.expr("INTERVAL '1' DAY")).alias("first_assignment_ts"),
-            (F.col("o_orderkey") % 30).cast("int").alias("case_idle_days"),
-            (F.col("o_custkey") % 15).cast("int").alias("communication_idle_days"),
-            (F.col("c_acctbal") > 9000).alias("is_s500"),
-            F.coalesce("tasks", F.lit(0)).alias("collaboration_tasks"),
-            (F.col("o_orderkey") % 4).cast("int").alias("phone_interactions"),
-            F.coalesce("mails", F.lit(0)).alias("email_interactions"),
-            F.col("c_mktsegment").alias("ir_status"),
-            (F.col("o_orderkey") % 7 == 0).alias("is_transferred"),
-            F.datediff(as_of(), "o_orderdate").alias("sr_age_days"),
-            F.col("o_orderdate").alias("created_ts"),
-            "closed_ts",
-        )
+        .selectExpr(
+            "c_nationkey AS sap_key", "concat('SR', o_orderkey) AS sr_number", "c_name AS sr_owner",
+            "CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' ELSE 'Pending' END AS sr_status",
+            "o_orderstatus AS service_request_status", "substring(o_orderpriority, 1, 1) AS sr_severity",
+            "if(o_totalprice > 400000, '1', substring(o_orderpriority, 1, 1)) AS sr_max_severity",
+            "if(o_orderkey % 97 = 0, null, concat(c_mktsegment, ' ', o_orderpriority)) AS internal_title",
+            "o_orderdate + INTERVAL '1' DAY AS first_assignment_ts",
+            "cast(o_orderkey % 30 AS int) AS case_idle_days", "cast(o_custkey % 15 AS int) AS communication_idle_days",
+            "c_acctbal > 9000 AS is_s500", "coalesce(tasks, 0) AS collaboration_tasks",
+            "cast(o_orderkey % 4 AS int) AS phone_interactions", "coalesce(mails, 0) AS email_interactions",
+            "c_mktsegment AS ir_status", "o_orderkey % 7 = 0 AS is_transferred",
+            f"datediff(TIMESTAMP_NTZ '{AS_OF}', o_orderdate) AS sr_age_days", "o_orderdate AS created_ts", "closed_ts")
     )
 
 
