@@ -1,6 +1,6 @@
 """Headline queries on local[$BENCH_CPUS] over $BENCH_SF_DIR; prints one JSON line.
 
-Every query is run once to warm up and then BENCH_RUNS times (3); the median counts. Results
+Every query is run once to warm up and then BENCH_RUNS times (1); the median counts. Results
 are consumed by Spark's noop sink, so all columns are computed and nothing is collected.
 """
 
@@ -32,7 +32,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="12g",

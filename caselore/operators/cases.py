@@ -51,14 +51,14 @@ def closed_cases(
 
     topic = F.col("support_topic_id")
     return fact.join(areas, "sap_key").select(
-        F.expr("struct(" + ", ".join(
-            [f"coalesce(cast({source} AS string), '') AS {name}" for name, source in TEXTS.items()]
-            + [f"cast({_required(n)} AS int) AS {n}" for n in NUMBERS]
-            + [f"{_required(n)} AS {n}" for n in FLAGS] + TIMES) + ")").alias("c"),
+        *[F.expr(f"coalesce(cast({source} AS string), '') AS {name}") for name, source in TEXTS.items()],
+        *[F.expr(f"cast({_required(n)} AS int) AS {n}") for n in NUMBERS],
+        *[F.expr(f"{_required(n)} AS {n}") for n in FLAGS],
+        *TIMES,
         text_or_empty(first_segment(topic)).alias("support_topic_l2"),
         text_or_empty(rest_of_path(topic)).alias("support_topic_l3"),
         F.datediff(as_of, F.expr(_required("created_ts"))).alias("case_age"),
-    ).select("c.*", "support_topic_l2", "support_topic_l3", "case_age")
+    )
 
 
 def newest_per_product(cases: DataFrame, n: int, window_limit: int = WINDOW_LIMIT) -> DataFrame:

@@ -23,14 +23,20 @@ def class_centroids(vectors: DataFrame, dims: int) -> DataFrame:
         F.col("query_id").cast("long"), F.array(*[f"d{i}" for i in range(dims)]).alias("vector"))
 
 
+def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one; a zero vector stays zero and scores 0."""
+    length = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(length == 0, 1, length)
+
+
 def _search(vectors: DataFrame, ids: list[int], matrix: np.ndarray, k: int, skip_self: bool) -> DataFrame:
-    unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    unit = _unit(matrix)
 
     def best_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             keys = pdf["vec_id"].to_numpy()
             rows = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
-            scores = np.round((rows / np.linalg.norm(rows, axis=1, keepdims=True)) @ unit.T, 6)
+            scores = np.round(_unit(rows) @ unit.T, 6)
             out = []
             for j, query in enumerate(ids):
                 order = np.lexsort((keys, -scores[:, j]))

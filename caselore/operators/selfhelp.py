@@ -90,9 +90,9 @@ def selfhelp_corpus(
     text, sections, update mark. A product without any file gets the placeholder.
     """
     n_files = files.groupBy("product_id").agg(F.count("*").alias("n_files"))
-    first = sections.groupBy("product_id").agg(F.min("file_name").alias("first_file"))
+    new = sections.groupBy("product_id").agg(F.count("*").alias("n_sections"))
     state = (products.select("product_id").join(n_files, "product_id", "left")
-             .join(first, "product_id", "left")
+             .join(new, "product_id", "left")
              .join(existing.select("product_id", F.col("content").alias("stored")), "product_id", "left")
              .withColumn("stored", F.when(F.col("stored") != "", F.col("stored"))))
     p, time = F.col("product_id"), stamp(now)
@@ -101,15 +101,16 @@ def selfhelp_corpus(
         F.lit("=== EXISTING SELF-HELP DOCUMENTATION FOR PRODUCT "), p, F.lit(" ===\n\nProduct ID: "), p,
         F.lit("\nContent Type: Self-Help Documentation (Content-Diff Tracking)\nTotal Files Monitored: "),
         F.col("n_files").cast("string"), F.lit("\nLast Updated: "), time, F.lit("\n\n"))
-    end = F.concat(F.lit("\n\n=== END ALL SELF-HELP CONTENT FOR PRODUCT "), p, F.lit(" ==="))
-    mark = F.concat(F.lit("\n\n=== CONTENT-DIFF UPDATE COMPLETED: "), time, F.lit(" ==="))
+    # sections end with the newline that separates them, so what follows starts with one less
+    end = F.concat(F.lit("\n=== END ALL SELF-HELP CONTENT FOR PRODUCT "), p, F.lit(" ==="))
+    mark = F.concat(F.lit("\n=== CONTENT-DIFF UPDATE COMPLETED: "), time, F.lit(" ==="))
     placeholder = F.concat(
         F.lit("=== NO EXISTING SELF-HELP CONTENT FOUND FOR PRODUCT "), p, F.lit(" ===\n\nProduct ID: "), p,
         F.lit(f"\nExpected File Pattern: {folder}\\"), p,
         F.lit("_*.txt\nStatus: No existing self-help content found\n\n"
               "This indicates there may be limited or no existing self-help documentation for this product.\n"
               f"{engine_label}analysis should focus on identifying the most critical content gaps."))
-    has_new, has_old = F.col("first_file").isNotNull(), F.col("stored").isNotNull()
+    has_new, has_old = F.col("n_sections").isNotNull(), F.col("stored").isNotNull()
 
     def row(kind: str, part: int, text: Column) -> Column:
         return F.struct(F.lit(kind).alias("doc_kind"), F.lit(part).alias("part"),
@@ -121,10 +122,8 @@ def selfhelp_corpus(
         F.when(has_new, row("selfhelp", 2, F.when(has_old, mark).otherwise(end))),
         F.when(F.col("n_files").isNull(), row("placeholder", 0, placeholder)),
     ))).alias("r")).select("product_id", "r.*")
-    body = sections.join(first, "product_id").select(
-        "product_id", F.lit("selfhelp").alias("doc_kind"), F.lit(1).alias("part"), "file_name",
-        F.concat(F.when(F.col("file_name") == F.col("first_file"), "").otherwise("\n"), F.col("section"))
-        .alias("content"))
+    body = sections.select("product_id", F.lit("selfhelp").alias("doc_kind"), F.lit(1).alias("part"), "file_name",
+                           F.concat("section", F.lit("\n")).alias("content"))
     return around.unionByName(body)
 
 

@@ -226,16 +226,15 @@ UNION ALL SELECT product_id, 'selfhelp', 0, '', '=== EXISTING SELF-HELP DOCUMENT
   || 'Total Files Monitored: ' || n_files || {NL} || 'Last Updated: 2002-01-01 00:00:00' || {NL} || {NL}
   FROM state WHERE stored IS NULL AND first_file IS NOT NULL
 UNION ALL SELECT product_id, 'selfhelp', 2, '', CASE WHEN stored IS NULL
-    THEN {NL} || {NL} || '=== END ALL SELF-HELP CONTENT FOR PRODUCT ' || product_id || ' ==='
-    ELSE {NL} || {NL} || '=== CONTENT-DIFF UPDATE COMPLETED: 2002-01-01 00:00:00 ===' END
+    THEN {NL} || '=== END ALL SELF-HELP CONTENT FOR PRODUCT ' || product_id || ' ==='
+    ELSE {NL} || '=== CONTENT-DIFF UPDATE COMPLETED: 2002-01-01 00:00:00 ===' END
   FROM state WHERE first_file IS NOT NULL
 UNION ALL SELECT product_id, 'placeholder', 0, '', '=== NO EXISTING SELF-HELP CONTENT FOUND FOR PRODUCT ' || product_id || ' ===' || {NL} || {NL}
   || 'Product ID: ' || product_id || {NL} || 'Expected File Pattern: Selfhelp\' || product_id || '_*.txt' || {NL}
   || 'Status: No existing self-help content found' || {NL} || {NL}
   || 'This indicates there may be limited or no existing self-help documentation for this product.' || {NL}
   || 'analysis should focus on identifying the most critical content gaps.' FROM state WHERE n_files IS NULL
-UNION ALL SELECT s.product_id, 'selfhelp', 1, s.file_name,
-  CASE WHEN s.file_name = state.first_file THEN '' ELSE {NL} END || s.section FROM sh_sections s JOIN state USING (product_id)""")
+UNION ALL SELECT product_id, 'selfhelp', 1, file_name, section || {NL} FROM sh_sections""")
 oracle("selfhelp_changed", "sh_changed", "SELECT * FROM sh_changed")
 oracle("selfhelp_diff", "sh_diff", "SELECT product_id, file_name, status, new_content FROM sh_diff")
 oracle("selfhelp_sections", "sh_sections", "SELECT * FROM sh_sections")
@@ -647,7 +646,8 @@ SELECT c.analysis_id AS id, product_id AS "productId", '2002-01-01 00:00:00' AS
   coalesce((SELECT string_agg(title, '|' ORDER BY seq) FROM recs r WHERE r.analysis_id = c.analysis_id), '') AS rec_titles,
   n_entities, n_relations, 31536000 AS ttl
 FROM counts c JOIN metric m ON m.analysis_id = c.analysis_id""")
-oracle("metrics_record", "counts metric risk_scores", """
+for _name in ("metrics_record", "sink_metrics"):
+    oracle(_name, "counts metric risk_scores", """
 SELECT analysis_id, product_id, '2002-01-01 00:00:00' AS analysis_timestamp, n_cases AS total_cases, n_entities AS total_entities,
   n_relations AS total_relationships, 0.0::DOUBLE AS processing_minutes, coverage_score, risk_score
 FROM counts JOIN metric USING (analysis_id) JOIN risk_scores USING (analysis_id)""")

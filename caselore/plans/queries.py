@@ -496,7 +496,9 @@ def community_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def community_reports(spark: SparkSession, d: str) -> DataFrame:
-    found = ins.community_insights(mp.community_reports(component_rows(spark, d)))
+    path = scratch_path(spark, "community_reports")
+    fs.write_graph_csv(mp.community_reports(component_rows(spark, d)), path)
+    found = ins.community_insights(fs.read_graph_csv(spark, path, fs.REPORT_CSV))
     return found.withColumns({n: F.array_join(n, "|") for n in ("key_findings", "actions")})
 
 
@@ -677,6 +679,13 @@ def sink_selfhelp(spark: SparkSession, d: str) -> DataFrame:
                                            X.content_hash(F.col("content")).alias("content_hash"))
 
 
+@query
+def sink_metrics(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "metrics")
+    fs.append_table(metrics_record(spark, d), path)
+    return spark.read.parquet(path)
+
+
 @query
 def sink_reports(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "reports")

@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from caselore.operators import answers as ans
 from caselore.operators import insights as ins
@@ -120,4 +119,3 @@ def test_community_report_rating_range(spark):
                                 for r in (0, 10, 10.5, -1)], "component string, report_json string")
     assert [r["rating"] for r in ins.community_insights(df).collect()] == [0.0, 10.0, None, None]
     assert ins.community_insights(df).first()["key_findings"] == ["s"]
-    assert F is not None
