@@ -2,7 +2,7 @@
 
 A thread is one array of pieces per case. A case with more pieces than PART_ROWS cannot be
 one row; its thread is cut by time into consecutive parts, so that the parts in order are the
-whole thread. part_no is 0 for every other case.
+whole thread. The pieces of one minute stay together. part_no is 0 for every other case.
 """
 
 from __future__ import annotations
