@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caselore.llm import language_id, quality_classifier, url_filter
 from caselore.llm.licenses import license_scan
 from caselore.llm.mixing import mix
 from caselore.llm.quality_rules import quality_rules
@@ -26,11 +27,28 @@ def domain_of_source():
     return F.concat(F.lit("d"), (number.try_cast("int") % 4).cast("string"))
 
 
+def held_out():
+    """A quarter of the documents, by their id, from which nothing is learned."""
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and the verdict of the rule cascade for every document."""
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def fitted_classifier(spark: SparkSession, sf_dir: str) -> quality_classifier.Classifier | quality_classifier.Constant:
+    """Learned from the labels of the tables, without the held-out ids."""
+    return quality_classifier.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").filter(~held_out()))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    scored = quality_classifier.score(table(spark, sf_dir, "documents"), fitted_classifier(spark, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
+                         (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents chosen for a mixture of 80 % of the tokens, per epoch, with the budget of their leaf."""
     mixed = mix(table(spark, sf_dir, "documents"), domain_of_source(), WEIGHTS)
@@ -46,11 +64,29 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs.filter(~held_out())))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+#: The rules that the query judges by.
+URL_RULES = (url_filter.Rule("net/", "block"), url_filter.Rule("example.net/en/", "allow"),
+             url_filter.Rule("example.com/de/", "block"), url_filter.Rule("org/fr/", "allow"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence labels of every document."""
     return license_scan(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op4_mixing, op5_sharding, op8_licenses)
+    f.__name__: f for f in (op2_quality_rules, op3_quality_classifier, op4_mixing, op5_sharding, op6_language_id,
+                                 op7_url_filter, op8_licenses)
 }
