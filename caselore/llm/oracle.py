@@ -106,4 +106,22 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_ba
 FROM d LEFT JOIN s USING (doc_id)
 """
 
-ORACLES = {"op2_quality_rules": OP2, "op4_mixing": OP4, "op8_licenses": OP8}
+OP9 = f"""
+WITH d AS (SELECT doc_id, {ALNUM_WORDS} AS ws FROM documents),
+b AS (SELECT item_id, {ALNUM_WORDS} AS ws FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS m, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 10 + 1, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+grams AS (
+  SELECT doc_id, i, m, array_to_string(ws[i:i + m - 1], ' ') AS win
+  FROM (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM win) WHERE len(ws) >= m)),
+hit AS (SELECT doc_id, i, m, item_id FROM grams JOIN win USING (m, win)),
+w AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM hit) GROUP BY 1),
+x AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN w USING (doc_id) LEFT JOIN x USING (doc_id)
+"""
+
+ORACLES = {"op2_quality_rules": OP2, "op4_mixing": OP4, "op8_licenses": OP8, "op9_decontamination": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselore.llm import language_id, quality_classifier, url_filter
+from caselore.llm import decontamination, language_id, quality_classifier, url_filter
 from caselore.llm.licenses import license_scan
 from caselore.llm.mixing import mix
 from caselore.llm.quality_rules import quality_rules
@@ -86,7 +86,13 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold passages of the benchmark."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.digest(decontamination.scan(docs, table(spark, sf_dir, "benchmark")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_quality_rules, op3_quality_classifier, op4_mixing, op5_sharding, op6_language_id,
-                                 op7_url_filter, op8_licenses)
+                                 op7_url_filter, op8_licenses, op9_decontamination)
 }
