@@ -12,6 +12,7 @@ from caselore.llm.licenses import license_scan
 from caselore.llm.mixing import mix
 from caselore.llm.quality_rules import quality_rules
 from caselore.llm.sharding import row_bytes, shard
+from caselore.llm.simhash import simhash_components
 
 #: Target weights of the mixture; a domain is every fourth source.
 WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
@@ -92,7 +93,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.scan(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of linked fingerprints of every document."""
+    found = simhash_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_quality_rules, op3_quality_classifier, op4_mixing, op5_sharding, op6_language_id,
-                                 op7_url_filter, op8_licenses, op9_decontamination)
+                                 op7_url_filter, op8_licenses, op9_decontamination, op10_simhash)
 }
