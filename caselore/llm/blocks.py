@@ -128,6 +128,12 @@ class Hashes:
         inverse = _grown(1, _BASE_INVERSE, len(self.sums))
         return mixed((self.sums[ends] - self.sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
+    def rolling(self, k: int) -> np.ndarray:
+        """The hash of the k bytes from every position on."""
+        n = max(0, len(self.sums) - k)
+        inverse = _grown(1, _BASE_INVERSE, len(self.sums))
+        return mixed((self.sums[k:] - self.sums[:n]) * inverse[:n] + np.uint64(k))
+
 
 def word_of_text(first: np.ndarray) -> np.ndarray:
     """The number of its text for every word, from `first` of words()."""

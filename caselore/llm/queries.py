@@ -13,6 +13,7 @@ from caselore.llm.mixing import mix
 from caselore.llm.quality_rules import quality_rules
 from caselore.llm.sharding import row_bytes, shard
 from caselore.llm.simhash import simhash_components
+from caselore.llm.suffix_dedup import remove_repeats
 
 #: Target weights of the mixture; a domain is every fourth source.
 WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
@@ -33,6 +34,11 @@ def held_out():
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 400-byte strings that occur elsewhere too."""
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and the verdict of the rule cascade for every document."""
     return quality_rules(table(spark, sf_dir, "documents"))
@@ -100,6 +106,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op3_quality_classifier, op4_mixing, op5_sharding, op6_language_id,
+    f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op4_mixing, op5_sharding, op6_language_id,
                                  op7_url_filter, op8_licenses, op9_decontamination, op10_simhash)
 }
