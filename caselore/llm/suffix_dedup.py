@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caselore.llm.blocks import Hashes, blocks, mixed
+from caselore.llm.blocks import Block, Hashes, blocks, mixed
 from caselore.session import shared_dir
 
 WINDOW, ANCHOR, PART = 400, 128, 32
@@ -76,6 +76,12 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, window: int, anchor: in
     return text, low, n, back, grams[where[first]], _whole(hashes, low, n, back, window)
 
 
+def _known(block: Block, text: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """The id and the hash of these texts of a block."""
+    at = pa.array(text)
+    return block.rows.column("doc").take(at), block.rows.column("mark").take(at)
+
+
 def _batch(doc: pa.Array, mark: pa.Array, low: np.ndarray, n: np.ndarray, back: np.ndarray, digit: np.ndarray,
            whole: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
@@ -87,8 +93,7 @@ def _runs(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             text, low, n, back, digit, whole = anchored_runs(block.data, block.offsets, window, anchor)
-            rows = block.rows.take(pa.array(text))
-            yield _batch(rows.column("doc"), rows.column("mark"), low - block.offsets[text], n, back, digit, whole)
+            yield _batch(*_known(block, text), low - block.offsets[text], n, back, digit, whole)
 
     return texts.mapInArrow(step, _RUN)
 
@@ -147,8 +152,7 @@ def _cut_up(texts: DataFrame, rows: DataFrame, window: int, part: int) -> DataFr
             core = anchor[row] - q * part
             shared = mixed(hashes.of(core, core - part + 1 + window) ^ mixed(digit[row].view(np.uint64) + q.astype(np.uint64)))
             whole = _whole(hashes, start, number, anchor[row] - start, window)
-            rows_ = block.rows.take(pa.array(text[row]))
-            yield _batch(rows_.column("doc"), rows_.column("mark"), start - base[row], number, anchor[row] - start, shared, whole)
+            yield _batch(*_known(block, text[row]), start - base[row], number, anchor[row] - start, shared, whole)
 
     return _with_texts(texts, _places(rows)).select("doc", "mark", "text", "open").mapInArrow(step, _RUN)
 
@@ -162,8 +166,7 @@ def _windows(texts: DataFrame, rows: DataFrame, window: int) -> DataFrame:
             start = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             at = block.offsets[text[row]] + start
             whole = mixed(Hashes(block.data).of(at, at + window) ^ mixed(digit[row].view(np.uint64)))
-            rows_ = block.rows.take(pa.array(text[row]))
-            yield pa.RecordBatch.from_arrays([rows_.column("doc"), rows_.column("mark"), pa.array(start), pa.array(whole.view(np.int64))],
+            yield pa.RecordBatch.from_arrays([*_known(block, text[row]), pa.array(start), pa.array(whole.view(np.int64))],
                                              ["doc", "mark", "low", "whole"])
 
     return (_with_texts(texts, _places(rows)).select("doc", "mark", "text", "open")
