@@ -34,8 +34,8 @@ from caselore.llm.blocks import Block, Hashes, blocks, mixed
 from caselore.session import shared_dir
 
 WINDOW, ANCHOR, PART = 400, 128, 32
-#: Up to so many rows of open places or spans are sent to all tasks instead of shuffling the texts.
-BROADCAST_ROWS = 300_000
+#: Up to so many texts, and places or spans in them, are sent to all tasks (some 40 MB) instead of shuffling the texts.
+BROADCAST_TEXTS, BROADCAST_PLACES = 200_000, 600_000
 _RUN = "doc long, mark long, low long, n long, back long, digit long, whole long"
 
 
@@ -101,7 +101,7 @@ def _runs(texts: DataFrame, window: int, anchor: int) -> DataFrame:
 def _settled(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(spans that are repeated, one row of each class of runs that still shares only its digit with others)."""
     digits = (runs.groupBy("digit").agg(F.count("*").alias("copies"), F.min("whole").alias("lo"), F.max("whole").alias("hi"))
-              .filter(F.col("copies") > 1).select("digit", (F.col("lo") != F.col("hi")).alias("open")))
+              .filter(F.col("copies") > 1).select("digit", (F.col("lo") != F.col("hi")).alias("open"))).checkpoint()
     shared = runs.join(digits, "digit").checkpoint()
     mixed_ = shared.filter("open")
     place = F.struct("doc", "mark", "low", "n", "back")
@@ -112,9 +112,10 @@ def _settled(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return spans, classes.select("p.*", "digit")
 
 
-def _with_texts(texts: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
-    """Texts joined to rows that have (doc, mark); ids may be null."""
-    small = rows.count() <= BROADCAST_ROWS
+def _with_texts(texts: DataFrame, rows: DataFrame, places: str, how: str = "inner") -> DataFrame:
+    """Texts joined to rows that have (doc, mark) and a list of places; ids may be null."""
+    n, total = rows.agg(F.count("*"), F.sum(F.size(places))).first()
+    small = n <= BROADCAST_TEXTS and (total or 0) <= BROADCAST_PLACES
     rows = rows.withColumnsRenamed({"doc": "doc_", "mark": "mark_"})
     on = texts["doc"].eqNullSafe(rows["doc_"]) & (texts["mark"] == rows["mark_"])
     return texts.join(F.broadcast(rows) if small else rows, on, how).drop("doc_", "mark_")
@@ -122,7 +123,7 @@ def _with_texts(texts: DataFrame, rows: DataFrame, how: str = "inner") -> DataFr
 
 def _places(rows: DataFrame) -> DataFrame:
     """The open rows of each text in one; a text has fewer of them than bytes."""
-    return rows.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "n", "back", "digit")).alias("open"))
+    return rows.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "n", "back", "digit")).alias("open")).checkpoint()
 
 
 def _listed(lists: pa.ListArray) -> tuple[np.ndarray, ...]:
@@ -154,7 +155,7 @@ def _cut_up(texts: DataFrame, rows: DataFrame, window: int, part: int) -> DataFr
             whole = _whole(hashes, start, number, anchor[row] - start, window)
             yield _batch(*_known(block, text[row]), start - base[row], number, anchor[row] - start, shared, whole)
 
-    return _with_texts(texts, _places(rows)).select("doc", "mark", "text", "open").mapInArrow(step, _RUN)
+    return _with_texts(texts, _places(rows), "open").select("doc", "mark", "text", "open").mapInArrow(step, _RUN)
 
 
 def _windows(texts: DataFrame, rows: DataFrame, window: int) -> DataFrame:
@@ -169,13 +170,13 @@ def _windows(texts: DataFrame, rows: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*_known(block, text[row]), pa.array(start), pa.array(whole.view(np.int64))],
                                              ["doc", "mark", "low", "whole"])
 
-    return (_with_texts(texts, _places(rows)).select("doc", "mark", "text", "open")
+    return (_with_texts(texts, _places(rows), "open").select("doc", "mark", "text", "open")
             .mapInArrow(step, "doc long, mark long, low long, whole long"))
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """(doc, mark, spans): the byte ranges [low, end) of all repeated windows of a text, unmerged; mark hashes the text."""
+    """(doc, mark, spans): the maximal byte ranges [low, end) of repeated windows of a text; mark hashes the text."""
     shared_dir(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
     spans, open_runs = _settled(_runs(texts, window, anchor).checkpoint())
@@ -184,7 +185,21 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     twice = windows.groupBy("whole").count().filter(F.col("count") > 1).select("whole")
     single = windows.join(twice, "whole", "left_semi").select("doc", "mark", "low", F.lit(1).cast("long").alias("n"))
     every = spans.unionByName(more).unionByName(single)
-    return every.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", (F.col("low") + F.col("n") - 1 + window).alias("end"))).alias("spans"))
+    lists = every.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", (F.col("low") + F.col("n") - 1 + window).alias("end"))).alias("spans"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, low, end = _listed(batch.column("spans"))
+            # Texts one after the other on one line, with room between them.
+            stride = int(end.max()) + 2 if len(end) else 1
+            low, end = merged(low + of * stride, end + of * stride)
+            of = low // stride
+            values = pa.StructArray.from_arrays([pa.array(low - of * stride), pa.array(end - of * stride)], ["low", "end"])
+            offsets = np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.ListArray.from_arrays(pa.array(offsets), values)],
+                                             ["doc", "mark", "spans"])
+
+    return lists.mapInArrow(merge, "doc long, mark long, spans array<struct<low: long, end: long>>")
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -214,7 +229,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                 start, stop = int(block.offsets[k]), int(block.offsets[k + 1])
                 parts, at, n = [], start, 0
                 if ranges.is_valid and len(ranges.values):
-                    low, end = merged(*(x.to_numpy(zero_copy_only=False) for x in ranges.values.flatten()))
+                    low, end = (x.to_numpy(zero_copy_only=False) for x in ranges.values.flatten())
                     n = len(low)
                     for i, j in zip(low.tolist(), end.tolist(), strict=True):
                         parts.append(raw[at:start + i])
@@ -228,6 +243,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                                              zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)]],
                 [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    out = (_with_texts(texts, spans, "left").select("doc", "text", "spans")
+    out = (_with_texts(texts, spans, "spans", "left").select("doc", "text", "spans")
            .mapInArrow(step, f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
     return out if with_kept else out.drop("kept")
