@@ -59,7 +59,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, id_
     group = joined.select(F.col("node").alias("fp"), F.col("component"))
     least = (nodes.join(group, "fp").groupBy("component").agg(F.min("least").alias("component_id")))
     moved = group.join(least, "component").select("fp", "component_id")
-    where = nodes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    where = nodes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")).checkpoint()
     return prints.join(where, "fp").select(id_col, "fp", "component_id")
 
 
@@ -204,7 +204,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     part_bits = min(24, max(8, math.ceil(math.log2(max(2, total)))))
     parts = min(64, WIDTH // part_bits)
     signed = _signatures(docs, shingle, part_bits, parts, id_col, text_col).checkpoint()
-    alike = signed.groupBy("k1", "k2").agg(F.min(id_col).alias("node"))
+    alike = signed.groupBy("k1", "k2").agg(F.min(id_col).alias("node")).checkpoint()
     nodes = (alike.join(signed.withColumnRenamed(id_col, "node"), ["k1", "k2", "node"])
              .dropDuplicates(["node"]).select("node", "s1", "s2", "keys"))
     rows = nodes.select("node", "s1", "s2", F.explode("keys").alias("key"))
