@@ -41,15 +41,16 @@ def _weight(level: str, weights: dict[str, dict[str, float]]) -> Column:
     return found
 
 
-def _share(nodes: DataFrame, parents: DataFrame, family: list[str], level: str, weight: Column) -> DataFrame:
-    """Split each parent's budget among its children: everyone gets weight x level, but no more than its capacity.
+def _share(nodes: DataFrame, parents: DataFrame | float, family: list[str], level: str, weight: Column) -> DataFrame:
+    """Split each parent's budget (the root's is a number) among its children: everyone gets weight x level, but no
+    more than its capacity.
 
     In the order of capacity by weight the children that are filled come first; the water level is what is left for
     the others by their weights.
     """
     key = [*family, level]
     children = nodes.groupBy(*key).agg(F.sum("capacity").alias("capacity")).withColumn("w", weight)
-    joined = children.join(parents, family)
+    joined = children.join(parents, family) if family else children.withColumn("budget", F.lit(float(parents)))
     order = Window.partitionBy(*family).orderBy(F.col("capacity") / F.col("w"), level)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     rest = Window.partitionBy(*family)
@@ -64,11 +65,12 @@ def _share(nodes: DataFrame, parents: DataFrame, family: list[str], level: str,
 
 
 def budgets(leaves: DataFrame, total: float, weights: dict[str, dict[str, float]], max_epochs: int) -> DataFrame:
-    """(domain, lang, source, tokens, budget) from leaves (domain, lang, source, tokens); budget is a whole number."""
-    nodes = leaves.select(F.lit("all").alias("root"), *LEVELS, (F.col("tokens").cast("double") * max_epochs).alias("capacity"))
-    whole = nodes.groupBy("root").agg(F.least(F.sum("capacity"), F.lit(float(total))).alias("budget"))
+    """(domain, lang, source, tokens, budget) from leaves (domain, lang, source, tokens); budget is a whole number, and
+    the budgets add up to the total or all that there is."""
+    nodes = leaves.select(*LEVELS, (F.col("tokens").cast("double") * max_epochs).alias("capacity"))
+    whole: DataFrame | float = total
     for k, level in enumerate(LEVELS):
-        whole = _share(nodes, whole, ["root", *LEVELS[:k]], level, _weight(level, weights))
+        whole = _share(nodes, whole, list(LEVELS[:k]), level, _weight(level, weights))
     return leaves.join(whole, list(LEVELS)).withColumn("budget", F.floor(F.col("budget") + 1e-6).cast("long"))
 
 
