@@ -21,7 +21,7 @@ def suffix_array(text: np.ndarray, bits: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for k in range(width):
         part = np.zeros(n, np.int64)
-        part[:n - k] = text[k:]
+        part[:max(0, n - k)] = text[k:]
         part[left < k] = 0
         key = (key << bits) | part
     longest = int(left.max()) if n else 0

@@ -180,6 +180,21 @@ def _compared(distance: int):
     return step
 
 
+def _dealt_again(distance: int):
+    """Rows of large buckets, each under its key and one of the parts of the bits outside of it."""
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            path, key, member, fp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            for mask in np.unique(path):
+                mine = path == mask
+                for part in split(int(mask) % (1 << BITS), distance + 1) if mask != -1 else ():
+                    part = np.int64(signed(part))
+                    columns = (np.full(mine.sum(), mask | part), key[mine] | (fp[mine] & part), member[mine], fp[mine])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["path", "key", "member", "fp"])
+
+    return step
+
+
 def links(fps: DataFrame, distance: int = 3, bucket_members: int = BUCKET_MEMBERS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(a, b): pairs of linked fingerprints that connect all that links connect; fps has a column fp (long), distinct."""
     rows = fps.count()
@@ -193,8 +208,7 @@ def links(fps: DataFrame, distance: int = 3, bucket_members: int = BUCKET_MEMBER
     dealt = (fps.select("fp", F.explode(probes).alias("p"))
              .select(F.col("p.path").alias("path"), F.col("fp").bitwiseXOR(F.col("p.flip")).bitwiseAND(F.col("p.path")).alias("key"),
                      (F.col("p.flip") == 0).alias("member"), "fp"))
-    masks, found = [mask for mask, _ in chosen], []
-    schema = "a long, b long"
+    found, schema = [], "a long, b long"
     while True:
         large = (dealt.filter("member").groupBy("path", "key").count().filter(F.col("count") > bucket_members)
                  .select("path", "key")).checkpoint()
@@ -204,14 +218,8 @@ def links(fps: DataFrame, distance: int = 3, bucket_members: int = BUCKET_MEMBER
                      .mapInArrow(_compared(distance), schema))
         if not some:
             break
-        parts = {m: split(m, distance + 1) for m in masks}
-        pieces = F.array()
-        for m, subs in parts.items():
-            pieces = F.when(F.col("path") == signed(m), F.array(*[F.lit(signed(s)) for s in subs])).otherwise(pieces)
-        dealt = (dealt.join(large, ["path", "key"], "left_semi").select("*", F.explode(pieces).alias("sub"))
-                 .select(F.col("path").bitwiseOR(F.col("sub")).alias("path"),
-                         F.col("key").bitwiseOR(F.col("fp").bitwiseAND(F.col("sub"))).alias("key"), "member", "fp").checkpoint())
-        masks = sorted({m | s for m, subs in parts.items() for s in subs})
+        dealt = (dealt.join(large, ["path", "key"], "left_semi").select("path", "key", "member", "fp").mapInArrow(_dealt_again(distance), "path long, key long, member boolean, fp long")
+                 .distinct().checkpoint())
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

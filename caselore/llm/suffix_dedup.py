@@ -174,13 +174,13 @@ def _windows(texts: DataFrame, rows: DataFrame, window: int) -> DataFrame:
             .mapInArrow(step, "doc long, mark long, low long, whole long"))
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, mark, spans): the maximal byte ranges [low, end) of repeated windows of a text; mark hashes the text."""
     shared_dir(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
+    anchor, part = min(ANCHOR, -(-window // 3)), min(PART, -(-window // 4))
     spans, open_runs = _settled(_runs(texts, window, anchor).checkpoint())
-    more, open_parts = _settled(_cut_up(texts, open_runs, window, PART).checkpoint())
+    more, open_parts = _settled(_cut_up(texts, open_runs, window, part).checkpoint())
     windows = _windows(texts, open_parts, window).checkpoint()
     twice = windows.groupBy("whole").count().filter(F.col("count") > 1).select("whole")
     single = windows.join(twice, "whole", "left_semi").select("doc", "mark", "low", F.lit(1).cast("long").alias("n"))
