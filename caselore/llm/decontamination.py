@@ -26,11 +26,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caselore.llm.blocks import ALNUM, LOWER, Block, Hashes, blocks, to_block, word_of_text, words
+from caselore.llm.blocks import ALNUM, LOWER, Block, Hashes, blocks, release_memory, to_block, word_of_text, words
 from caselore.llm.fm_index import FMIndex
 
 WINDOW = 10
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 PHRASE_WORDS = 1_000_000
 DECON_COLUMNS = ("decon_words", "decon_spans", "decon_items")
 _ADDED = "decon_words long, decon_spans array<bigint>, decon_items array<string>"
@@ -210,6 +210,7 @@ def cut(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: s
                 chars = columns[chars_col].to_pylist()
                 columns[chars_col] = pa.array([len(new[d]) if d in new else c for d, c in enumerate(chars)], columns[chars_col].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns)).filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
     return scanned.mapInArrow(rewrite, docs.schema)
 

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caselore.llm.blocks import release_memory
+
 BITS = 64
 #: Members (different fingerprints) of a bucket up to which it is compared in one task.
 BUCKET_MEMBERS = 2000
@@ -176,6 +178,7 @@ def _compared(distance: int):
                 start = stop
             a, b = _forest(np.concatenate(found_a), np.concatenate(found_b))
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+        release_memory()
 
     return step
 

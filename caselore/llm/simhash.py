@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caselore.llm.blocks import blocks, mixed
+from caselore.llm.blocks import blocks, mixed, release_memory
 from caselore.llm.pigeonhole import links
 from caselore.llm.shingles import distinct_per_text, fingerprints, shingle_hashes
 from caselore.operators.components import connected_components
@@ -156,7 +156,8 @@ def _neighbours(distance: int, reach: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([a, wide])), pa.array(np.concatenate([b, wide]), mask=np.concatenate([np.zeros(len(b), bool), ~none]))],
                 ["a", "b"])
-            kept = [c[-(reach + 1):] for c in columns]
+            kept = [c[-(reach + 1):].copy() for c in columns]
+        release_memory()
 
     return step
 
@@ -185,6 +186,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(common >= similarity * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
