@@ -18,22 +18,22 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from caselore.llm.blocks import ALNUM, LOWER, Block, Hashes, blocks, release_memory, to_block, word_of_text, words
+from caselore.llm.blocks import ALNUM, LOWER, Block, Hashes, blocks, to_block, word_of_text, words
 from caselore.llm.fm_index import FMIndex
 
 WINDOW = 10
 SHARD_BYTES = 1 << 20
 PHRASE_WORDS = 1_000_000
 DECON_COLUMNS = ("decon_words", "decon_spans", "decon_items")
-_ADDED = "decon_words long, decon_spans array<bigint>, decon_items array<string>"
 
 
 def _lowered(block: Block) -> Block:
@@ -137,15 +137,19 @@ def _spans(flags: np.ndarray, first: np.ndarray) -> pa.Array:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id",
-         item_text: str = "text") -> DataFrame:
+         item_text: str = "text", finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
+         schema: StructType | None = None) -> DataFrame:
     """All columns of docs with decon_words (how many), decon_spans (flat list of start and end of removal spans, in
-    words) and decon_items (ids of the items with occurring windows, as strings, sorted)."""
+    words) and decon_items (ids of the items with occurring windows, as strings, sorted). `finish` is applied to these
+    rows in the same pass and gives rows of `schema`."""
     names = [c for c in docs.columns if c not in DECON_COLUMNS]
     out = docs.select(*names, F.lit(None).cast("long").alias("decon_words"),
                       F.array().cast("array<bigint>").alias("decon_spans"), F.array().cast("array<string>").alias("decon_items"))
-    for phrases in phrase_blocks(benchmark, window, item_col, item_text):
+    steps = phrase_blocks(benchmark, window, item_col, item_text)
+    for k, phrases in enumerate(steps):
+        last = finish if k == len(steps) - 1 else None
 
-        def step(batches: Iterator[pa.RecordBatch], phrases: Phrases = phrases) -> Iterator[pa.RecordBatch]:
+        def step(batches: Iterator[pa.RecordBatch], phrases: Phrases = phrases, last=last) -> Iterator[pa.RecordBatch]:
             for block in blocks(batches, text_col, SHARD_BYTES):
                 lower = _lowered(block)
                 starts, ends, first = words(lower, ALNUM)
@@ -159,11 +163,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
                 for d, i in zip(doc.tolist(), item.tolist(), strict=True):
                     if phrases.item_ids[i] is not None:
                         listed[d].add(phrases.item_ids[i])
-                yield pa.RecordBatch.from_arrays(
+                batch = pa.RecordBatch.from_arrays(
                     [*[block.rows.column(c) for c in names], pa.array(np.diff(first)), _spans(flags, first),
                      pa.array([sorted(x) for x in listed], pa.list_(pa.string()))], [*names, *DECON_COLUMNS])
+                yield last(batch) if last else batch
 
-        out = out.mapInArrow(step, out.schema)
+        out = out.mapInArrow(step, schema if last else out.schema)
     return out
 
 
@@ -195,24 +200,20 @@ def cut(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: s
     """The rows of docs, all columns, with the removal spans cut out of the text; a document of which no word is left
     goes. chars_col, if there is one, is the length of the new text."""
     names = list(docs.columns)
-    scanned = scan(docs, benchmark, window, text_col, **columns)
-
-    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = batch.column("decon_spans").to_pylist()
-            texts = batch.column(text_col).to_pylist()
-            new = {d: without_spans(texts[d], s) for d, s in enumerate(spans) if s}
-            total = batch.column("decon_words").to_pylist()
-            keep = [not s or sum(s[1::2]) - sum(s[::2]) < n for s, n in zip(spans, total, strict=True)]
-            columns = {c: batch.column(c) for c in names}
-            columns[text_col] = pa.array([new.get(d, t) for d, t in enumerate(texts)], columns[text_col].type)
-            if chars_col in columns:
-                chars = columns[chars_col].to_pylist()
-                columns[chars_col] = pa.array([len(new[d]) if d in new else c for d, c in enumerate(chars)], columns[chars_col].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns)).filter(pa.array(keep, pa.bool_()))
-        release_memory()
-
-    return scanned.mapInArrow(rewrite, docs.schema)
+
+    def rewrite(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = batch.column("decon_spans").to_pylist()
+        new = {d: without_spans(batch.column(text_col)[d].as_py(), s) for d, s in enumerate(spans) if s}
+        keep = [not s or sum(s[1::2]) - sum(s[::2]) < n for s, n in zip(spans, batch.column("decon_words").to_pylist(), strict=True)]
+        out = {c: batch.column(c) for c in names}
+        if new:
+            out[text_col] = pa.array([new.get(d, t) for d, t in enumerate(out[text_col].to_pylist())], out[text_col].type)
+            if chars_col in out:
+                chars = out[chars_col].to_pylist()
+                out[chars_col] = pa.array([len(new[d]) if d in new else c for d, c in enumerate(chars)], out[chars_col].type)
+        return pa.RecordBatch.from_arrays(list(out.values()), list(out)).filter(pa.array(keep, pa.bool_()))
+
+    return scan(docs, benchmark, window, text_col, finish=rewrite, schema=docs.schema, **columns)
 
 
 def items_digest(item_ids: list[str]) -> str:
