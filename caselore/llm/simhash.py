@@ -129,7 +129,8 @@ def _signatures(docs: DataFrame, shingle: int, part_bits: int, parts: int, id_co
 
 
 def _neighbours(distance: int, reach: int):
-    """Candidate pairs of sorted bucket rows: each row with the next `reach` of its bucket; wider buckets are named."""
+    """Candidate pairs of sorted bucket rows: rows of buckets of up to reach + 1 with all others, of wider
+    ones, which are named, with the next one only."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
         for batch in batches:
@@ -139,13 +140,12 @@ def _neighbours(distance: int, reach: int):
                 old = len(kept[0])
                 columns = [np.concatenate(x) for x in zip(kept, columns, strict=True)]
             key, node, s1, s2 = columns
-            pairs, wide = [], np.zeros(0, np.int64)
-            for d in range(1, reach + 2):
+            right = np.arange(max(old, reach + 1), len(key))
+            wide = np.unique(key[right[key[right] == key[right - reach - 1]]])
+            in_wide, pairs = np.isin(key, wide), []
+            for d in range(1, reach + 1):
                 right = np.arange(max(old, d), len(key))
-                right = right[key[right] == key[right - d]]
-                if d > reach:
-                    wide = np.unique(key[right])
-                    break
+                right = right[(key[right] == key[right - d]) & ((d == 1) | ~in_wide[right])]
                 left = right - d
                 apart = np.bitwise_count((s1[left] ^ s1[right]).view(np.uint64)) + np.bitwise_count((s2[left] ^ s2[right]).view(np.uint64))
                 near = (apart <= distance) & (node[left] != node[right])
@@ -197,7 +197,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
                     text_col: str = "text", neighbours: int = NEIGHBOURS) -> DataFrame:
     """(id): the documents to drop; of each group of copies and linked near copies the smallest id is not among them.
 
-    Buckets of up to neighbours + 1 texts are compared whole. In wider ones each row meets the next ones in a random order;
+    Buckets of up to neighbours + 1 texts are compared whole. In wider ones each row meets the next one in a random order;
     texts that fall out by that are gone in the next round, which takes only the rest of the wide buckets, in another
     order and four times as wide, until no bucket is wider. So no pair of texts that stay is left out.
     """
