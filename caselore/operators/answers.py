@@ -72,12 +72,21 @@ def parse_gaps(answers: DataFrame) -> DataFrame:
         _list(g["relatedSAPPaths"]).alias("related_paths"))
 
 
+def _rpn(severity: Column, occurrence: Column, detectability: Column) -> Column:
+    """Their product, null if it is no int."""
+    return F.try_multiply(F.try_multiply(severity.cast("long"), occurrence.cast("long")), detectability.cast("long")).try_cast("int")
+
+
+def _ratings(m: Column) -> list[Column]:
+    return [_number(m[n], V.DEFAULT_RATING) for n in ("severityRating", "occurrenceFrequency", "detectabilityRating")]
+
+
 def parse_failure_modes(answers: DataFrame) -> DataFrame:
+    """Rows of failure modes; one whose ratings multiply to more than an int has no rpn and is in answer_failures."""
     m = F.col("m")
     rows = _read_fmea(answers).select(
         "analysis_id", "product_id", "query_no", F.posexplode("doc.failureModes").alias("item_no", "m"))
-    severity, occurrence, detectability = (
-        _number(m[n], V.DEFAULT_RATING) for n in ("severityRating", "occurrenceFrequency", "detectabilityRating"))
+    severity, occurrence, detectability = _ratings(m)
     return rows.select(
         "analysis_id", "product_id", *ARRIVAL,
         _text(m["failureMode"]).alias("failure_mode"),
@@ -86,7 +95,7 @@ def parse_failure_modes(answers: DataFrame) -> DataFrame:
         severity.alias("severity"), occurrence.alias("occurrence"), detectability.alias("detectability"),
         _list(m["existingControls"]).alias("existing_controls"),
         _list(m["recommendedActions"]).alias("recommended_actions"),
-    ).withColumn("rpn", F.col("severity") * F.col("occurrence") * F.col("detectability"))
+    ).withColumn("rpn", _rpn(F.col("severity"), F.col("occurrence"), F.col("detectability")))
 
 
 def parse_prevention(answers: DataFrame) -> DataFrame:
@@ -103,9 +112,10 @@ def parse_prevention(answers: DataFrame) -> DataFrame:
 
 
 def answer_failures(gap_answers: DataFrame, fmea_answers: DataFrame) -> DataFrame:
-    """Answers whose payload could not be read."""
+    """Answers whose payload could not be read, or has ratings that cannot be multiplied."""
     bad_gaps = _read_gaps(gap_answers).filter(F.col("items").isNull())
-    bad_fmea = _read_fmea(fmea_answers).filter(F.col("doc").isNull())
+    too_large = F.exists("doc.failureModes", lambda m: _rpn(*_ratings(m)).isNull())
+    bad_fmea = _read_fmea(fmea_answers).filter(F.col("doc").isNull() | F.coalesce(too_large, F.lit(False)))
     columns = ["analysis_id", "product_id", "query_no", "query"]
     return bad_gaps.select(*columns).unionByName(bad_fmea.select(*columns))
 

@@ -130,13 +130,20 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
 
 
-def mentions(chunked: DataFrame, lexicon: DataFrame, max_words: int = 3) -> DataFrame:
-    """(doc_id, chunk_no, term, type, n) for lexicon terms of up to max_words words."""
-    runs = [F.col("words")]
-    for n in range(2, max_words + 1):
-        # each run joins the one before with the word that follows; past the end it is null
-        following = F.slice("words", F.lit(n), F.size("words"))
-        runs.append(F.zip_with(runs[-1], following, lambda run, word: F.concat(run, F.lit(" "), word)))
+def mentions(chunked: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(doc_id, chunk_no, term, type, n) for lexicon terms of any number of words.
+
+    Only runs of as many words as some term has are looked up; these numbers are fetched first.
+    """
+    def runs_of(n: int) -> Column:
+        if n == 1:
+            return F.col("words")
+        starts = F.sequence(F.lit(1), F.size("words") - (n - 1))
+        found = F.transform(starts, lambda i: F.array_join(F.slice("words", i, F.lit(n)), " "))
+        return F.when(F.size("words") >= n, found).otherwise(F.array().cast("array<string>"))
+
+    counts = lexicon.select(F.size(F.split("term", " ")).alias("n")).filter(F.col("n") > 0).distinct()
+    runs = [runs_of(row["n"]) for row in counts.orderBy("n").collect()] or [F.col("words")]
     return (chunked.select("doc_id", "chunk_no", words(F.col("text")).alias("words"))
             .select("doc_id", "chunk_no", F.explode(F.concat(*runs)).alias("term"))
             .join(lexicon, "term").groupBy("doc_id", "chunk_no", "term", "type").agg(F.count("*").alias("n")))

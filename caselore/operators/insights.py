@@ -80,9 +80,12 @@ def risk_score(failure_modes: DataFrame, analyses: DataFrame) -> DataFrame:
 
 
 def gap_case_check(gaps: DataFrame, cases: DataFrame) -> DataFrame:
-    """Per gap: cited cases, how many exist, whether at least two do, and the worst severity."""
-    cited = gaps.select(A, "gap_id", F.explode_outer("related_cases").alias("case_id"))
-    known = cases.select("case_id", F.col("sr_severity").alias("found_severity"))
+    """Per gap: cited cases, how many exist, whether at least two do, and the worst severity.
+
+    A case that a gap cites twice, or that has several rows, is one case.
+    """
+    cited = gaps.select(A, "gap_id", F.explode_outer("related_cases").alias("case_id")).distinct()
+    known = cases.groupBy("case_id").agg(F.min(F.coalesce("sr_severity", F.lit(""))).alias("found_severity"))
     return (cited.join(known, "case_id", "left").groupBy(A, "gap_id")
             .agg(F.count("case_id").cast("int").alias("cited"),
                  F.count("found_severity").cast("int").alias("found"),
@@ -105,20 +108,17 @@ def problem_frequency(entities: DataFrame, approximate: bool = False) -> DataFra
             .groupBy(A, F.col("name").alias("problem")).agg(count.alias("cases")))
 
 
-def entity_insights(mentions: DataFrame, relations: DataFrame, max_related: int = 10) -> DataFrame:
-    """(type, name): number of distinct chunks, and the first related names in order.
+def entity_insights(mentions: DataFrame, relations: DataFrame) -> DataFrame:
+    """(type, name, frequency, related): number of distinct chunks, one row per related name, null if there is none.
 
-    mentions: (type, term, doc_id, chunk_no); relations: (source, target).
+    mentions: (type, term, doc_id, chunk_no); relations: (source, target). A name may have any number of related
+    ones, so they are rows and never one list.
     """
     chunks = mentions.select("type", F.col("term").alias("name"), "doc_id", "chunk_no").distinct()
     frequency = chunks.groupBy("type", "name").agg(F.count("*").alias("frequency"))
-    both = relations.select(F.col("source").alias("name"), F.col("target").alias("other")).unionByName(
-        relations.select(F.col("target").alias("name"), F.col("source").alias("other"))).distinct()
-    place = F.row_number().over(Window.partitionBy("name").orderBy("other"))
-    related = (both.withColumn("place", place).filter(F.col("place") <= max_related)
-               .groupBy("name").agg(F.sort_array(F.collect_list("other")).alias("related")))
-    return frequency.join(related, "name", "left").select(
-        "type", "name", "frequency", F.coalesce("related", F.array().cast("array<string>")).alias("related"))
+    related = relations.select(F.col("source").alias("name"), F.col("target").alias("related")).unionByName(
+        relations.select(F.col("target").alias("name"), F.col("source").alias("related"))).distinct()
+    return frequency.join(related, "name", "left").select("type", "name", "frequency", "related")
 
 
 def relationship_insights(relations: DataFrame) -> DataFrame:

@@ -16,11 +16,12 @@ from caselore.operators.graph import words
 MAX_QUERIES = 4096  # query vectors sent to every task at once
 
 
-def class_centroids(vectors: DataFrame, dims: int) -> DataFrame:
-    """(query_id, vector): the mean vector of each label."""
-    means = [F.avg(F.get("embedding", i).cast("double")).alias(f"d{i}") for i in range(dims)]
-    return vectors.groupBy(F.col("label").alias("query_id")).agg(*means).select(
-        F.col("query_id").cast("long"), F.array(*[f"d{i}" for i in range(dims)]).alias("vector"))
+def class_centroids(vectors: DataFrame) -> DataFrame:
+    """(query_id, vector): the mean vector of each label, as wide as its vectors are."""
+    places = vectors.select(F.col("label").cast("long").alias("query_id"), F.posexplode("embedding").alias("i", "x"))
+    means = places.groupBy("query_id", "i").agg(F.avg(F.col("x").cast("double")).alias("mean"))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "mean")))
+    return means.groupBy("query_id").agg(F.transform(ordered, lambda p: p["mean"]).alias("vector"))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -79,6 +80,7 @@ def top_k_similar(vectors: DataFrame, queries: DataFrame, k: int = 5, skip_self:
 
 
 MAX_QUESTION_TERMS = 200_000  # (question, term) pairs sent to every task at once
+MAX_CELLS = 8_000_000  # terms times questions: 64 MB of weights
 ROWS_AT_ONCE = 512
 
 
@@ -112,7 +114,8 @@ def _scores_by_matrix(tokens: DataFrame, pairs: pd.DataFrame, k: int) -> DataFra
     # the numbers are at most max_pairs rows, as checked by the caller
     counted = (tokens.join(F.broadcast(numbers), "term").groupBy("doc_id", "chunk_no")
                .agg(F.collect_list("term_no").alias("terms")))
-    asks = weights > 0
+    asks = np.zeros(weights.shape)  # by the pair itself: a term of every chunk has weight 0 and is a hit all the same
+    asks[np.searchsorted(terms, pairs["term"]), np.searchsorted(ids, pairs["question_id"])] = 1
 
     def winners(docs: np.ndarray, chunks: np.ndarray, scores: np.ndarray, hit: np.ndarray) -> pd.DataFrame:
         found = []
@@ -145,14 +148,16 @@ def rank_chunks(chunked: DataFrame, questions: DataFrame, total: Column, k: int
     """(question_id, rank, doc_id, chunk_no, score): best chunks by tf * ln((N+1)/(df+1)).
 
     total is the number of chunks N. Tokens that no question asks for are dropped before
-    anything is shuffled. At most max_pairs (question, term) pairs are fetched and sent to the
-    tasks; a larger question set is scored by joins.
+    anything is shuffled. At most max_pairs (question, term) pairs are fetched, and a matrix of at
+    most MAX_CELLS is sent to the tasks; a larger question set is scored by joins, with the same rows.
+    A chunk with an asked term is ranked even if the term is in every chunk and so weighs nothing.
     """
     tokens = chunked.select("doc_id", "chunk_no", F.explode(words(F.col("text"))).alias("term"))
     asked = questions.select("question_id", F.explode(F.array_distinct(words(F.col("question")))).alias("term"))
     weighted = asked.join(_weights(tokens, asked.select("term").distinct(), total), "term")
     pairs = weighted.limit(max_pairs + 1).toPandas()
-    if len(pairs) <= max_pairs:
+    cells = pairs["term"].nunique() * pairs["question_id"].nunique()
+    if len(pairs) <= max_pairs and 0 < cells <= MAX_CELLS:
         scored = _scores_by_matrix(tokens, pairs, k)
     else:
         scored = _scores_by_join(tokens, weighted)

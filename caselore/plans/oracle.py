@@ -188,7 +188,7 @@ for _name in ("sink_cases", "stream_cases"):
 view("products", "", "SELECT 'P' || r_regionkey AS product_id FROM region")
 view("sh_files", "", """
 SELECT doc_id, 'P' || doc_id % 4 AS product_id, 'P' || doc_id % 4 || '_' || source || '_' || doc_id || '.txt' AS file_name,
-  text AS content, TIMESTAMP '2024-01-01' + to_hours(doc_id) AS modified_ts FROM documents WHERE lang = 'en'""")
+  text AS content, TIMESTAMP '2024-01-01' + to_hours(doc_id) AS modified_ts FROM documents""")
 view("sh_track", "sh_files", """
 SELECT product_id, file_name, CASE k WHEN 1 THEN content WHEN 2 THEN substr(content, 1, length(content) // 2)
     ELSE 'changed ' || content END AS processed_content, TIMESTAMP '2023-12-01' AS last_processed
@@ -318,8 +318,7 @@ SELECT analysis_id, product_id, question::INT AS query_no, slot AS item_no,
 FROM parts
 LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) c ON c.l_partkey = p_partkey
 LEFT JOIN (SELECT l_partkey, list('SR' || l_orderkey ORDER BY l_orderkey) AS cited FROM (
-    SELECT l_partkey, l_orderkey FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem)
-    QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey) <= 7) GROUP BY 1) r ON r.l_partkey = p_partkey
+    SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) GROUP BY 1) r ON r.l_partkey = p_partkey
 WHERE (a * 8 + question) % 13 <> 0 AND (a * 8 + question) % 11 <> 0""")
 view("modes", "parts", """
 SELECT *, (severity * occurrence * detectability)::INT AS rpn FROM (
@@ -493,11 +492,8 @@ FROM ment x JOIN ment y ON x.doc_id = y.doc_id AND x.chunk_no = y.chunk_no AND x
 oracle("mentions", "ment", "SELECT * FROM ment")
 oracle("cooccurrence", "cooc", "SELECT * FROM cooc")
 oracle("entity_insights", "ment cooc", """
-SELECT type, term AS name, count(*) AS frequency, coalesce(any_value(related), '') AS related FROM ment
-LEFT JOIN (SELECT name, string_agg(other, '|' ORDER BY other) AS related FROM (
-    SELECT name, other FROM (SELECT source AS name, target AS other FROM cooc UNION SELECT target, source FROM cooc)
-    QUALIFY row_number() OVER (PARTITION BY name ORDER BY other) <= 10) GROUP BY 1) r ON r.name = term
-GROUP BY 1, 2""")
+SELECT type, term AS name, frequency, related FROM (SELECT type, term, count(*) AS frequency FROM ment GROUP BY 1, 2)
+LEFT JOIN (SELECT source AS name, target AS related FROM cooc UNION SELECT target, source FROM cooc) r ON r.name = term""")
 
 # --- components -----------------------------------------------------------------------------
 

@@ -480,7 +480,7 @@ def cooccurrence(spark: SparkSession, d: str) -> DataFrame:
 @query
 def entity_insights(spark: SparkSession, d: str) -> DataFrame:
     found = _mentions(spark, d)
-    return ins.entity_insights(found, gr.cooccurrence(found)).withColumn("related", F.array_join("related", "|"))
+    return ins.entity_insights(found, gr.cooccurrence(found))
 
 
 @query
@@ -546,7 +546,7 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
 @query
 def knn_cosine(spark: SparkSession, d: str) -> DataFrame:
     """The nearest vectors to the mean vector of every label."""
-    centroids = ret.class_centroids(mp.table(spark, d, "embeddings"), 64)
+    centroids = ret.class_centroids(mp.table(spark, d, "embeddings"))
     return ret.top_k_similar(_vectors(spark, d), centroids, 5)
 
 

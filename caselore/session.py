@@ -9,23 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "caselore", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution and UTC; cluster settings come from spark-submit."""
+    """A session with adaptive execution and UTC; what spark-submit or conf says comes before these settings."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    asked = {k.replace("__", "."): v for k, v in conf.items()}
+    for key, value in {"spark.cleaner.referenceTracking.cleanCheckpoints": "true", **asked}.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",  # split a hot key even if it costs a shuffle
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.shuffle.partitions": "2000",
-        **{k.replace("__", "."): v for k, v in conf.items()},
     }
+    given = spark.sparkContext.getConf()
     for key, value in settings.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+        if key not in asked and not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -10,7 +10,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from caselore.functions import vocabulary as V
 from caselore.functions.text import content_hash
@@ -19,7 +18,6 @@ from caselore.session import widen
 AS_OF = "2002-01-01 00:00:00"
 PARTS_PER_ANSWER = 10
 PARTS_PER_ANALYSIS = 40
-CITED_CASES = 7
 
 
 # Schemas are given, so that no job reads footers to find them.
@@ -149,7 +147,7 @@ def prior_corpus(documents: DataFrame) -> DataFrame:
 
 def selfhelp_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     product = F.concat(F.lit("P"), (F.col("doc_id") % 4).cast("string"))
-    return table(spark, sf_dir, "documents").filter(F.col("lang") == "en").select(
+    return table(spark, sf_dir, "documents").select(
         product.alias("product_id"),
         F.concat(product, F.lit("_"), "source", F.lit("_"), F.col("doc_id").cast("string"),
                  F.lit(".txt")).alias("file_name"),
@@ -242,11 +240,9 @@ def _answers(grouped: DataFrame, questions: list[str], offset: int) -> DataFrame
 
 def gap_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    counts = lines.groupBy("l_partkey").agg(F.count("*").alias("n_lines"))
-    newest = Window.partitionBy("l_partkey").orderBy("l_orderkey")
-    cited = (lines.select("l_partkey", "l_orderkey").distinct()
-             .withColumn("rn", F.row_number().over(newest)).filter(F.col("rn") <= CITED_CASES)
-             .groupBy("l_partkey").agg(F.sort_array(F.collect_list("l_orderkey")).alias("keys")))
+    # every order of a part is cited
+    cited = lines.groupBy("l_partkey").agg(
+        F.count("*").alias("n_lines"), F.sort_array(F.collect_set("l_orderkey")).alias("keys"))
     thin = F.col("p_partkey") % 7 == 0
     item = F.struct(
         F.col("problem").alias("problemArea"),
@@ -260,7 +256,6 @@ def gap_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     grouped = (
         parts(spark, sf_dir)
-        .join(counts, F.col("p_partkey") == counts.l_partkey, "left").drop("l_partkey")
         .join(cited, F.col("p_partkey") == cited.l_partkey, "left").drop("l_partkey")
         .groupBy("analysis_id", "product_id", "question")
         .agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("slot", item.alias("item")))),

@@ -10,13 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
+from caselore.functions.text import has_text
 from caselore.operators import selfhelp
 from caselore.operators.changes import work_set, with_hash
 from caselore.sources.files import TRACKING, _or_empty
 
+CASE = ["product_id", "case_id"]
 DOCUMENTS = "product_id string, case_id string, part_no int, content string"
+#: Of several versions of a case in one batch the highest counts; without a version it is 0.
+ARRIVALS = DOCUMENTS + ", version long"
 CORPUS = DOCUMENTS + ", content_hash string, batch long"
+TRACKED = TRACKING + ", batch long, step int"
 FILES = "product_id string, file_name string, content string, modified_ts timestamp_ntz"
 
 
@@ -24,15 +30,22 @@ def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return _or_empty(spark, lambda: spark.read.schema(schema).parquet(path), schema)
 
 
-def newest(rows: DataFrame, keys: list[str], version: str = "batch") -> DataFrame:
-    """Rows of the newest version of each key: a maximum per key, joined back."""
-    last = rows.groupBy(*keys).agg(F.max(version).alias(version))
-    return rows.join(last, [*keys, version], "left_semi")
+def newest(rows: DataFrame, keys: list[str], *version: str) -> DataFrame:
+    """Rows of the newest version (of the highest batch) of each key: a maximum per key, joined back."""
+    version = version or ("batch",)
+    last = rows.groupBy(*keys).agg(F.max(F.struct(*version)).alias("last")).select(*keys, "last.*")
+    return rows.join(last, [*keys, *version], "left_semi")
+
+
+def one_version(batch: DataFrame) -> DataFrame:
+    """Of each case the parts of its highest version; of unlike texts of one part and version the greatest."""
+    last = newest(batch.withColumn("version", F.coalesce("version", F.lit(0))), CASE, "version")
+    return last.groupBy(*CASE, "part_no").agg(F.max("content").alias("content"))
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """The current corpus. A case is replaced as a whole, so versions are compared per case."""
-    return newest(_stored(spark, path, CORPUS), ["product_id", "case_id"])
+    return newest(_stored(spark, path, CORPUS), CASE)
 
 
 def stream_cases(spark: SparkSession, source: str, corpus: str, checkpoint: str,
@@ -40,11 +53,11 @@ def stream_cases(spark: SparkSession, source: str, corpus: str, checkpoint: str,
     """Documents arriving as parquet files, upserted into the corpus folder."""
     def upsert(batch: DataFrame, batch_id: int) -> None:
         stored = _stored(spark, corpus, CORPUS).filter(F.col("batch") < batch_id)
-        current = newest(stored.drop("content"), ["product_id", "case_id"])
-        changed = with_hash(work_set(batch, current, policy))
+        current = newest(stored.drop("content"), CASE)
+        changed = with_hash(work_set(one_version(batch), current, policy))
         changed.write.mode("overwrite").parquet(f"{corpus}/batch={batch_id}")
 
-    reader = spark.readStream.schema(DOCUMENTS)
+    reader = spark.readStream.schema(ARRIVALS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (reader.parquet(source).writeStream.foreachBatch(upsert)
@@ -53,17 +66,25 @@ def stream_cases(spark: SparkSession, source: str, corpus: str, checkpoint: str,
 
 def stream_selfhelp(spark: SparkSession, source: str, sections: str, tracking: str, checkpoint: str,
                     files_per_batch: int | None = None) -> StreamingQuery:
-    """Self-help files arriving as parquet rows: new sections and tracking rows are appended."""
-    versioned = TRACKING + ", batch long"
+    """Self-help files arriving as parquet rows: new sections and tracking rows are appended.
+
+    Several versions of a file in one batch are taken one after the other, by their time: step n takes the n-th version
+    of every file that has so many.
+    """
+    place = F.row_number().over(Window.partitionBy(*selfhelp.KEY).orderBy("modified_ts", "content"))
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        stored = _stored(spark, tracking, versioned).filter(F.col("batch") < batch_id)
-        diff = selfhelp.selfhelp_diff(batch, newest(stored, selfhelp.KEY))
-        selfhelp.selfhelp_sections(diff).write.mode("overwrite").parquet(f"{sections}/batch={batch_id}")
-        rows = diff.filter(F.col("status") != "unchanged").select(
-            *selfhelp.KEY, F.col("content").alias("processed_content"), F.col("modified_ts").alias("last_processed"),
-            F.char_length("content").alias("content_length"))
-        rows.write.mode("overwrite").parquet(f"{tracking}/batch={batch_id}")
+        versions = batch.filter(has_text(F.col("content"))).distinct().withColumn("step", place).persist()
+        for step in range(1, (versions.agg(F.max("step")).first()[0] or 0) + 1):
+            earlier = (F.col("batch") < batch_id) | ((F.col("batch") == batch_id) & (F.col("step") < step))
+            stored = newest(_stored(spark, tracking, TRACKED).filter(earlier), selfhelp.KEY, "batch", "step")
+            diff = selfhelp.selfhelp_diff(versions.filter(F.col("step") == step).drop("step"), stored)
+            selfhelp.selfhelp_sections(diff).write.mode("overwrite").parquet(f"{sections}/batch={batch_id}/step={step}")
+            rows = diff.filter(F.col("status") != "unchanged").select(
+                *selfhelp.KEY, F.col("content").alias("processed_content"), F.col("modified_ts").alias("last_processed"),
+                F.char_length("content").alias("content_length"))
+            rows.write.mode("overwrite").parquet(f"{tracking}/batch={batch_id}/step={step}")
+        versions.unpersist()
 
     reader = spark.readStream.schema(FILES)
     if files_per_batch:
@@ -73,8 +94,8 @@ def stream_selfhelp(spark: SparkSession, source: str, sections: str, tracking: s
 
 
 def read_sections(spark: SparkSession, path: str) -> DataFrame:
-    return _stored(spark, path, "product_id string, file_name string, status string, section string, batch long")
+    return _stored(spark, path, "product_id string, file_name string, status string, section string, batch long, step int")
 
 
 def read_stream_tracking(spark: SparkSession, path: str) -> DataFrame:
-    return newest(_stored(spark, path, TRACKING + ", batch long"), selfhelp.KEY)
+    return newest(_stored(spark, path, TRACKED), selfhelp.KEY, "batch", "step")

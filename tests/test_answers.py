@@ -114,6 +114,20 @@ def test_gap_case_check(spark):
         0: (3, 2, True, "2"), 1: (1, 1, False, "3"), 2: (0, 0, False, "")}
 
 
+def test_a_case_cited_twice_is_one_case(spark):
+    gaps = ans.parse_gaps(answer(spark, [{"relatedCaseNumbers": ["1", "1"]}]))
+    cases = spark.createDataFrame([("1", "3"), ("1", "2")], "case_id string, sr_severity string")
+    row = ins.gap_case_check(gaps, cases).first()
+    assert (row["cited"], row["found"], row["confirmed"], row["severity_level"]) == (1, 1, False, "2")
+
+
+def test_ratings_too_large_to_multiply(spark):
+    payload = {"failureModes": [{"severityRating": 2000, "occurrenceFrequency": 2000, "detectabilityRating": 2000}, {}]}
+    found = answer(spark, payload, {"failureModes": [{}]})
+    assert sorted((r["rpn"] for r in ans.parse_failure_modes(found).collect()), key=str) == [125, 125, None]
+    assert [r["query_no"] for r in ans.answer_failures(answer(spark, []), found).collect()] == [1]
+
+
 def test_community_report_rating_range(spark):
     df = spark.createDataFrame([("c", json.dumps({"title": "t", "rating": r, "findings": [{"summary": "s", "explanation": "e"}]}))
                                 for r in (0, 10, 10.5, -1)], "component string, report_json string")

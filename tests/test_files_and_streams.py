@@ -128,3 +128,22 @@ def test_selfhelp_stream_equals_batch(spark, tmp_path):
     assert sorted(got) == sorted(expected)
     assert {(r["file_name"], r["processed_content"]) for r in ingest.read_stream_tracking(spark, tracking).collect()} == {
         (r["file_name"], r["processed_content"]) for r in state.collect()}
+
+
+def test_two_versions_of_a_case_in_one_batch(spark, tmp_path):
+    source, corpus, check = (str(tmp_path / n) for n in ("in", "corpus", "check"))
+    for rows in ([("P", "a", 0, "v2", 2), ("P", "a", 1, "v2 more", 2)], [("P", "a", 0, "v1", 1), ("P", "a", 2, "v1 more", 1), ("P", "b", 0, "x", None)]):
+        feed(spark, rows, ingest.ARRIVALS, source)
+    ingest.stream_cases(spark, source, corpus, check).awaitTermination()
+    assert {(r["case_id"], r["part_no"], r["content"]) for r in ingest.read_corpus(spark, corpus).collect()} == {
+        ("a", 0, "v2"), ("a", 1, "v2 more"), ("b", 0, "x")}
+
+
+def test_two_versions_of_a_file_in_one_batch(spark, tmp_path):
+    source, sections, tracking, check = (str(tmp_path / n) for n in ("in", "sections", "tracking", "check"))
+    for hour, text in ((2, "one two"), (1, "one"), (3, " ")):
+        feed(spark, [("P", "P_a.txt", text, dt.datetime(2024, 1, 1, hour))], ingest.FILES, source)
+    ingest.stream_selfhelp(spark, source, sections, tracking, check).awaitTermination()
+    rows = sorted(ingest.read_sections(spark, sections).collect(), key=lambda r: r["step"])
+    assert [r["status"] for r in rows] == ["new", "incremental"] and "\n\n two\n\n" in rows[1]["section"]
+    assert [r["processed_content"] for r in ingest.read_stream_tracking(spark, tracking).collect()] == ["one two"]

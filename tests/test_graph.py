@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from caselore.functions import vocabulary as V
 from caselore.operators import components as comp
 from caselore.operators import graph as gr
+from caselore.operators import insights as ins
 from caselore.operators import retrieval as ret
 
 
@@ -146,3 +147,25 @@ def test_question_ranking_against_brute_force(spark, max_pairs):
         got = [(-r["score"], r["doc_id"]) for r in sorted(found, key=lambda r: r["rank"]) if r["question_id"] == q]
         assert [i for _, i in got] == [i for _, i in sorted(scored)[:5]]
         assert [s for s, _ in got] == pytest.approx([s for s, _ in sorted(scored)[:5]])
+
+
+@pytest.mark.parametrize("max_pairs", [1000, 0])
+def test_a_term_of_every_chunk_ranks_with_nothing(spark, max_pairs):
+    docs = spark.createDataFrame([(1, "common alpha"), (2, "common"), (3, "common beta")], "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "common"), (2, "alpha common"), (3, "unknown")], "question_id long, question string")
+    found = ret.rank_chunks(gr.chunks(docs), asked, F.lit(3), 5, max_pairs=max_pairs).collect()
+    assert {(r["question_id"], r["rank"], r["doc_id"], r["score"] > 0) for r in found} == {
+        (1, 1, 1, False), (1, 2, 2, False), (1, 3, 3, False), (2, 1, 1, True), (2, 2, 2, False), (2, 3, 3, False)}
+    assert ret.rank_chunks(gr.chunks(docs), asked.filter("question_id = 3"), F.lit(3), 5, max_pairs=max_pairs).isEmpty()
+
+
+def test_terms_of_any_length_and_all_related_names(spark):
+    docs = spark.createDataFrame([(1, "zero one two three four"), (2, "one two")], "doc_id long, text string")
+    terms = spark.createDataFrame([("one two three four", "ISSUE"), ("zero", "ISSUE")], "term string, type string")
+    found = gr.mentions(gr.chunks(docs), terms)
+    assert {(r["doc_id"], r["term"]) for r in found.collect()} == {(1, "one two three four"), (1, "zero")}
+    assert gr.mentions(gr.chunks(docs), terms.limit(0)).isEmpty()
+    edges = spark.createDataFrame([("zero", f"n{i}") for i in range(15)], "source string, target string")
+    rows = ins.entity_insights(found, edges).collect()
+    assert {r["related"] for r in rows if r["name"] == "zero"} == {f"n{i}" for i in range(15)}
+    assert [(r["frequency"], r["related"]) for r in rows if r["name"] != "zero"] == [(1, None)]
