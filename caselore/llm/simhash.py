@@ -66,8 +66,11 @@ def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, id_
 # Near-duplicates by similarity.
 
 WIDTH = 1024
-FILTER_WORDS = 2  # words of 64 bits that every bucket row carries
-FILTER_DISTANCE = 32
+#: Every bucket row carries the size of its shingle set and so many words of 64 bits. Sets of the similarity differ in
+#: about 39 of 256 bits, with a deviation of 6; one pair in a thousand is above the distance.
+FILTER_WORDS = 4
+FILTER_DISTANCE = 57
+TRAITS = ["size", *(f"s{k}" for k in range(1, FILTER_WORDS + 1))]
 NEIGHBOURS = 15
 
 
@@ -116,47 +119,109 @@ def _signatures(docs: DataFrame, shingle: int, part_bits: int, parts: int, id_co
             bits = wide_bits(hashes, offsets)
             values = bits[:, :parts * part_bits].reshape(len(block), parts, part_bits) @ weights
             keys = (values | (np.arange(parts, dtype=np.uint64) << np.uint64(40))).astype(np.int64).ravel()
-            head = np.packbits(bits[:, :64 * FILTER_WORDS], axis=1).view(np.int64)
+            traits = [np.diff(offsets).astype(np.int64), *np.packbits(bits[:, :64 * FILTER_WORDS], axis=1).view(np.int64).T]
             first, second = _set_keys(hashes, offsets)
             yield pa.RecordBatch.from_arrays(
                 [block.rows.column(id_col), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
-                 pa.array(head[:, 0]), pa.array(head[:, 1]),
+                 *(pa.array(np.ascontiguousarray(x)) for x in traits),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1, dtype=np.int32) * parts), pa.array(keys))],
-                [id_col, "k1", "k2", "s1", "s2", "keys"])
+                [id_col, "k1", "k2", *TRAITS, "keys"])
 
-    schema = f"{id_col} {kind}, k1 long, k2 long, s1 long, s2 long, keys array<bigint>"
+    schema = f"{id_col} {kind}, k1 long, k2 long, {', '.join(f'{t} long' for t in TRAITS)}, keys array<bigint>"
     return docs.select(id_col, text_col).filter(F.col(id_col).isNotNull()).mapInArrow(step, schema)
 
 
-def _neighbours(distance: int, reach: int):
-    """Candidate pairs of sorted bucket rows: rows of buckets of up to reach + 1 with all others, of wider
-    ones, which are named, with the next one only."""
+#: What a bucket row is: a row still to be compared, a candidate pair (node, key), or the key of a wide bucket.
+ROW, PAIR, WIDE = 0, 1, 2
+
+
+class _Runs:
+    """Runs of equal keys in sorted batches: every row's place in its run and the first row of it, across batches."""
+
+    def __init__(self) -> None:
+        self.last: tuple[int, int, tuple[int, ...]] | None = None  # key, rows so far, first row
+
+    def of(self, key: np.ndarray, *row: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        opens = np.concatenate([[True], key[1:] != key[:-1]])
+        start = np.maximum.accumulate(np.where(opens, np.arange(len(key)), 0))
+        place, first = np.arange(len(key)) - start, [c[start] for c in row]
+        if self.last is not None and self.last[0] == key[0]:
+            place[start == 0] += self.last[1]
+            for c, value in zip(first, self.last[2], strict=True):
+                c[start == 0] = value
+        self.last = int(key[-1]), int(place[-1]) + 1, tuple(int(c[-1]) for c in first)
+        return place, first
+
+
+def _alike(x: list[np.ndarray], y: list[np.ndarray], distance: int, similarity: float) -> np.ndarray:
+    """Whether two rows (node, *TRAITS) may be similar sets: by their sizes, which loses none, and by their bits."""
+    small, large = np.minimum(x[1], y[1]), np.maximum(x[1], y[1])
+    apart = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in zip(x[2:], y[2:], strict=True))
+    return (x[0] != y[0]) & (small >= similarity * large) & (apart <= distance)
+
+
+def _bucket_rows(kind: int, key: np.ndarray, *row: np.ndarray) -> pa.RecordBatch:
+    row = row + tuple(np.zeros(len(key), np.int64) for _ in range(1 + len(TRAITS) - len(row)))
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int8)), *map(pa.array, (key, *row))],
+                                      ["kind", "key", "node", *TRAITS])
+
+
+def _combined(distance: int, similarity: float, reach: int):
+    """Before the shuffle: reach + 1 rows of a bucket go on, later ones in the same task meet the first row here."""
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = _Runs()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, *row = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            place, first = runs.of(key, *row)
+            on = place <= reach
+            yield _bucket_rows(ROW, key[on], *(c[on] for c in row))
+            met = ~on & _alike(row, first, distance, similarity)
+            pairs = np.unique(np.sort(np.stack([row[0][met], first[0][met]]), axis=0), axis=1)
+            yield _bucket_rows(PAIR, pairs[1], pairs[0])
+            yield _bucket_rows(WIDE, key[place == reach + 1])
+        release_memory()
+
+    return step
+
+
+def _neighbours(distance: int, similarity: float, reach: int):
+    """(a, b): candidate pairs of sorted bucket rows. Rows of buckets of up to reach + 1 meet all others; those of wider
+    ones, which are named as (key, null), the first one only. Pairs that were made before are handed on."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] | None = None
+        runs, kept = _Runs(), None
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            old = 0
-            if kept is not None:
-                old = len(kept[0])
-                columns = [np.concatenate(x) for x in zip(kept, columns, strict=True)]
-            key, node, s1, s2 = columns
-            right = np.arange(max(old, reach + 1), len(key))
-            wide = np.unique(key[right[key[right] == key[right - reach - 1]]])
-            in_wide, pairs = np.isin(key, wide), []
-            for d in range(1, reach + 1):
-                right = np.arange(max(old, d), len(key))
-                right = right[(key[right] == key[right - d]) & ((d == 1) | ~in_wide[right])]
-                left = right - d
-                apart = np.bitwise_count((s1[left] ^ s1[right]).view(np.uint64)) + np.bitwise_count((s2[left] ^ s2[right]).view(np.uint64))
-                near = (apart <= distance) & (node[left] != node[right])
-                pairs.append(np.stack([node[left[near]], node[right[near]]]))
-            a, b = np.concatenate(pairs, axis=1)
-            a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            none = np.zeros(len(wide), bool)
+            kind, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            handed = [c[kind == PAIR] for c in columns[:2]]
+            named = [columns[0][kind == WIDE]]
+            columns, pairs = [c[kind == ROW] for c in columns], [np.stack([handed[1], handed[0]])]
+            if len(columns[0]):
+                place, first = runs.of(*columns)
+                columns = [*columns, place, *first]
+                old = 0
+                if kept is not None:
+                    old = len(kept[0])
+                    columns = [np.concatenate(x) for x in zip(kept, columns, strict=True)]
+                key, row = columns[0], columns[1:2 + len(TRAITS)]
+                place, first = columns[2 + len(TRAITS)], columns[3 + len(TRAITS):]
+                wide = np.unique(key[place > reach])
+                in_wide = np.isin(key, wide)
+                named.append(key[old:][place[old:] == reach + 1])
+                star = in_wide & _alike(row, first, distance, similarity)
+                pairs.append(np.stack([row[0][star], first[0][star]]))
+                for d in range(1, reach + 1):
+                    right = np.arange(max(old, d), len(key))
+                    right = right[(key[right] == key[right - d]) & ~in_wide[right]]
+                    left = right - d
+                    near = _alike([c[left] for c in row], [c[right] for c in row], distance, similarity)
+                    pairs.append(np.stack([row[0][left[near]], row[0][right[near]]]))
+                kept = [c[-(reach + 1):].copy() for c in columns]
+            a, b = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
+            keys = np.unique(np.concatenate(named))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([a, wide])), pa.array(np.concatenate([b, wide]), mask=np.concatenate([np.zeros(len(b), bool), ~none]))],
-                ["a", "b"])
-            kept = [c[-(reach + 1):].copy() for c in columns]
+                [pa.array(np.concatenate([a, keys])),
+                 pa.array(np.concatenate([b, keys]), mask=np.arange(len(b) + len(keys)) >= len(b))], ["a", "b"])
         release_memory()
 
     return step
@@ -197,9 +262,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
                     text_col: str = "text", neighbours: int = NEIGHBOURS) -> DataFrame:
     """(id): the documents to drop; of each group of copies and linked near copies the smallest id is not among them.
 
-    Buckets of up to neighbours + 1 texts are compared whole. In wider ones each row meets the next one in a random order;
-    texts that fall out by that are gone in the next round, which takes only the rest of the wide buckets, in another
-    order and four times as wide, until no bucket is wider. So no pair of texts that stay is left out.
+    Buckets of up to neighbours + 1 texts are compared whole. In wider ones each row meets the first one of an order that
+    is the same in all buckets, so that the rows of a large group meet few others; a task does this with its own rows
+    before the shuffle and sends on neighbours + 1 of a bucket at most. Texts that fall out by that are gone in the next
+    round, which takes only the rest of the wide buckets, in another order and four times as wide, until no bucket is
+    wider. So no pair of texts that stay is left out.
     """
     shared_dir(docs.sparkSession)
     total = docs.count()
@@ -208,19 +275,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     signed = _signatures(docs, shingle, part_bits, parts, id_col, text_col).checkpoint()
     alike = signed.groupBy("k1", "k2").agg(F.min(id_col).alias("node")).checkpoint()
     nodes = (alike.join(signed.withColumnRenamed(id_col, "node"), ["k1", "k2", "node"])
-             .dropDuplicates(["node"]).select("node", "s1", "s2", "keys"))
-    rows = nodes.select("node", "s1", "s2", F.explode("keys").alias("key"))
+             .dropDuplicates(["node"]).select("node", *TRAITS, "keys"))
+    rows = nodes.select("node", *TRAITS, F.explode("keys").alias("key"))
     copies = signed.join(alike, ["k1", "k2"]).filter(F.col(id_col) != F.col("node")).select(F.col(id_col).alias("gone"))
     edges, gone, turn = None, None, 0
     while True:
-        dealt = (rows.select("key", "node", "s1", "s2").repartition("key")
-                 .sortWithinPartitions("key", F.xxhash64(F.lit(turn), "node")))
-        found = dealt.mapInArrow(_neighbours(FILTER_DISTANCE, neighbours), "a long, b long").distinct().checkpoint()
+        order = F.xxhash64(F.lit(turn), "node")
+        here = (rows.select("key", "node", *TRAITS).sortWithinPartitions("key", order)
+                .mapInArrow(_combined(FILTER_DISTANCE, similarity, neighbours),
+                            "kind tinyint, key long, node long, " + ", ".join(f"{t} long" for t in TRAITS)))
+        dealt = (here.repartition(F.when(F.col("kind") == PAIR, F.xxhash64("node", "key")).otherwise(F.col("key")))
+                 .sortWithinPartitions("kind", "key", order))
+        found = dealt.mapInArrow(_neighbours(FILTER_DISTANCE, similarity, neighbours), "a long, b long").distinct().checkpoint()
         wide = found.filter(F.col("b").isNull()).select(F.col("a").alias("key"))
-        now = _verified(found.filter(F.col("b").isNotNull()), docs, shingle, similarity, id_col, text_col)
-        edges = (now if edges is None else edges.unionByName(now)).checkpoint()
-        groups = connected_components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-        gone = groups.filter(F.col("node") != F.col("component")).select("node").checkpoint()
+        now = _verified(found.filter(F.col("b").isNotNull()), docs, shingle, similarity, id_col, text_col).checkpoint()
+        if gone is None or not now.isEmpty():
+            edges = now if edges is None else edges.unionByName(now).checkpoint()
+            groups = connected_components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+            gone = groups.filter(F.col("node") != F.col("component")).select("node").checkpoint()
         if wide.isEmpty():
             break
         rows = rows.join(wide, "key", "left_semi").join(gone, "node", "left_anti").checkpoint()
