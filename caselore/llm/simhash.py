@@ -266,7 +266,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     is the same in all buckets, so that the rows of a large group meet few others; a task does this with its own rows
     before the shuffle and sends on neighbours + 1 of a bucket at most. Texts that fall out by that are gone in the next
     round, which takes only the rest of the wide buckets, in another order and four times as wide, until no bucket is
-    wider. So no pair of texts that stay is left out.
+    wider. So no pair of texts that stay is left out, and none is verified twice.
     """
     shared_dir(docs.sparkSession)
     total = docs.count()
@@ -278,7 +278,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
              .dropDuplicates(["node"]).select("node", *TRAITS, "keys"))
     rows = nodes.select("node", *TRAITS, F.explode("keys").alias("key"))
     copies = signed.join(alike, ["k1", "k2"]).filter(F.col(id_col) != F.col("node")).select(F.col(id_col).alias("gone"))
-    edges, gone, turn = None, None, 0
+    edges, gone, tried, turn = None, None, None, 0
     while True:
         order = F.xxhash64(F.lit(turn), "node")
         here = (rows.select("key", "node", *TRAITS).sortWithinPartitions("key", order)
@@ -288,7 +288,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
                  .sortWithinPartitions("kind", "key", order))
         found = dealt.mapInArrow(_neighbours(FILTER_DISTANCE, similarity, neighbours), "a long, b long").distinct().checkpoint()
         wide = found.filter(F.col("b").isNull()).select(F.col("a").alias("key"))
-        now = _verified(found.filter(F.col("b").isNotNull()), docs, shingle, similarity, id_col, text_col).checkpoint()
+        pairs = found.filter(F.col("b").isNotNull())
+        fresh = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti").checkpoint()
+        tried = fresh if tried is None else tried.unionByName(fresh)
+        now = _verified(fresh, docs, shingle, similarity, id_col, text_col).checkpoint()
         if gone is None or not now.isEmpty():
             edges = now if edges is None else edges.unionByName(now).checkpoint()
             groups = connected_components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
