@@ -5,9 +5,10 @@ and finds all links within a Hamming distance by the generalised pigeonhole of l
 one node, so copies cost a row each and nothing more.
 
 `drop_near_duplicates` is for a similarity: shingle sets with a Jaccard similarity of 0.8 differ in about 15 of 100
-SimHash bits, too many for 64 of them. Texts get 1024 bits there, in many partitions with a threshold of 0 each. By the
-pigeonhole every pair with fewer differing bits than partitions is found; at a similarity of 0.8 about 95 of 100 pairs,
-at 0.9 all but a few in a million share a partition. Candidates are verified on their whole shingle sets.
+SimHash bits, too many for 64 of them. Candidates are found there by prefixes, whose recall is 1 at any number of rows: in
+one order of all shingles, two sets x and y with at least `least` common shingles share one among the first
+size - least + 1 of each. Rare shingles come first in the order, so that few rows meet; any order loses nothing.
+Candidates are verified on their whole shingle sets (32 bits of each hash).
 
 Null texts are empty ones. Empty texts have fingerprint zero and are linked like any other; in drop_near_duplicates
 they are copies of each other. Rows without an id are nodes of their own in neither: they get the component of their
@@ -18,11 +19,11 @@ returns all columns.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,40 +66,51 @@ def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, id_
 
 # Near-duplicates by similarity.
 
-WIDTH = 1024
-#: Every bucket row carries the size of its shingle set and so many words of 64 bits. Sets of the similarity differ in
-#: about 39 of 256 bits, with a deviation of 6; one pair in a thousand is above the distance.
+#: Every bucket row carries the size of its shingle set, the place of the shingle in it, and for each of 64 * FILTER_WORDS
+#: classes of shingles whether their number is odd: sets differ in at least as many shingles as in such bits.
 FILTER_WORDS = 4
-FILTER_DISTANCE = 57
-TRAITS = ["size", *(f"s{k}" for k in range(1, FILTER_WORDS + 1))]
+TRAITS = ["size", "place", *(f"s{k}" for k in range(1, FILTER_WORDS + 1))]
 NEIGHBOURS = 15
+#: The order of shingles comes from counts in this share of the documents, or in ORDER_ROWS of them if that is more. It only
+#: decides how many rows meet, never which pairs are found.
+ORDER_SHARE, ORDER_ROWS = 1 / 16, 4000
+#: Shingles of so many sampled documents come after all others, up to so many shingles.
+COMMON_COUNT, COMMON_SHINGLES = 3, 1 << 18
+#: Against rounding in bounds on the number of common shingles.
+EPSILON = 1e-6
 
 
-def _rotated(sketch: np.ndarray) -> np.ndarray:
-    """Random signs, then the Walsh-Hadamard transform of each row."""
-    x = sketch * np.where(mixed(np.arange(1, WIDTH + 1, dtype=np.uint64)) & np.uint64(1), 1.0, -1.0).astype(np.float32)
-    half = 1
-    while half < WIDTH:
-        x = x.reshape(-1, WIDTH // (2 * half), 2, half)
-        x = np.stack([x[:, :, 0] + x[:, :, 1], x[:, :, 0] - x[:, :, 1]], axis=2)
-        half *= 2
-    return x.reshape(-1, WIDTH)
+def _common_shingles(docs: DataFrame, shingle: int, total: int, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of common shingles, sorted, and their counts."""
+    share = max(ORDER_SHARE, min(1.0, ORDER_ROWS / max(1, total)))
 
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text_col):
+            hashes, _ = distinct_per_text(*shingle_hashes(block, shingle))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
+
+    some = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).select(text_col)
+    counts = (some.mapInArrow(step, "hash long").groupBy("hash").agg(F.count("*").alias("n"))
+              .filter(F.col("n") >= COMMON_COUNT).checkpoint())
+    room, least = COMMON_SHINGLES, None
+    for n, shingles in sorted(((r[0], r[1]) for r in counts.groupBy("n").agg(F.count("*")).collect()), reverse=True):
+        room -= shingles
+        if room < 0:
+            break
+        least = n
+    found = counts.filter(F.col("n") >= least).toArrow() if least is not None else pa.table({"hash": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+    hashes, n = found["hash"].to_numpy().view(np.uint64), found["n"].to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
 
-def wide_bits(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """WIDTH SimHash bits of each set of hashes: a signed sum per place, rotated, its signs."""
-    n = len(offsets) - 1
+
+def _odd_counts(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """64 * FILTER_WORDS bits of each set: whether the number of its shingles in a class is odd."""
+    n, width = len(offsets) - 1, 64 * FILTER_WORDS
     of = np.repeat(np.arange(n), np.diff(offsets))
-    again = mixed(hashes + np.uint64(0x9E3779B97F4A7C15))
-    place = (again % np.uint64(WIDTH)).astype(np.int64)
-    sign = np.where((again >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
-    out = np.zeros((n, WIDTH), bool)
-    for start in range(0, n, 256):
-        stop = min(n, start + 256)
-        i, j = offsets[start], offsets[stop]
-        sketch = np.bincount((of[i:j] - start) * WIDTH + place[i:j], sign[i:j], (stop - start) * WIDTH)
-        out[start:stop] = _rotated(sketch.reshape(-1, WIDTH).astype(np.float32)) > 0
-    return out
+    place = (mixed(hashes + np.uint64(0x9E3779B97F4A7C15)) % np.uint64(width)).astype(np.int64)
+    counts = np.bincount(of * width + place, minlength=n * width).reshape(n, width)
+    return np.packbits((counts & 1).astype(bool), axis=1).view(np.int64)
 
 
 def _set_keys(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,25 +121,33 @@ def _set_keys(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return sums(mixed(hashes)), sums(mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)))
 
 
-def _signatures(docs: DataFrame, shingle: int, part_bits: int, parts: int, id_col: str, text_col: str) -> DataFrame:
+def _signatures(docs: DataFrame, shingle: int, similarity: float, common: Broadcast, id_col: str, text_col: str) -> DataFrame:
+    """(id, k1, k2, traits but the place, keys): the prefix of each shingle set in the order of all shingles, as keys."""
     kind = docs.schema[id_col].dataType.simpleString()
-    weights = np.uint64(1) << np.arange(part_bits, dtype=np.uint64)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = common.value
         for block in blocks(batches, text_col):
             hashes, offsets = distinct_per_text(*shingle_hashes(block, shingle))
-            bits = wide_bits(hashes, offsets)
-            values = bits[:, :parts * part_bits].reshape(len(block), parts, part_bits) @ weights
-            keys = (values | (np.arange(parts, dtype=np.uint64) << np.uint64(40))).astype(np.int64).ravel()
-            traits = [np.diff(offsets).astype(np.int64), *np.packbits(bits[:, :64 * FILTER_WORDS], axis=1).view(np.int64).T]
+            sizes = np.diff(offsets)
+            of = np.repeat(np.arange(len(block)), sizes)
+            count = np.zeros(len(hashes), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                count = np.where(known[at] == hashes, counts[at], 0)
+            keys = hashes[np.lexsort((hashes, count, of))]
+            prefix = np.where(sizes > 0, sizes - np.ceil(similarity * sizes - EPSILON).astype(np.int64) + 1, 0)
+            keys = keys[np.arange(len(keys)) - np.repeat(offsets[:-1], sizes) < np.repeat(prefix, sizes)]
             first, second = _set_keys(hashes, offsets)
+            traits = [sizes.astype(np.int64), *_odd_counts(hashes, offsets).T]
+            ends = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [block.rows.column(id_col), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
                  *(pa.array(np.ascontiguousarray(x)) for x in traits),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1, dtype=np.int32) * parts), pa.array(keys))],
-                [id_col, "k1", "k2", *TRAITS, "keys"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)))],
+                [id_col, "k1", "k2", *(t for t in TRAITS if t != "place"), "keys"])
 
-    schema = f"{id_col} {kind}, k1 long, k2 long, {', '.join(f'{t} long' for t in TRAITS)}, keys array<bigint>"
+    schema = f"{id_col} {kind}, k1 long, k2 long, {', '.join(f'{t} long' for t in TRAITS if t != 'place')}, keys array<bigint>"
     return docs.select(id_col, text_col).filter(F.col(id_col).isNotNull()).mapInArrow(step, schema)
 
 
@@ -153,11 +173,13 @@ class _Runs:
         return place, first
 
 
-def _alike(x: list[np.ndarray], y: list[np.ndarray], distance: int, similarity: float) -> np.ndarray:
-    """Whether two rows (node, *TRAITS) may be similar sets: by their sizes, which loses none, and by their bits."""
-    small, large = np.minimum(x[1], y[1]), np.maximum(x[1], y[1])
-    apart = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in zip(x[2:], y[2:], strict=True))
-    return (x[0] != y[0]) & (small >= similarity * large) & (apart <= distance)
+def _alike(x: list[np.ndarray], y: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Whether two rows (node, *TRAITS) may be similar sets; no similar pair fails in the bucket of its first common shingle."""
+    total = x[1] + y[1]
+    least = np.ceil(similarity / (1 + similarity) * total - EPSILON).astype(np.int64)
+    near = (x[0] != y[0]) & (x[2] <= x[1] - least) & (y[2] <= y[1] - least)
+    apart = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in zip(x[3:], y[3:], strict=True))
+    return near & (apart <= total - 2 * least)
 
 
 def _bucket_rows(kind: int, key: np.ndarray, *row: np.ndarray) -> pa.RecordBatch:
@@ -166,7 +188,7 @@ def _bucket_rows(kind: int, key: np.ndarray, *row: np.ndarray) -> pa.RecordBatch
                                       ["kind", "key", "node", *TRAITS])
 
 
-def _combined(distance: int, similarity: float, reach: int):
+def _combined(similarity: float, reach: int):
     """Before the shuffle: reach + 1 rows of a bucket go on, later ones in the same task meet the first row here."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = _Runs()
@@ -177,7 +199,7 @@ def _combined(distance: int, similarity: float, reach: int):
             place, first = runs.of(key, *row)
             on = place <= reach
             yield _bucket_rows(ROW, key[on], *(c[on] for c in row))
-            met = ~on & _alike(row, first, distance, similarity)
+            met = ~on & _alike(row, first, similarity)
             pairs = np.unique(np.sort(np.stack([row[0][met], first[0][met]]), axis=0), axis=1)
             yield _bucket_rows(PAIR, pairs[1], pairs[0])
             yield _bucket_rows(WIDE, key[place == reach + 1])
@@ -186,7 +208,7 @@ def _combined(distance: int, similarity: float, reach: int):
     return step
 
 
-def _neighbours(distance: int, similarity: float, reach: int):
+def _neighbours(similarity: float, reach: int):
     """(a, b): candidate pairs of sorted bucket rows. Rows of buckets of up to reach + 1 meet all others; those of wider
     ones, which are named as (key, null), the first one only. Pairs that were made before are handed on."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,13 +230,13 @@ def _neighbours(distance: int, similarity: float, reach: int):
                 wide = np.unique(key[place > reach])
                 in_wide = np.isin(key, wide)
                 named.append(key[old:][place[old:] == reach + 1])
-                star = in_wide & _alike(row, first, distance, similarity)
+                star = in_wide & _alike(row, first, similarity)
                 pairs.append(np.stack([row[0][star], first[0][star]]))
                 for d in range(1, reach + 1):
                     right = np.arange(max(old, d), len(key))
                     right = right[(key[right] == key[right - d]) & ~in_wide[right]]
                     left = right - d
-                    near = _alike([c[left] for c in row], [c[right] for c in row], distance, similarity)
+                    near = _alike([c[left] for c in row], [c[right] for c in row], similarity)
                     pairs.append(np.stack([row[0][left[near]], row[0][right[near]]]))
                 kept = [c[-(reach + 1):].copy() for c in columns]
             a, b = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
@@ -268,25 +290,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     round, which takes only the rest of the wide buckets, in another order and four times as wide, until no bucket is
     wider. So no pair of texts that stay is left out, and none is verified twice.
     """
-    shared_dir(docs.sparkSession)
+    spark = docs.sparkSession
+    shared_dir(spark)
     total = docs.count()
-    part_bits = min(24, max(8, math.ceil(math.log2(max(2, total)))))
-    parts = min(64, WIDTH // part_bits)
-    signed = _signatures(docs, shingle, part_bits, parts, id_col, text_col).checkpoint()
+    common = spark.sparkContext.broadcast(_common_shingles(docs, shingle, total, id_col, text_col))
+    signed = _signatures(docs, shingle, similarity, common, id_col, text_col).checkpoint()
     alike = signed.groupBy("k1", "k2").agg(F.min(id_col).alias("node")).checkpoint()
     nodes = (alike.join(signed.withColumnRenamed(id_col, "node"), ["k1", "k2", "node"])
-             .dropDuplicates(["node"]).select("node", *TRAITS, "keys"))
-    rows = nodes.select("node", *TRAITS, F.explode("keys").alias("key"))
+             .dropDuplicates(["k1", "k2", "node"]).drop("k1", "k2"))
+    rows = nodes.select("*", F.posexplode("keys").alias("at", "key")).select("node", "key", F.col("at").cast("long").alias("place"), *(t for t in TRAITS if t != "place")).select("node", *TRAITS, "key")
     copies = signed.join(alike, ["k1", "k2"]).filter(F.col(id_col) != F.col("node")).select(F.col(id_col).alias("gone"))
     edges, gone, tried, turn = None, None, None, 0
     while True:
         order = F.xxhash64(F.lit(turn), "node")
         here = (rows.select("key", "node", *TRAITS).sortWithinPartitions("key", order)
-                .mapInArrow(_combined(FILTER_DISTANCE, similarity, neighbours),
+                .mapInArrow(_combined(similarity, neighbours),
                             "kind tinyint, key long, node long, " + ", ".join(f"{t} long" for t in TRAITS)))
         dealt = (here.repartition(F.when(F.col("kind") == PAIR, F.xxhash64("node", "key")).otherwise(F.col("key")))
                  .sortWithinPartitions("kind", "key", order))
-        found = dealt.mapInArrow(_neighbours(FILTER_DISTANCE, similarity, neighbours), "a long, b long").distinct().checkpoint()
+        found = dealt.mapInArrow(_neighbours(similarity, neighbours), "a long, b long").distinct().checkpoint()
         wide = found.filter(F.col("b").isNull()).select(F.col("a").alias("key"))
         pairs = found.filter(F.col("b").isNotNull())
         fresh = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti").checkpoint()

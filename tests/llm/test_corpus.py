@@ -121,6 +121,38 @@ def test_near_duplicates(spark, docs, corpus, nothing):
     assert {r["doc_id"] for r in simhash.near_duplicates(many, neighbours=2).collect()} == brute_gone(rows)
 
 
+def test_similar_sets_always_meet():
+    """Pairs at or just above the similarity share a key whose rows pass the filter, whatever the order and the number of rows."""
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 9, 90, 400):
+        for _ in range(20):
+            common = -(-8 * n // 9)
+            pool = np.unique(rng.integers(0, 1 << 62, 4 * n + 9).astype(np.uint64))
+            rng.shuffle(pool)
+            x = pool[:n]
+            y = np.concatenate([x[:common], pool[n:2 * n - common]])
+            order = {int(h): k for k, h in enumerate(rng.permutation(pool))}
+            if len(set(x) & set(y)) < 0.8 * len(set(x) | set(y)):
+                continue
+            rows = []
+            for node, one in enumerate((x, y)):
+                odd = simhash._odd_counts(one, np.array([0, n]))[0]
+                rows.append({int(h): [np.array([v]) for v in (node, n, k, *odd)]
+                             for k, h in enumerate(sorted(one, key=lambda h: order[int(h)]))})
+            assert any(simhash._alike(rows[0][h], rows[1][h], 0.8)[0] for h in rows[0].keys() & rows[1].keys())
+
+
+def test_near_duplicates_at_a_low_similarity(spark):
+    """None of many pairs just above the similarity is missed, also where bits differ in over a fourth."""
+    rng, rows = np.random.default_rng(12), []
+    for k in range(200):
+        ws = [f"w{w}" for w in rng.integers(0, 1_000_000, 100)]
+        again = [f"x{at}" if at in (8, 22, 38, 52, 68, 82) else w for at, w in enumerate(ws)]  # 66 of 126 shingles
+        rows += [(2 * k, " ".join(ws)), (2 * k + 1, " ".join(again))]
+    many = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.near_duplicates(many, similarity=0.5).collect()} == {2 * k + 1 for k in range(200)}
+
+
 def test_mixing(docs, corpus, nothing):
     weights = {"domain": {"src1": 3.0}, "lang": {"en": 2.0}}
     rows = mixing.mix(docs, F.col("source"), weights, total_share=0.6, max_epochs=2).collect()
