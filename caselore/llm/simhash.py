@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caselore.llm.blocks import blocks, mixed, release_memory
-from caselore.llm.pigeonhole import links
+from caselore.llm.pigeonhole import links, whole_groups
 from caselore.llm.shingles import distinct_per_text, fingerprints, shingle_hashes
 from caselore.operators.components import connected_components
 from caselore.session import shared_dir
@@ -66,11 +66,13 @@ def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, id_
 
 # Near-duplicates by similarity.
 
-#: Every bucket row carries the size of its shingle set, the place of the shingle in it, and for each of 64 * FILTER_WORDS
+#: Every bucket row carries the component of its text so far, the size of its shingle set, the place of the shingle in it, and for each of 64 * FILTER_WORDS
 #: classes of shingles whether their number is odd: sets differ in at least as many shingles as in such bits.
 FILTER_WORDS = 4
-TRAITS = ["size", "place", *(f"s{k}" for k in range(1, FILTER_WORDS + 1))]
+TRAITS = ["component", "size", "place", *(f"s{k}" for k in range(1, FILTER_WORDS + 1))]
 NEIGHBOURS = 15
+#: Rounds in which rows of wide buckets meet the first one only, before all that is left is compared.
+STAR_ROUNDS = 3
 #: The order of shingles comes from counts in this share of the documents, or in ORDER_ROWS of them if that is more. It only
 #: decides how many rows meet, never which pairs are found.
 ORDER_SHARE, ORDER_ROWS = 1 / 16, 4000
@@ -145,9 +147,9 @@ def _signatures(docs: DataFrame, shingle: int, similarity: float, common: Broadc
                 [block.rows.column(id_col), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
                  *(pa.array(np.ascontiguousarray(x)) for x in traits),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)))],
-                [id_col, "k1", "k2", *(t for t in TRAITS if t != "place"), "keys"])
+                [id_col, "k1", "k2", *(t for t in TRAITS[1:] if t != "place"), "keys"])
 
-    schema = f"{id_col} {kind}, k1 long, k2 long, {', '.join(f'{t} long' for t in TRAITS if t != 'place')}, keys array<bigint>"
+    schema = f"{id_col} {kind}, k1 long, k2 long, {', '.join(f'{t} long' for t in TRAITS[1:] if t != 'place')}, keys array<bigint>"
     return docs.select(id_col, text_col).filter(F.col(id_col).isNotNull()).mapInArrow(step, schema)
 
 
@@ -174,11 +176,13 @@ class _Runs:
 
 
 def _alike(x: list[np.ndarray], y: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Whether two rows (node, *TRAITS) may be similar sets; no similar pair fails in the bucket of its first common shingle."""
-    total = x[1] + y[1]
+    """Whether two rows (node, *TRAITS) are of two components and may be similar sets; no such pair that is similar fails in
+    the bucket of its first common shingle."""
+    (of_x, size_x, place_x), (of_y, size_y, place_y) = x[1:4], y[1:4]
+    total = size_x + size_y
     least = np.ceil(similarity / (1 + similarity) * total - EPSILON).astype(np.int64)
-    near = (x[0] != y[0]) & (x[2] <= x[1] - least) & (y[2] <= y[1] - least)
-    apart = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in zip(x[3:], y[3:], strict=True))
+    near = (of_x != of_y) & (place_x <= size_x - least) & (place_y <= size_y - least)
+    apart = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in zip(x[4:], y[4:], strict=True))
     return near & (apart <= total - 2 * least)
 
 
@@ -249,6 +253,45 @@ def _neighbours(similarity: float, reach: int):
     return step
 
 
+#: Rows of a bucket that are compared whole in one task; those of a larger one are dealt to pairs of parts.
+PART_ROWS = 1000
+STRIP = 256
+
+
+def _crossed(similarity: float):
+    """(a, b): all candidate pairs of two components in each (key, low, high), rows sorted by that."""
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, low, high, mine, *row in whole_groups(batches, ["key", "low", "high"]):
+            opens = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            starts = np.concatenate([[0], np.flatnonzero(opens) + 1, [len(key)]])
+            pairs = [np.zeros((2, 0), np.int64)]
+            for i, j in zip(starts[:-1], starts[1:], strict=True):
+                for start in range(i, j, STRIP):
+                    here = np.arange(start, min(j, start + STRIP))
+                    left, right = np.repeat(here, j - start), np.tile(np.arange(start, j), len(here))
+                    on = (left < right) & (row[1][left] != row[1][right]) & ((mine[left] != mine[right]) | (low[i] == high[i]))
+                    left, right = left[on], right[on]
+                    near = _alike([c[left] for c in row], [c[right] for c in row], similarity)
+                    pairs.append(np.stack([row[0][left[near]], row[0][right[near]]]))
+            a, b = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        release_memory()
+
+    return step
+
+
+def _all_pairs(rows: DataFrame, similarity: float, part_rows: int) -> DataFrame:
+    """(a, b): all candidate pairs of two components in the buckets of rows."""
+    large = (rows.groupBy("key").count().filter(F.col("count") > part_rows)
+             .select("key", F.ceil(F.col("count") / part_rows).cast("int").alias("parts"))).checkpoint()
+    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    dealt = (rows.join(_sent(large), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("mine", mine)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", *TRAITS))
+    return (dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+            .mapInArrow(_crossed(similarity), "a long, b long").distinct())
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
     """The pairs (a, b) of ids whose shingle sets have at least the similarity."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias(id_col)).distinct().checkpoint()
@@ -281,14 +324,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id",
-                    text_col: str = "text", neighbours: int = NEIGHBOURS) -> DataFrame:
+                    text_col: str = "text", neighbours: int = NEIGHBOURS, star_rounds: int = STAR_ROUNDS,
+                    part_rows: int = PART_ROWS) -> DataFrame:
     """(id): the documents to drop; of each group of copies and linked near copies the smallest id is not among them.
 
     Buckets of up to neighbours + 1 texts are compared whole. In wider ones each row meets the first one of an order that
     is the same in all buckets, so that the rows of a large group meet few others; a task does this with its own rows
-    before the shuffle and sends on neighbours + 1 of a bucket at most. Texts that fall out by that are gone in the next
-    round, which takes only the rest of the wide buckets, in another order and four times as wide, until no bucket is
-    wider. So no pair of texts that stay is left out, and none is verified twice.
+    before the shuffle and sends on neighbours + 1 of a bucket at most. This is done again, in other orders, with the wide
+    buckets that still have texts of several components, as long as components grow, up to star_rounds times. In the end all
+    pairs of two components in the buckets that are left are compared. Texts stay in their buckets until all in them are of
+    one component, so no link between components is left out, and no pair is verified twice.
     """
     spark = docs.sparkSession
     shared_dir(spark)
@@ -298,35 +343,52 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     alike = signed.groupBy("k1", "k2").agg(F.min(id_col).alias("node")).checkpoint()
     nodes = (alike.join(signed.withColumnRenamed(id_col, "node"), ["k1", "k2", "node"])
              .dropDuplicates(["k1", "k2", "node"]).drop("k1", "k2"))
-    rows = nodes.select("*", F.posexplode("keys").alias("at", "key")).select("node", "key", F.col("at").cast("long").alias("place"), *(t for t in TRAITS if t != "place")).select("node", *TRAITS, "key")
+    rows = (nodes.withColumn("component", F.col("node")).select("*", F.posexplode("keys").alias("at", "key"))
+            .withColumn("place", F.col("at").cast("long")).select("key", "node", *TRAITS))
     copies = signed.join(alike, ["k1", "k2"]).filter(F.col(id_col) != F.col("node")).select(F.col(id_col).alias("gone"))
-    edges, gone, tried, turn = None, None, None, 0
+    edges, groups, tried, turn = None, None, None, 0
     while True:
-        order = F.xxhash64(F.lit(turn), "node")
-        here = (rows.select("key", "node", *TRAITS).sortWithinPartitions("key", order)
-                .mapInArrow(_combined(similarity, neighbours),
-                            "kind tinyint, key long, node long, " + ", ".join(f"{t} long" for t in TRAITS)))
-        dealt = (here.repartition(F.when(F.col("kind") == PAIR, F.xxhash64("node", "key")).otherwise(F.col("key")))
-                 .sortWithinPartitions("kind", "key", order))
-        found = dealt.mapInArrow(_neighbours(similarity, neighbours), "a long, b long").distinct().checkpoint()
-        wide = found.filter(F.col("b").isNull()).select(F.col("a").alias("key"))
-        pairs = found.filter(F.col("b").isNotNull())
+        if last := turn > 0 and (turn >= star_rounds or not merged):
+            pairs = _all_pairs(rows, similarity, part_rows).checkpoint()
+        else:
+            order = F.xxhash64(F.lit(turn), "node")
+            here = (rows.sortWithinPartitions("key", order)
+                    .mapInArrow(_combined(similarity, neighbours),
+                                "kind tinyint, key long, node long, " + ", ".join(f"{t} long" for t in TRAITS)))
+            dealt = (here.repartition(F.when(F.col("kind") == PAIR, F.xxhash64("node", "key")).otherwise(F.col("key")))
+                     .sortWithinPartitions("kind", "key", order))
+            found = dealt.mapInArrow(_neighbours(similarity, neighbours), "a long, b long").distinct().checkpoint()
+            wide = found.filter(F.col("b").isNull()).select(F.col("a").alias("key"))
+            pairs = found.filter(F.col("b").isNotNull())
         fresh = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti").checkpoint()
         tried = fresh if tried is None else tried.unionByName(fresh)
         now = _verified(fresh, docs, shingle, similarity, id_col, text_col).checkpoint()
-        if gone is None or not now.isEmpty():
+        merged = not now.isEmpty()
+        if groups is None or merged:
             edges = now if edges is None else edges.unionByName(now).checkpoint()
-            groups = connected_components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-            gone = groups.filter(F.col("node") != F.col("component")).select("node").checkpoint()
-        if wide.isEmpty():
+            groups = connected_components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))).checkpoint()
+        if last:
+            break
+        if turn == 0:
+            rows = rows.join(_sent(wide), "key", "left_semi")
+        moved = _sent(groups.filter(F.col("node") != F.col("component")).withColumnRenamed("component", "joined"))
+        rows = (rows.join(moved, "node", "left").withColumn("component", F.coalesce("joined", "component")).drop("joined")
+                .checkpoint())
+        several = (rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                   .filter(F.col("low") < F.col("high")).select("key").checkpoint())
+        if several.isEmpty():
             break
-        rows = rows.join(wide, "key", "left_semi").join(gone, "node", "left_anti").checkpoint()
-        neighbours, turn = neighbours * 4, turn + 1
-    return copies.unionByName(gone.select(F.col("node").alias("gone"))).distinct().select(F.col("gone").alias(id_col))
+        rows, turn = rows.join(_sent(several), "key", "left_semi").checkpoint(), turn + 1
+    gone = groups.filter(F.col("node") != F.col("component")).select(F.col("node").alias("gone"))
+    return copies.unionByName(gone).distinct().select(F.col("gone").alias(id_col))
+
+
+def _sent(small: DataFrame) -> DataFrame:
+    """Rows to join with, sent to all tasks if they are few."""
+    return F.broadcast(small) if small.count() <= BROADCAST_IDS else small
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of docs, all columns, without near_duplicates(docs)."""
     gone = near_duplicates(docs, id_col=id_col, **options).checkpoint()
-    small = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone, id_col, "left_anti")
+    return docs.join(_sent(gone), id_col, "left_anti")

@@ -135,9 +135,9 @@ def test_similar_sets_always_meet():
             if len(set(x) & set(y)) < 0.8 * len(set(x) | set(y)):
                 continue
             rows = []
-            for node, one in enumerate((x, y)):
+            for node, one in enumerate((x, y)):  # (node, *TRAITS)
                 odd = simhash._odd_counts(one, np.array([0, n]))[0]
-                rows.append({int(h): [np.array([v]) for v in (node, n, k, *odd)]
+                rows.append({int(h): [np.array([v]) for v in (node, node, n, k, *odd)]
                              for k, h in enumerate(sorted(one, key=lambda h: order[int(h)]))})
             assert any(simhash._alike(rows[0][h], rows[1][h], 0.8)[0] for h in rows[0].keys() & rows[1].keys())
 
@@ -153,6 +153,21 @@ def test_near_duplicates_at_a_low_similarity(spark):
     assert {r["doc_id"] for r in simhash.near_duplicates(many, similarity=0.5).collect()} == {2 * k + 1 for k in range(200)}
 
 
+def test_drifting_copies(spark):
+    """A chain of copies in a wide bucket: each is similar to its neighbours, few are similar to the first one."""
+    rng = np.random.default_rng(15)
+    base, rows = [f"w{k}" for k in rng.integers(0, 1_000_000, 300)], []
+    for i in range(60):  # five words change with each step, at the front, and so 9 shingles; the rest is common to all
+        base[5 * i % 240:5 * i % 240 + 5] = [f"x{i}-{k}" for k in range(5)]
+        rows.append((i, " ".join(base)))
+    rows += [(100 + i, " ".join([*(f"y{i}-{k}" for k in range(150)), *base[150:]])) for i in range(20)]  # half alike only
+    many = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_gone(rows)
+    assert len(want) == 59
+    for options in ({"neighbours": 2}, {"neighbours": 2, "star_rounds": 1, "part_rows": 20}):
+        assert {r["doc_id"] for r in simhash.near_duplicates(many, **options).collect()} == want
+
+
 def test_mixing(docs, corpus, nothing):
     weights = {"domain": {"src1": 3.0}, "lang": {"en": 2.0}}
     rows = mixing.mix(docs, F.col("source"), weights, total_share=0.6, max_epochs=2).collect()
