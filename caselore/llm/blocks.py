@@ -88,23 +88,26 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
     release_memory()
 
 
-def words(block: Block, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word in the data, and per text the number of the first word (one more at the end)."""
-    data, offsets = block.data, block.offsets
-    if not len(data):
+def spans(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every run of flagged bytes within a text, and per text the number of the first run (one more at the end)."""
+    if not len(is_word):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    is_word = inside[data]
     before = np.concatenate([[False], is_word[:-1]])
     after = np.concatenate([is_word[1:], [False]])
     borders = offsets[1:-1]
-    before[borders[borders < len(data)]] = False
+    before[borders[borders < len(is_word)]] = False
     after[borders[borders > 0] - 1] = False
     starts = np.flatnonzero(is_word & ~before)
     ends = np.flatnonzero(is_word & ~after) + 1
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def words(block: Block, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word in the data, and per text the number of the first word (one more at the end)."""
+    return spans(inside[block.data], block.offsets)
+
+
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 

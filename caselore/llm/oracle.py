@@ -124,4 +124,48 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
 FROM d LEFT JOIN w USING (doc_id) LEFT JOIN x USING (doc_id)
 """
 
-ORACLES = {"op2_quality_rules": OP2, "op4_mixing": OP4, "op8_licenses": OP8, "op9_decontamination": OP9}
+OP12 = rf"""
+WITH d AS (SELECT doc_id, {SPACED_WORDS} AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d WHERE len(ws) >= 13)),
+late AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY win) AS lo FROM win) WHERE lo < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM late),
+word AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, j) GROUP BY 1)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+OP13 = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {SPACED_WORDS} AS ws FROM documents),
+lab AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS bad FROM labels GROUP BY 1),
+f AS (
+  SELECT part, good, bad, (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false)::INT AS mask
+  FROM d LEFT JOIN lab USING (doc_id)),
+m AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad FROM f GROUP BY 1, 2),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM l AS a, l AS b, l AS c, l AS d, l AS e
+      WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS c, (1 << (ascii(filter_order[step]) - 65))::INT AS bit,
+             coalesce(list_sum(list_transform(range(1, step), lambda k: 1 << (ascii(filter_order[k]) - 65))), 0)::INT AS before
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT part, filter_order, step, c, sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN bad ELSE 0 END) AS toxic_lost
+  FROM m, s GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, c))::BIGINT AS shapley
+FROM r
+"""
+
+ORACLES = {"op2_quality_rules": OP2, "op4_mixing": OP4, "op8_licenses": OP8, "op9_decontamination": OP9,
+           "op12_substring_dedup": OP12, "op13_filter_audit": OP13}

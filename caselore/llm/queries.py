@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselore.llm import decontamination, language_id, quality_classifier, url_filter
+from caselore.llm.filter_audit import audit
 from caselore.llm.licenses import license_scan
 from caselore.llm.mixing import mix
 from caselore.llm.quality_rules import quality_rules
 from caselore.llm.sharding import row_bytes, shard
 from caselore.llm.simhash import simhash_components
+from caselore.llm.spelling import spelling_variants, word_counts
+from caselore.llm.substring_dedup import dedup_substrings
 from caselore.llm.suffix_dedup import remove_repeats
 
 #: Target weights of the mixture; a domain is every fourth source.
@@ -105,7 +108,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of five letters or more that occurs three times, with the form that it is a variant of."""
+    counted = word_counts(table(spark, sf_dir, "documents"), deleted_in=97)
+    return spelling_variants(counted.filter("n >= 3 AND char_length(word) >= 5"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 13-word windows that a document of a smaller id has."""
+    return dedup_substrings(table(spark, sf_dir, "documents"), extend=False)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their orders, per source."""
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_quality_classifier, op4_mixing, op5_sharding, op6_language_id,
-                                 op7_url_filter, op8_licenses, op9_decontamination, op10_simhash)
+                                 op7_url_filter, op8_licenses, op9_decontamination, op10_simhash, op11_spelling_variants,
+                                 op12_substring_dedup, op13_filter_audit)
 }

@@ -18,7 +18,7 @@ def test_oracle(spark, name):
     got = QUERIES[name](spark, SF).toPandas()
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns and len(got) == len(want)
-    key = [c for c in ("doc_id", "epoch") if c in columns]
+    key = [c for c in ("doc_id", "epoch", "part", "filter_order", "step") if c in columns]
     got, want = (x[columns].sort_values(key).reset_index(drop=True).astype(object) for x in (got, want))
     assert got.where(got.notna(), None).equals(want.where(want.notna(), None))
 
