@@ -16,9 +16,6 @@ import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 19
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-
 
 def byte_table(inside: bytes | set[int], invert: bool = False) -> np.ndarray:
     """256 flags: which bytes belong to a class."""
@@ -108,16 +105,26 @@ def words(block: Block, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return spans(inside[block.data], block.offsets)
 
 
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: The modulus, a Mersenne prime, and two bases without a pattern; with a power of two as modulus ordinary texts collide.
+_PRIME = (1 << 31) - 1
+_BASES = (0x3C6EF372, 0x5BE0CD19)
+_powers: dict[int, np.ndarray] = {}
+
 
+def _modulo(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime."""
+    for _ in range(2):
+        x = (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+    return np.where(x >= _PRIME, x - np.uint64(_PRIME), x)
 
-def _grown(k: int, base: int, n: int) -> np.ndarray:
-    if len(_powers[k]) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        steps = np.full(size, base, np.uint64)
-        steps[0] = 1
-        _powers[k] = np.multiply.accumulate(steps)
-    return _powers[k]
+
+def _grown(base: int, n: int) -> np.ndarray:
+    """At least n powers of the base modulo the prime."""
+    known = _powers.get(base, np.ones(1, np.uint64))
+    while len(known) < max(n, BLOCK_BYTES + 1):
+        known = np.concatenate([known, _modulo(known * np.uint64(pow(base, len(known), _PRIME)))])
+    _powers[base] = known
+    return known
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -130,23 +137,25 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Hashes:
-    """64-bit hashes of substrings of a buffer from one running sum; equal bytes have equal hashes in any buffer."""
+    """64-bit hashes of substrings of a buffer, from two running sums modulo a prime; equal bytes have equal hashes in any buffer."""
 
     def __init__(self, data: np.ndarray):
-        values = data.astype(np.uint64)
-        values += np.uint64(1)
-        values *= _grown(0, _BASE, len(data))[:len(data)]
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)])
+        values = data.astype(np.uint64) + np.uint64(1)
+        zero = np.zeros(1, np.uint64)
+        self.sums = [np.concatenate([zero, np.cumsum(_modulo(values * _grown(base, len(data))[:len(data)]))]) for base in _BASES]
+
+    def _of(self, totals: list[np.ndarray], starts: np.ndarray | slice, lengths: np.ndarray) -> np.ndarray:
+        inverses = [_grown(pow(base, -1, _PRIME), len(self.sums[0]))[starts] for base in _BASES]
+        one, other = (_modulo(_modulo(x) * inverse) for x, inverse in zip(totals, inverses, strict=True))
+        return mixed(mixed((one << np.uint64(31)) | other) + lengths)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        inverse = _grown(1, _BASE_INVERSE, len(self.sums))
-        return mixed((self.sums[ends] - self.sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        return self._of([x[ends] - x[starts] for x in self.sums], starts, (ends - starts).astype(np.uint64))
 
     def rolling(self, k: int) -> np.ndarray:
         """The hash of the k bytes from every position on."""
-        n = max(0, len(self.sums) - k)
-        inverse = _grown(1, _BASE_INVERSE, len(self.sums))
-        return mixed((self.sums[k:] - self.sums[:n]) * inverse[:n] + np.uint64(k))
+        n = max(0, len(self.sums[0]) - k)
+        return self._of([x[k:] - x[:n] for x in self.sums], slice(n), np.uint64(k))
 
 
 def word_of_text(first: np.ndarray) -> np.ndarray:

@@ -46,7 +46,9 @@ class Phrases:
     def __init__(self, item_ids: list[str | None], texts: list[str | None], window: int):
         block = _lowered(to_block(pa.array([t or "" for t in texts], pa.large_string())))
         starts, ends, first = words(block, ALNUM)
-        self.vocabulary, symbols = np.unique(Hashes(block.data).of(starts, ends), return_inverse=True)
+        self.vocabulary, places, symbols = np.unique(Hashes(block.data).of(starts, ends), return_index=True, return_inverse=True)
+        raw = block.data.tobytes()
+        self.words = [raw[i:j] for i, j in zip(starts[places].tolist(), ends[places].tolist(), strict=True)]
         symbols = symbols.astype(np.int64) + 1
         rows, of = [], []
         for item, (i, j) in enumerate(zip(first[:-1], first[1:], strict=True)):
@@ -73,8 +75,13 @@ class Phrases:
             out[maybe] = np.where(self.vocabulary[at] == hashed[maybe], at + 1, 0)
         return out
 
-    def hits(self, hashed: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(flag per word, and text and item of every item with an occurring window)."""
+    def hits(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first word of each text and one more, flag per word, and text and item of every item with an occurring window)."""
+        starts, ends, first = words(block, ALNUM)
+        return first, *self._found(Hashes(block.data).of(starts, ends), first, block.data, starts, ends)
+
+    def _found(self, hashed: np.ndarray, first: np.ndarray, data: np.ndarray, starts: np.ndarray,
+               ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         of, flags = word_of_text(first), np.zeros(len(hashed), bool)
         none = flags, np.zeros(0, np.int64), np.zeros(0, np.int64)
         if not len(self.windows):
@@ -85,6 +92,10 @@ class Phrases:
         opens[1:] = (np.diff(known) > 1) | (of[known[1:]] != of[known[:-1]])
         run = np.cumsum(opens) - 1
         known = known[(np.bincount(run) >= self.lengths.min())[run]] if len(known) else known
+        # What is in a run is compared on its bytes, so that no hash decides.
+        raw = data.tobytes()
+        known = known[[raw[i:j] == self.words[k - 1] for i, j, k in zip(
+            starts[known].tolist(), ends[known].tolist(), symbols[known].tolist(), strict=True)]] if len(known) else known
         if not len(known):
             return none
         opens = np.ones(len(known), bool)
@@ -151,9 +162,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
 
         def step(batches: Iterator[pa.RecordBatch], phrases: Phrases = phrases, last=last) -> Iterator[pa.RecordBatch]:
             for block in blocks(batches, text_col, SHARD_BYTES):
-                lower = _lowered(block)
-                starts, ends, first = words(lower, ALNUM)
-                flags, doc, item = phrases.hits(Hashes(lower.data).of(starts, ends), first)
+                first, flags, doc, item = phrases.hits(_lowered(block))
                 earlier = block.rows.column("decon_spans")
                 for d in np.flatnonzero(pc.list_value_length(earlier).to_numpy(zero_copy_only=False)):
                     flat = earlier[int(d)].as_py()

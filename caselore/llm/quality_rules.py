@@ -62,6 +62,11 @@ def base_counts(block: Block) -> dict[str, np.ndarray]:
     keys = mixed(hashes.of(begin, end) + at.astype(np.uint64) * _C)
     n_lines = np.bincount(at, minlength=n)
     distinct = np.bincount(at[np.unique(keys, return_index=True)[1]], minlength=n)
+    # Where keys are equal the bytes decide.
+    raw, lines = data.tobytes(), np.searchsorted(at, np.arange(n + 1))
+    for k in np.flatnonzero(distinct < n_lines):
+        mine = slice(lines[k], lines[k + 1])
+        distinct[k] = len({raw[i:j] for i, j in zip(begin[mine].tolist(), end[mine].tolist(), strict=True)})
     # Windows of three words, all of one text.
     window = np.flatnonzero(of[2:] == of[:-2]) if len(of) > 2 else np.zeros(0, np.int64)
     keys = mixed(hashed[window] * _A + hashed[window + 1] * _B + hashed[window + 2] + text_key[window])

@@ -275,3 +275,42 @@ def test_transducer(texts):
         ws = SPACED.findall(text)
         assert [got[c][k] for c in ("n_words", "n_distinct", "n_points", "n_capitals", "n_symbols")] == [
             len(ws), len(set(ws)), len(text), len(re.findall("[A-Z]", text)), len(re.findall(r"[#$%&*|]", text))]
+
+
+# Hashes
+
+def doubling(n):
+    """The alternating doubling text of a and b, and its complement: equal sums under any modulus that is a power of two."""
+    text = "a"
+    while len(text) < n:
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text, text.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 1 << 16])
+def test_doubling_texts_differ(spark, n):
+    from caselore.llm import decontamination, quality_rules
+    from caselore.llm.blocks import Hashes
+
+    one, other = doubling(n)
+    assert len({int(Hashes(np.frombuffer(x.encode(), np.uint8)).of(np.array([0]), np.array([n]))[0]) for x in (one, other)}) == 2
+    frame = spark.createDataFrame([(1, f"{one}\n{other}"), (2, f"{one}\n{one}")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_dup_lines"] for r in quality_rules.quality_rules(frame).collect()} == {1: 0, 2: 1}
+    items = spark.createDataFrame([("item", one)], "item_id string, text string")
+    words = spark.createDataFrame([(1, other), (2, one)], "doc_id long, text string")
+    found = decontamination.digest(decontamination.scan(words, items)).collect()
+    assert {r["doc_id"]: (r["n_hit"], r["contaminated"]) for r in found} == {1: (0, False), 2: (1, True)}
+
+
+@given(st.binary(min_size=0, max_size=60), st.data())
+@settings(max_examples=100, deadline=None)
+def test_equal_bytes_have_equal_hashes(data, draw):
+    from caselore.llm.blocks import Hashes
+
+    i = draw.draw(st.integers(0, len(data)))
+    j = draw.draw(st.integers(i, len(data)))
+    whole, part = (np.frombuffer(x, np.uint8) for x in (data, data[i:j]))
+    want = int(Hashes(part).of(np.array([0]), np.array([j - i]))[0])
+    assert int(Hashes(whole).of(np.array([i]), np.array([j]))[0]) == want
+    if j > i:
+        assert int(Hashes(whole).rolling(j - i)[i]) == want
