@@ -7,11 +7,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from caselore.operators.graph import words
+from caselore.session import scratch_path
 
 MAX_QUERIES = 4096  # query vectors sent to every task at once
 
@@ -79,88 +80,60 @@ def top_k_similar(vectors: DataFrame, queries: DataFrame, k: int = 5, skip_self:
             .select("query_id", "rank", "vec_id", "score"))
 
 
-MAX_QUESTION_TERMS = 200_000  # (question, term) pairs sent to every task at once
-MAX_CELLS = 8_000_000  # terms times questions: 64 MB of weights
-ROWS_AT_ONCE = 512
+BLOCK_CHUNKS = 256  # about so many chunks share a block of the index
+SEED_BLOCKS = 4  # blocks of each question that are scored first
+_ROUND = 1e-6  # what rounding can add to a score
 
 
-def _weights(tokens: DataFrame, terms: DataFrame, total: Column) -> DataFrame:
-    """(term, idf) with idf = ln((N+1)/(df+1)) for the asked terms."""
-    seen = tokens.join(terms, "term", "left_semi").select("term", "doc_id", "chunk_no").distinct()
-    return seen.groupBy("term").agg(F.count("*").alias("df")).select(
-        "term", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _scores_by_join(tokens: DataFrame, asked: DataFrame) -> DataFrame:
-    """All (question, chunk) scores by joins; for question sets of any size."""
-    tf = (tokens.join(asked.select("term").distinct(), "term", "left_semi")
-          .groupBy("term", "doc_id", "chunk_no").agg(F.count("*").alias("tf")))
-    return (tf.join(asked, "term").groupBy("question_id", "doc_id", "chunk_no")
+def _postings(chunked: DataFrame, asked: DataFrame) -> DataFrame:
+    """(term, doc_id, chunk_no, tf) of the asked terms, and the empty term once for every chunk, in one pass over the texts."""
+    marked = F.concat(words(F.col("text")), F.array(F.lit("")))
+    terms = asked.select("term").unionByName(asked.sparkSession.createDataFrame([("",)], "term string")).distinct()
+    return (chunked.select("doc_id", "chunk_no", F.explode(marked).alias("term")).join(terms, "term", "left_semi")
+            .groupBy("term", "doc_id", "chunk_no").agg(F.count("*").alias("tf")))
+
+
+def _scored(weighted: DataFrame, wanted: DataFrame, postings: DataFrame) -> DataFrame:
+    """(question_id, doc_id, chunk_no, score) of all chunks with an asked term in the wanted (question_id, block)."""
+    return (wanted.join(weighted, "question_id").join(postings, ["term", "block"]).groupBy("question_id", "doc_id", "chunk_no")
             .agg(F.round(F.sum(F.col("tf") * F.col("idf")), 6).alias("score")))
 
 
-def _scores_by_matrix(tokens: DataFrame, pairs: pd.DataFrame, k: int) -> DataFrame:
-    """The k best chunks per question of every Arrow batch, by one matrix product.
+def _best(scored: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("question_id").orderBy(F.col("score").desc(), "doc_id", "chunk_no"))
+    return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
 
-    pairs: question_id, term, idf. A chunk becomes a row of term counts; the questions are the
-    columns of a weight matrix. Only batch winners leave the task.
-    """
-    spark = tokens.sparkSession
-    ids = np.sort(pairs["question_id"].unique())
-    terms = np.sort(pairs["term"].unique())
-    weights = np.zeros((len(terms), len(ids)))
-    weights[np.searchsorted(terms, pairs["term"]), np.searchsorted(ids, pairs["question_id"])] = pairs["idf"]
-    numbers = spark.createDataFrame(pd.DataFrame({"term": terms, "term_no": np.arange(len(terms))}))
-    # the numbers are at most max_pairs rows, as checked by the caller
-    counted = (tokens.join(F.broadcast(numbers), "term").groupBy("doc_id", "chunk_no")
-               .agg(F.collect_list("term_no").alias("terms")))
-    asks = np.zeros(weights.shape)  # by the pair itself: a term of every chunk has weight 0 and is a hit all the same
-    asks[np.searchsorted(terms, pairs["term"]), np.searchsorted(ids, pairs["question_id"])] = 1
-
-    def winners(docs: np.ndarray, chunks: np.ndarray, scores: np.ndarray, hit: np.ndarray) -> pd.DataFrame:
-        found = []
-        for j, question in enumerate(ids):
-            rows = np.flatnonzero(hit[:, j])
-            rows = rows[np.lexsort((chunks[rows], docs[rows], -scores[rows, j]))[:k]]
-            found.append(pd.DataFrame({"question_id": question, "doc_id": docs[rows], "chunk_no": chunks[rows],
-                                       "score": scores[rows, j]}))
-        return pd.concat(found)
 
-    def best_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            best = []
-            for at in range(0, len(pdf), ROWS_AT_ONCE):
-                part = pdf.iloc[at:at + ROWS_AT_ONCE]
-                lengths = part["terms"].map(len).to_numpy()
-                counts = np.zeros((len(part), len(terms)))
-                np.add.at(counts, (np.repeat(np.arange(len(part)), lengths), np.concatenate(part["terms"].to_numpy())), 1)
-                best.append(winners(part["doc_id"].to_numpy(), part["chunk_no"].to_numpy(),
-                                    np.round(counts @ weights, 6), (counts @ asks) > 0))
-            rows = pd.concat(best)
-            yield (rows.sort_values(["score", "doc_id", "chunk_no"], ascending=[False, True, True])
-                   .groupby("question_id", sort=False).head(k))
-
-    return counted.mapInPandas(best_of_batch, "question_id long, doc_id long, chunk_no int, score double")
-
-
-def rank_chunks(chunked: DataFrame, questions: DataFrame, total: Column, k: int = 5,
-                max_pairs: int = MAX_QUESTION_TERMS) -> DataFrame:
-    """(question_id, rank, doc_id, chunk_no, score): best chunks by tf * ln((N+1)/(df+1)).
-
-    total is the number of chunks N. Tokens that no question asks for are dropped before
-    anything is shuffled. At most max_pairs (question, term) pairs are fetched, and a matrix of at
-    most MAX_CELLS is sent to the tasks; a larger question set is scored by joins, with the same rows.
+def rank_chunks(chunked: DataFrame, questions: DataFrame, k: int = 5, block_chunks: int = BLOCK_CHUNKS) -> DataFrame:
+    """(question_id, rank, doc_id, chunk_no, score): best chunks by tf * ln((N+1)/(df+1)), N chunks in all.
+
+    An inverted index in blocks: the texts are read once, for the postings of the asked terms, which are dealt to blocks
+    of about block_chunks chunks. The greatest tf of a term in a block bounds what a question can score there. The blocks
+    of greatest bound are scored first; of the others only those whose bound reaches the k-th score so far, so the rows are
+    those of a full search. Postings are joined by term and block, so a term of every chunk is as many keys as there are blocks.
     A chunk with an asked term is ranked even if the term is in every chunk and so weighs nothing.
     """
-    tokens = chunked.select("doc_id", "chunk_no", F.explode(words(F.col("text"))).alias("term"))
-    asked = questions.select("question_id", F.explode(F.array_distinct(words(F.col("question")))).alias("term"))
-    weighted = asked.join(_weights(tokens, asked.select("term").distinct(), total), "term")
-    pairs = weighted.limit(max_pairs + 1).toPandas()
-    cells = pairs["term"].nunique() * pairs["question_id"].nunique()
-    if len(pairs) <= max_pairs and 0 < cells <= MAX_CELLS:
-        scored = _scores_by_matrix(tokens, pairs, k)
-    else:
-        scored = _scores_by_join(tokens, weighted)
-    rank = F.row_number().over(Window.partitionBy("question_id").orderBy(F.col("score").desc(), "doc_id", "chunk_no"))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select(
-        "question_id", "rank", "doc_id", "chunk_no", "score")
+    asked = questions.select("question_id", F.explode(F.array_distinct(words(F.col("question")))).alias("term")).distinct()
+    postings = _stored(_postings(chunked, asked), "postings")
+    total = postings.filter("term = ''").count()
+    blocks = max(1, -(-total // block_chunks))
+    postings = postings.filter("term <> ''").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+    seen = postings.groupBy("term", "block").agg(F.count("*").alias("df"), F.max("tf").alias("most"))
+    blocked = _stored(seen, "blocks")
+    weights = blocked.groupBy("term").agg(F.log(F.lit(total + 1) / (F.sum("df") + 1)).alias("idf"))
+    weighted = _stored(asked.join(weights, "term"), "weights")
+    bounds = _stored(weighted.join(blocked, "term").groupBy("question_id", "block").agg(F.sum(F.col("idf") * F.col("most")).alias("bound")),
+                     "bounds")
+    order = F.row_number().over(Window.partitionBy("question_id").orderBy(F.col("bound").desc(), "block"))
+    seeds = _stored(bounds.withColumn("n", order).filter(F.col("n") <= SEED_BLOCKS).select("question_id", "block"), "seeds")
+    first = _stored(_best(_scored(weighted, seeds, postings), k).drop("rank"), "first")
+    threshold = first.groupBy("question_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("threshold"))
+    more = (bounds.join(seeds, ["question_id", "block"], "left_anti").join(threshold, "question_id", "left")
+            .filter(F.col("threshold").isNull() | (F.col("bound") + _ROUND >= F.col("threshold"))).select("question_id", "block"))
+    return _best(first.unionByName(_scored(weighted, more, postings)), k).select("question_id", "rank", "doc_id", "chunk_no", "score")

@@ -36,12 +36,17 @@ def selfhelp_changed(files: DataFrame, tracking: DataFrame, products: DataFrame,
 def selfhelp_diff(files: DataFrame, tracking: DataFrame) -> DataFrame:
     """Per file with text: status (new, incremental, unchanged) and the new text."""
     seen = tracking.select(*KEY, "processed_content", "last_processed")
-    rows = files.filter(has_text(F.col("content"))).join(seen, KEY, "left")
+    return compared(files.filter(has_text(F.col("content"))).join(seen, KEY, "left"))
+
+
+def compared(rows: DataFrame) -> DataFrame:
+    """selfhelp_diff of rows that bring what was processed before, null for nothing; further columns stay."""
+    more = [c for c in rows.columns if c not in (*KEY, "content", "modified_ts", "processed_content", "last_processed")]
     known = F.col("processed_content").isNotNull()
     fresh = F.when(known, appended_text(F.col("content"), F.col("processed_content"))).otherwise(F.col("content"))
     status = F.when(~known, "new").when(has_text(F.col("new_content")), "incremental").otherwise("unchanged")
     return rows.withColumn("new_content", fresh).select(
-        *KEY, status.alias("status"), "new_content", "content", "modified_ts", "last_processed")
+        *KEY, status.alias("status"), "new_content", "content", "modified_ts", "last_processed", *more)
 
 
 def section_text() -> Column:

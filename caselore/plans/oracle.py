@@ -541,6 +541,13 @@ scored AS (SELECT m.label::BIGINT AS query_id, vec_id, round(list_cosine_similar
   FROM embeddings, means m)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
 QUALIFY rank <= 5""")
+oracle("knn_index", "", """
+WITH scored AS (SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(v.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score
+  FROM embeddings v JOIN embeddings q ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+QUALIFY rank <= 5""")
+
+
 def _ranking(asked: str) -> str:
     return f"""
 WITH asked AS ({asked}),

@@ -12,6 +12,7 @@ from caselore.functions import vocabulary as V
 from caselore.operators import answers as ans
 from caselore.operators import cases as cs
 from caselore.operators import changes as ch
+from caselore.operators import communities as cm
 from caselore.operators import components as comp
 from caselore.operators import documents as docs
 from caselore.operators import graph as gr
@@ -20,6 +21,7 @@ from caselore.operators import reports as rep
 from caselore.operators import retrieval as ret
 from caselore.operators import selfhelp as sh
 from caselore.operators import threads as th
+from caselore.operators import vector_index as vi
 from caselore.session import scratch_path, widen
 from caselore.sources import files as fs
 from caselore.sources import mapping as mp
@@ -488,6 +490,22 @@ def components(spark: SparkSession, d: str) -> DataFrame:
     return component_rows(spark, d)
 
 
+def _entity_graph(spark: SparkSession, d: str) -> DataFrame:
+    """Entities that share chunks, weighted by how many they share."""
+    found = gr.cooccurrence(_mentions(spark, d)).select(F.col("source").alias("src"), F.col("target").alias("dst"), F.col("shared").alias("weight"))
+    path = scratch_path(spark, "entity_graph")
+    found.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query
+def communities(spark: SparkSession, d: str) -> DataFrame:
+    """The community of every entity at every level, with the level's modularity."""
+    edges = _entity_graph(spark, d)
+    levels = cm.communities(edges)
+    return levels.join(cm.modularity(edges, levels).select("level", "modularity"), "level")
+
+
 @query
 def community_stats(spark: SparkSession, d: str) -> DataFrame:
     return ins.community_stats(component_rows(spark, d), mp.graph_edges(spark, d), mp.entity_mentions(spark, d),
@@ -550,9 +568,27 @@ def knn_cosine(spark: SparkSession, d: str) -> DataFrame:
     return ret.top_k_similar(_vectors(spark, d), centroids, 5)
 
 
+def _hundredth(spark: SparkSession, d: str) -> DataFrame:
+    """The stated query set of the vector searches."""
+    return _vectors(spark, d).filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+
+
+@query
+def knn_index(spark: SparkSession, d: str) -> DataFrame:
+    """The nearest other vectors of every vector whose id is divisible by 100, by cells and bounds."""
+    return vi.nearest(vi.build_index(_vectors(spark, d)), _hundredth(spark, d), 5, skip_self=True)
+
+
+@query
+def knn_index_recall(spark: SparkSession, d: str) -> DataFrame:
+    """How much of that the nearest half, three quarters and all of the cells alone give; knn_index goes on to the exact result."""
+    index = vi.build_index(_vectors(spark, d))
+    n = len(index.centres)
+    return vi.recall(index, _hundredth(spark, d), 5, sorted({-(-n // 2), -(-3 * n // 4), n}), skip_self=True)
+
+
 def _ranked(spark: SparkSession, d: str, questions: DataFrame) -> DataFrame:
-    total = gr.chunk_count(widen(mp.table(spark, d, "documents").select("doc_id", "text"))).scalar()
-    return ret.rank_chunks(doc_chunks(spark, d), questions, total)
+    return ret.rank_chunks(doc_chunks(spark, d), questions)
 
 
 @query

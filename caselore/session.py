@@ -24,6 +24,7 @@ def build_session(app: str = "caselore", master: str | None = None, **conf: str)
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",  # split a hot key even if it costs a shuffle
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.shuffle.partitions": "2000",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     given = spark.sparkContext.getConf()
     for key, value in settings.items():

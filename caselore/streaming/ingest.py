@@ -1,25 +1,31 @@
-"""Incremental ingest with Structured Streaming.
+"""Incremental ingest with Structured Streaming and keyed state.
 
-Each micro-batch is classified against what is stored and only its changes are appended, in a
-folder of the batch's own that a retried batch overwrites. Nothing already stored is rewritten;
-the current state is the newest version of every key.
+What is known of a key is in the state store: of a case the stamp and digest of its newest version, of a self-help file
+the text processed so far. A micro-batch reads its own arrivals and the state of their keys only, never what was stored
+before. Its changes are appended in a folder of the batch's own that a retried batch overwrites; the current state
+of a folder is the newest version of every key. With the RocksDB provider the state is on disk; the provider is set in the session.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.window import Window
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from caselore.functions.text import has_text
 from caselore.operators import selfhelp
-from caselore.operators.changes import work_set, with_hash
+from caselore.operators.changes import with_hash
 from caselore.sources.files import TRACKING, _or_empty
 
 CASE = ["product_id", "case_id"]
 DOCUMENTS = "product_id string, case_id string, part_no int, content string"
-#: Of several versions of a case in one batch the highest counts; without a version it is 0.
+#: A version of a case is what one file has of it with one version number, null counting as 0. The newest is the one of the
+#: highest number, then of the file last modified, then of the greatest path; it counts as a whole.
 ARRIVALS = DOCUMENTS + ", version long"
 CORPUS = DOCUMENTS + ", content_hash string, batch long"
 TRACKED = TRACKING + ", batch long, step int"
@@ -37,59 +43,99 @@ def newest(rows: DataFrame, keys: list[str], *version: str) -> DataFrame:
     return rows.join(last, [*keys, *version], "left_semi")
 
 
-def one_version(batch: DataFrame) -> DataFrame:
-    """Of each case the parts of its highest version; of unlike texts of one part and version the greatest."""
-    last = newest(batch.withColumn("version", F.coalesce("version", F.lit(0))), CASE, "version")
-    return last.groupBy(*CASE, "part_no").agg(F.max("content").alias("content"))
-
-
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """The current corpus. A case is replaced as a whole, so versions are compared per case."""
     return newest(_stored(spark, path, CORPUS), CASE)
 
 
+def _newest_version(policy: str):
+    """The parts of a case's newest version, if it is newer than the one known and its text is another."""
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best, parts = None, {}
+        for frame in frames:
+            frame = frame.assign(version=frame["version"].fillna(0).astype("int64"))
+            for stamp, rows in frame.groupby(["version", "modified", "path"]):
+                stamp = (int(stamp[0]), int(stamp[1]), stamp[2])
+                if best is None or stamp >= best:
+                    parts = parts if stamp == best else {}
+                    best = stamp
+                    for part_no, content in zip(rows["part_no"], rows["content"], strict=True):
+                        # Of unlike texts of one part in one version the greatest.
+                        parts[part_no] = content if parts.get(part_no) is None else max(parts[part_no], content or "")
+        known = state.get if state.exists else None
+        if best is None or (known and best < known[:3]):
+            return
+        digest = hashlib.sha256(repr(sorted(parts.items())).encode()).hexdigest()
+        state.update((*best, digest))
+        if known and (policy == "new_only" or digest == known[3]):
+            return
+        yield pd.DataFrame({"product_id": key[0], "case_id": key[1], "part_no": list(parts), "content": list(parts.values())})
+
+    return step
+
+
 def stream_cases(spark: SparkSession, source: str, corpus: str, checkpoint: str,
                  policy: str = "new_or_updated", files_per_batch: int | None = None) -> StreamingQuery:
     """Documents arriving as parquet files, upserted into the corpus folder."""
+    if policy not in ("new_or_updated", "new_only"):
+        raise ValueError(f"unknown policy {policy!r}")
+
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        stored = _stored(spark, corpus, CORPUS).filter(F.col("batch") < batch_id)
-        current = newest(stored.drop("content"), CASE)
-        changed = with_hash(work_set(one_version(batch), current, policy))
-        changed.write.mode("overwrite").parquet(f"{corpus}/batch={batch_id}")
+        with_hash(batch).write.mode("overwrite").parquet(f"{corpus}/batch={batch_id}")
 
     reader = spark.readStream.schema(ARRIVALS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return (reader.parquet(source).writeStream.foreachBatch(upsert)
+    arrivals = reader.parquet(source).select(
+        "*", F.unix_micros("_metadata.file_modification_time").alias("modified"), F.col("_metadata.file_path").alias("path"))
+    changed = arrivals.groupBy(*CASE).applyInPandasWithState(
+        _newest_version(policy), DOCUMENTS, "version long, modified long, path string, digest string", "append", GroupStateTimeout.NoTimeout)
+    return (changed.writeStream.outputMode("append").foreachBatch(upsert)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def _next_versions(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Every version of a file that is not older than the one known, in order, with the text processed before it."""
+    versions = pd.concat(list(frames)).drop_duplicates().sort_values(["modified_us", "content"])
+    text, at = state.get if state.exists else (None, None)
+    rows = []
+    for content, modified in zip(versions["content"], versions["modified_us"], strict=True):
+        if at is None or modified >= at:
+            rows.append((content, modified, text, at, len(rows) + 1))
+            text, at = content, int(modified)
+    if rows:
+        state.update((text, at))
+        columns = pd.DataFrame(rows, columns=["content", "modified_us", "processed_content", "processed_us", "step"], dtype=object)
+        yield columns.assign(product_id=key[0], file_name=key[1])[[*selfhelp.KEY, *columns.columns]]
+
+
 def stream_selfhelp(spark: SparkSession, source: str, sections: str, tracking: str, checkpoint: str,
                     files_per_batch: int | None = None) -> StreamingQuery:
     """Self-help files arriving as parquet rows: new sections and tracking rows are appended.
 
-    Several versions of a file in one batch are taken one after the other, by their time: step n takes the n-th version
-    of every file that has so many.
+    Versions of a file are taken one after the other by their time, step n being the n-th one of a batch; a version that is
+    older than the one processed last came too late and is left out.
     """
-    place = F.row_number().over(Window.partitionBy(*selfhelp.KEY).orderBy("modified_ts", "content"))
-
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        versions = batch.filter(has_text(F.col("content"))).distinct().withColumn("step", place).persist()
-        for step in range(1, (versions.agg(F.max("step")).first()[0] or 0) + 1):
-            earlier = (F.col("batch") < batch_id) | ((F.col("batch") == batch_id) & (F.col("step") < step))
-            stored = newest(_stored(spark, tracking, TRACKED).filter(earlier), selfhelp.KEY, "batch", "step")
-            diff = selfhelp.selfhelp_diff(versions.filter(F.col("step") == step).drop("step"), stored)
-            selfhelp.selfhelp_sections(diff).write.mode("overwrite").parquet(f"{sections}/batch={batch_id}/step={step}")
-            rows = diff.filter(F.col("status") != "unchanged").select(
-                *selfhelp.KEY, F.col("content").alias("processed_content"), F.col("modified_ts").alias("last_processed"),
-                F.char_length("content").alias("content_length"))
-            rows.write.mode("overwrite").parquet(f"{tracking}/batch={batch_id}/step={step}")
-        versions.unpersist()
+        batch = batch.withColumns({"modified_ts": F.timestamp_micros("modified_us").cast("timestamp_ntz"),
+                                   "last_processed": F.timestamp_micros("processed_us").cast("timestamp_ntz")})
+        diff = selfhelp.compared(batch.drop("modified_us", "processed_us")).filter(F.col("status") != "unchanged").persist()
+        diff.select(*selfhelp.KEY, "status", selfhelp.section_text().alias("section"), "step").write.mode("overwrite").parquet(
+            f"{sections}/batch={batch_id}")
+        diff.select(*selfhelp.KEY, F.col("content").alias("processed_content"), F.col("modified_ts").alias("last_processed"),
+                    F.char_length("content").alias("content_length"), "step").write.mode("overwrite").parquet(f"{tracking}/batch={batch_id}")
+        diff.unpersist()
 
     reader = spark.readStream.schema(FILES)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return (reader.parquet(source).writeStream.foreachBatch(ingest)
+    # Times travel as microseconds: the files' times have no zone.
+    arrivals = reader.parquet(source).filter(has_text(F.col("content"))).select(
+        *selfhelp.KEY, "content", F.unix_micros(F.col("modified_ts").cast("timestamp")).alias("modified_us"))
+    versions = arrivals.groupBy(*selfhelp.KEY).applyInPandasWithState(
+        _next_versions, "product_id string, file_name string, content string, modified_us long, processed_content string, processed_us long, step int",
+        "content string, modified_us long", "append", GroupStateTimeout.NoTimeout)
+    return (versions.writeStream.outputMode("append").foreachBatch(ingest)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 

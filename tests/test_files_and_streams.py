@@ -147,3 +147,39 @@ def test_two_versions_of_a_file_in_one_batch(spark, tmp_path):
     rows = sorted(ingest.read_sections(spark, sections).collect(), key=lambda r: r["step"])
     assert [r["status"] for r in rows] == ["new", "incremental"] and "\n\n two\n\n" in rows[1]["section"]
     assert [r["processed_content"] for r in ingest.read_stream_tracking(spark, tracking).collect()] == ["one two"]
+
+
+def test_versions_are_whole_without_a_number(spark, tmp_path):
+    """Two versions in one trigger, told apart by their files alone: the stored text is one that arrived."""
+    source, corpus, check = (str(tmp_path / n) for n in ("in", "corpus", "check"))
+    feed(spark, [("P", "a", 0, "z old head"), ("P", "a", 1, "a old tail")], ingest.DOCUMENTS, source)
+    feed(spark, [("P", "a", 0, "a NEW head"), ("P", "a", 1, "z NEW tail")], ingest.DOCUMENTS, source)
+    ingest.stream_cases(spark, source, corpus, check).awaitTermination()
+    stored = {r["part_no"]: r["content"] for r in ingest.read_corpus(spark, corpus).collect()}
+    assert stored in ({0: "z old head", 1: "a old tail"}, {0: "a NEW head", 1: "z NEW tail"})
+    times = {p.name: p.stat().st_mtime_ns // 1000 for p in (tmp_path / "in").glob("*.parquet")}
+    if len(set(times.values())) == 2:
+        assert stored[0] == "a NEW head"
+
+
+def test_late_and_unchanged_versions(spark, tmp_path):
+    """Neither an older number nor the same text changes the corpus, and a version without some part has it no more."""
+    source, corpus, check = (str(tmp_path / n) for n in ("in", "corpus", "check"))
+    steps = [[("P", "a", 0, "two", 2), ("P", "a", 1, "tail", 2)], [("P", "a", 0, "one", 1)], [("P", "a", 1, "tail", 3), ("P", "a", 0, "two", 3)],
+             [("P", "a", 0, "four", 4)]]
+    seen = []
+    for rows in steps:
+        feed(spark, rows, ingest.ARRIVALS, source)
+        ingest.stream_cases(spark, source, corpus, check).awaitTermination()
+        seen.append(sorted((r["part_no"], r["content"], r["batch"]) for r in ingest.read_corpus(spark, corpus).collect()))
+    assert seen == [[(0, "two", 0), (1, "tail", 0)]] * 3 + [[(0, "four", 3)]]
+
+
+def test_a_late_file_version_is_left_out(spark, tmp_path):
+    source, sections, tracking, check = (str(tmp_path / n) for n in ("in", "sections", "tracking", "check"))
+    for hour, text in ((2, "one two"), (1, "one"), (3, "one two three")):
+        feed(spark, [("P", "P_a.txt", text, dt.datetime(2024, 1, 1, hour))], ingest.FILES, source)
+        ingest.stream_selfhelp(spark, source, sections, tracking, check).awaitTermination()
+    assert [r["processed_content"] for r in ingest.read_stream_tracking(spark, tracking).collect()] == ["one two three"]
+    rows = sorted(ingest.read_sections(spark, sections).collect(), key=lambda r: r["batch"])
+    assert [r["status"] for r in rows] == ["new", "incremental"] and "\n\n three\n\n" in rows[1]["section"]

@@ -131,15 +131,15 @@ def test_vector_search(spark, max_queries):
         assert [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] == [i for _, i in best]
 
 
-@pytest.mark.parametrize("max_pairs", [1000, 0])
-def test_question_ranking_against_brute_force(spark, max_pairs):
+@pytest.mark.parametrize("block_chunks", [1, 4, 256])
+def test_question_ranking_against_brute_force(spark, block_chunks):
     rng = random.Random(2)
     words = ["alpha", "beta", "gamma", "delta", "eps"]
     texts = [" ".join(rng.choice(words[:4]) for _ in range(rng.randrange(1, 9))) for _ in range(30)]
     asked = {1: "Alpha beta?", 2: "gamma gamma eps", 3: "none of these"}
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     questions = spark.createDataFrame(list(asked.items()), "question_id long, question string")
-    found = ret.rank_chunks(gr.chunks(docs), questions, F.lit(30), 5, max_pairs=max_pairs).collect()
+    found = ret.rank_chunks(gr.chunks(docs), questions, 5, block_chunks=block_chunks).collect()
     df = Counter(w for t in texts for w in set(t.split()))
     for q, terms in ((1, ["alpha", "beta"]), (2, ["gamma"]), (3, [])):
         scored = [(-round(sum(t.split().count(w) * math.log(31 / (df[w] + 1)) for w in terms), 6), i)
@@ -149,14 +149,24 @@ def test_question_ranking_against_brute_force(spark, max_pairs):
         assert [s for s, _ in got] == pytest.approx([s for s, _ in sorted(scored)[:5]])
 
 
-@pytest.mark.parametrize("max_pairs", [1000, 0])
-def test_a_term_of_every_chunk_ranks_with_nothing(spark, max_pairs):
+@pytest.mark.parametrize("block_chunks", [1, 4, 256])
+def test_a_term_of_every_chunk_ranks_with_nothing(spark, block_chunks):
     docs = spark.createDataFrame([(1, "common alpha"), (2, "common"), (3, "common beta")], "doc_id long, text string")
     asked = spark.createDataFrame([(1, "common"), (2, "alpha common"), (3, "unknown")], "question_id long, question string")
-    found = ret.rank_chunks(gr.chunks(docs), asked, F.lit(3), 5, max_pairs=max_pairs).collect()
+    found = ret.rank_chunks(gr.chunks(docs), asked, 5, block_chunks=block_chunks).collect()
     assert {(r["question_id"], r["rank"], r["doc_id"], r["score"] > 0) for r in found} == {
         (1, 1, 1, False), (1, 2, 2, False), (1, 3, 3, False), (2, 1, 1, True), (2, 2, 2, False), (2, 3, 3, False)}
-    assert ret.rank_chunks(gr.chunks(docs), asked.filter("question_id = 3"), F.lit(3), 5, max_pairs=max_pairs).isEmpty()
+    assert ret.rank_chunks(gr.chunks(docs), asked.filter("question_id = 3"), 5, block_chunks=block_chunks).isEmpty()
+
+
+def test_blocks_are_skipped_and_rows_are_those_of_a_full_search(spark):
+    """Many chunks, ties and hot terms: the same rows whether all chunks are one block or each is its own."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(["hot", "hot", "warm", "cold", f"r{rng.randrange(40)}"]) for _ in range(rng.randrange(1, 30))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = spark.createDataFrame([(k, f"hot r{k} cold r{k + 1}") for k in range(12)], "question_id long, question string")
+    one, many = (sorted(map(tuple, ret.rank_chunks(gr.chunks(docs), asked, 5, block_chunks=b).collect())) for b in (1000, 5))
+    assert one == many and len(one) == 60
 
 
 def test_terms_of_any_length_and_all_related_names(spark):
