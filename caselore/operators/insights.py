@@ -73,8 +73,9 @@ def control_gaps(relations: DataFrame) -> DataFrame:
 
 
 def risk_score(failure_modes: DataFrame, analyses: DataFrame) -> DataFrame:
+    """A tenth of the mean rpn; modes without one play no part."""
     # decimal, so that halves round up whatever their binary form is
-    mean = F.sum("rpn").cast("decimal(20,0)") / F.count("*")
+    mean = F.sum("rpn").cast("decimal(20,0)") / F.count("rpn")
     scored = failure_modes.groupBy(A).agg(F.round(mean / 10, 2).cast("double").alias("risk_score"))
     return analyses.select(A).distinct().join(scored, A, "left").select(A, F.coalesce("risk_score", F.lit(0.0)).alias("risk_score"))
 
@@ -108,6 +109,17 @@ def problem_frequency(entities: DataFrame, approximate: bool = False) -> DataFra
             .groupBy(A, F.col("name").alias("problem")).agg(count.alias("cases")))
 
 
+def problem_sketches(entities: DataFrame, *run: str) -> DataFrame:
+    """(run columns, analysis, problem, sketch): a HyperLogLog sketch of the cases of a problem, to be kept per run."""
+    return (entities.filter((F.col("type") == "CASE_PROBLEM") & (F.col("marker") == "CASE_SOURCE"))
+            .groupBy(*run, A, F.col("name").alias("problem")).agg(F.hll_sketch_agg("case_id", 14).alias("sketch")))
+
+
+def merged_problem_frequency(sketches: DataFrame) -> DataFrame:
+    """Estimated distinct cases per problem from the stored sketches of any number of runs; a case of several counts once."""
+    return sketches.groupBy(A, "problem").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
 def entity_insights(mentions: DataFrame, relations: DataFrame) -> DataFrame:
     """(type, name, frequency, related): number of distinct chunks, one row per related name, null if there is none.
 

@@ -230,30 +230,46 @@ def callback_summary(summary: DataFrame, gaps: DataFrame, risks: DataFrame) -> D
                     F.col("n_recs").alias("recommendations")))
 
 
+def _in_order(rows: DataFrame, name: str, *fields: str) -> DataFrame:
+    """The rows of an analysis as one array in the order of their fields."""
+    return rows.groupBy(A).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
+
+
+def _counts(rows: DataFrame, name: str, key: str, value: str) -> DataFrame:
+    return rows.groupBy(A).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, value)))).alias(name))
+
+
 def analysis_result(summary: DataFrame, gaps: DataFrame, failure_modes: DataFrame, risks: DataFrame,
                     prevention: DataFrame, recs: DataFrame, metrics: DataFrame, distribution: DataFrame,
-                    now: Column) -> DataFrame:
+                    coverage: DataFrame, needs: DataFrame, detection: DataFrame, risk_score: DataFrame, issues: DataFrame,
+                    gap_check: DataFrame, now: Column) -> DataFrame:
     """The whole nested result, one row per analysis."""
+    severities = gap_check.select(A, "gap_id", "severity_level", "confirmed")
     parts = [
-        _listed(gaps, "gaps", "gap_id", "problem_area", "issue_category", "frequency", "customer_solvable",
-                "suggested_title", "impact", "related_cases", "related_paths"),
+        _listed(gaps.join(severities, [A, "gap_id"], "left"), "gaps", "gap_id", "problem_area", "issue_category", "frequency",
+                "severity_level", "confirmed", "customer_solvable", "suggested_title", "impact", "related_cases", "related_paths"),
+        _in_order(coverage, "existing_coverage", "topic", "covered_issues", "quality", "needs_update"),
+        _listed(needs, "needs", "suggested_title"),
         _listed(failure_modes, "failure_modes", "failure_mode", "failure_cause", "failure_effect", "severity",
                 "occurrence", "detectability", "rpn", "existing_controls", "recommended_actions"),
         _listed(risks, "high_risk_items", "failure_mode", "rpn", "risk_level", "immediate_action"),
         _listed(prevention, "prevention_opportunities", "failure_mode", "prevention_type", "recommended_control",
                 "customer_actionable", "content_needed"),
+        _in_order(detection, "detection_gaps", "failure_mode", "current_method", "recommendation"),
+        risk_score,
         _listed(recs, "recommendations", "recommendation_id", "category", "title", "description", "priority",
                 "impact", "action_owner", "expected_outcome"),
-        distribution.groupBy(A).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("type", "mentions"))))
-                                    .alias("entity_types")),
+        _counts(distribution, "entity_types", "type", "mentions"),
+        _counts(issues, "issue_distribution", "issue_category", "cases"),
         metrics,
     ]
     out = summary
     for part in parts:
         out = out.join(part, A, "left")
+    titles = F.transform("needs", lambda x: x["suggested_title"]).alias("high_priority_needs")
     return out.select(
         A, "product_id", now.alias("analysis_timestamp"), "n_cases",
-        F.struct("gaps", "coverage_score").alias("selfhelp_gaps"),
-        F.struct("failure_modes", "high_risk_items", "prevention_opportunities").alias("fmea"),
+        F.struct("gaps", "existing_coverage", "coverage_score", titles).alias("selfhelp_gaps"),
+        F.struct("failure_modes", "high_risk_items", "prevention_opportunities", "detection_gaps", "risk_score").alias("fmea"),
         "recommendations",
-        F.struct("n_entities", "n_relations", "n_communities", "minutes", "entity_types").alias("metrics"))
+        F.struct("n_entities", "n_relations", "n_communities", "minutes", "entity_types", "issue_distribution").alias("metrics"))

@@ -661,16 +661,40 @@ SELECT 'Success' AS status, analysis_id, product_id, n_cases AS total_cases,
   coalesce((SELECT string_agg(failure_mode, '|' {_ARRIVAL}) FROM (SELECT * FROM risks QUALIFY {_PLACE} <= 5) r
     WHERE r.analysis_id = c.analysis_id), '') AS top_risks, n_recs AS recommendations FROM counts c""")
 oracle("callback_summary", "callback", "SELECT * FROM callback")
-oracle("sink_result_json", "callback", """SELECT product_id, 'analysis_result_20240102_000000' AS run, analysis_id, 'Later' AS status,
-    total_cases, recommendations, top_gaps FROM callback""")
 oracle("existing_result", "decisions analyses", """SELECT product_id, 'analysis_result_20240102_000000' AS run, analysis_id, reason,
     TRUE AS processing_skipped, skip_reasons FROM decisions JOIN analyses USING (product_id) WHERE decision = 'UseExisting'""")
-oracle("analysis_result", "counts gaps modes risks prevention recs full_metric dist", """
-SELECT c.analysis_id, product_id, n_cases, n_gaps::INT AS n_gaps,
-  (SELECT count(*) FROM modes x WHERE x.analysis_id = c.analysis_id)::INT AS n_modes, n_risks::INT AS n_risks,
-  (SELECT count(*) FROM prevention x WHERE x.analysis_id = c.analysis_id)::INT AS n_prevention, n_recs::INT AS n_recs, n_communities,
-  (SELECT string_agg(type || '=' || mentions, '|' ORDER BY type) FROM dist d WHERE d.analysis_id = c.analysis_id) AS entity_types
+view("covered_topics", "rels", """
+SELECT analysis_id, target AS topic, string_agg(DISTINCT source, ',' ORDER BY source) AS issues,
+  CASE WHEN bool_or(type = 'PARTIALLY_COVERED_BY') THEN 'Partial' ELSE 'Full' END AS quality
+FROM rels WHERE type IN ('COVERED_BY', 'PARTIALLY_COVERED_BY') GROUP BY 1, 2""")
+view("checked", "gaps cases", """
+SELECT analysis_id, gap_id, coalesce(min(c.sr_severity), '') AS severity_level
+FROM (SELECT analysis_id, gap_id, unnest(CASE WHEN len(related) = 0 THEN [NULL] ELSE related END) AS ref FROM gaps)
+LEFT JOIN cases c ON c.case_id = ref GROUP BY 1, 2""")
+view("undetected", "modes rels", """
+SELECT DISTINCT analysis_id, failure_mode FROM modes m
+WHERE NOT EXISTS (SELECT 1 FROM rels r WHERE r.type = 'DETECTS' AND r.analysis_id = m.analysis_id AND r.target = m.failure_mode)""")
+view("results", "counts gaps modes risks prevention recs full_metric dist covered_topics checked undetected risk_scores scores", f"""
+SELECT c.analysis_id, product_id, n_cases,
+  coalesce((SELECT string_agg(concat_ws(':', gap_id, severity_level, impact::VARCHAR), '|' {_ARRIVAL})
+    FROM (SELECT * FROM gaps JOIN checked USING (analysis_id, gap_id)) g WHERE g.analysis_id = c.analysis_id), '') AS gaps,
+  coalesce((SELECT string_agg(topic || ':' || quality || ':' || issues, '|' ORDER BY topic) FROM covered_topics t
+    WHERE t.analysis_id = c.analysis_id), '') AS coverage,
+  coalesce((SELECT string_agg(coalesce(suggested_title, '-'), '|' {_ARRIVAL}) FROM gaps g WHERE g.analysis_id = c.analysis_id AND impact > 7), '') AS needs,
+  c.coverage_score,
+  coalesce((SELECT string_agg(concat_ws(':', failure_mode, rpn::VARCHAR), '|' {_ARRIVAL}) FROM modes x WHERE x.analysis_id = c.analysis_id), '') AS modes,
+  coalesce((SELECT string_agg(concat_ws(':', failure_mode, risk_level), '|' {_ARRIVAL}) FROM risks x WHERE x.analysis_id = c.analysis_id), '') AS risks,
+  (SELECT count(*) FROM prevention x WHERE x.analysis_id = c.analysis_id)::INT AS n_prevention,
+  coalesce((SELECT string_agg(failure_mode, '|' ORDER BY failure_mode) FROM undetected x WHERE x.analysis_id = c.analysis_id), '') AS detection_gaps,
+  (SELECT risk_score FROM risk_scores x WHERE x.analysis_id = c.analysis_id) AS risk_score,
+  coalesce((SELECT string_agg(concat_ws(':', priority, title), '|' ORDER BY seq) FROM recs x WHERE x.analysis_id = c.analysis_id), '') AS recommendations,
+  n_communities,
+  (SELECT string_agg(type || '=' || mentions, '|' ORDER BY type) FROM dist d WHERE d.analysis_id = c.analysis_id) AS entity_types,
+  coalesce((SELECT string_agg(issue_category || '=' || n, '|' ORDER BY issue_category) FROM (
+    SELECT analysis_id, issue_category, sum(frequency)::BIGINT AS n FROM gaps GROUP BY 1, 2) i WHERE i.analysis_id = c.analysis_id), '') AS issues
 FROM counts c JOIN full_metric m ON m.analysis_id = c.analysis_id""")
+oracle("analysis_result", "results", "SELECT * FROM results")
+oracle("sink_result_json", "results", "SELECT *, 'analysis_result_20240102_000000' AS run FROM results")
 
 
 def _needed(needs: str, seen: dict[str, None]) -> None:

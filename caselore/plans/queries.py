@@ -423,6 +423,21 @@ def problem_frequency(spark: SparkSession, d: str) -> DataFrame:
     return ins.problem_frequency(mp.entity_mentions(spark, d))
 
 
+@query
+def problem_frequency_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct cases per problem by sketches kept per run and united, beside the exact count and their relative error."""
+    mentioned = mp.entity_mentions(spark, d)
+    path = scratch_path(spark, "sketches")
+    run = F.pmod(F.xxhash64("case_id"), F.lit(3)).alias("run")
+    ins.problem_sketches(mentioned.select("*", run), "run").write.partitionBy("run").parquet(path)
+    # A second index of one run's cases brings nothing new: sketches are united, not added up.
+    ins.problem_sketches(mentioned.select("*", run).filter("run = 1").withColumn("run", F.lit(9)), "run").write.mode("append").partitionBy("run").parquet(path)
+    united = ins.merged_problem_frequency(spark.read.parquet(path))
+    exact = ins.problem_frequency(mentioned)
+    return exact.join(united, ["analysis_id", "problem"], "left").select(
+        "analysis_id", "problem", "cases", "estimate", F.round(F.abs(F.col("estimate") - F.col("cases")) / F.col("cases"), 4).alias("error"))
+
+
 @query
 def relationship_insights(spark: SparkSession, d: str) -> DataFrame:
     return ins.relationship_insights(mp.relations(spark, d))
@@ -675,26 +690,39 @@ def callback_summary(spark: SparkSession, d: str) -> DataFrame:
 
 def nested_results(spark: SparkSession, d: str) -> DataFrame:
     gaps, risks, recs = _report_inputs(spark, d)
+    modes, edges, mentioned = modes_of(spark, d), mp.relations(spark, d), mp.entity_mentions(spark, d)
     return rep.analysis_result(
-        summary(spark, d, gaps, risks, recs), gaps, modes_of(spark, d), risks,
+        summary(spark, d, gaps, risks, recs), gaps, modes, risks,
         ans.parse_prevention(mp.fmea_answers(spark, d)), recs, metrics(spark, d, communities=True),
-        ins.type_distribution(mp.entity_mentions(spark, d)), mp.as_of())
+        ins.type_distribution(mentioned), ins.coverage(edges), ins.high_priority_needs(gaps), ins.detection_gaps(modes, edges),
+        ins.risk_score(modes, analyses(spark, d)), ins.issue_distribution(gaps), ins.gap_case_check(gaps, all_cases(spark, d)), mp.as_of())
 
 
-@query
-def analysis_result(spark: SparkSession, d: str) -> DataFrame:
-    full = nested_results(spark, d)
+def _flat_result(full: DataFrame) -> DataFrame:
+    """Every part of nested results as plain columns, lists in their order."""
+    def listed(name: str, item: Callable[[Column], Column]) -> Column:
+        return F.coalesce(F.array_join(F.transform(name, lambda x: F.coalesce(item(x), F.lit("-"))), "|"), F.lit(""))
+
+    def counted(name: str) -> Column:
+        return F.array_join(F.transform(F.sort_array(F.map_entries(name)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), "|")
+
     return full.select(
         "analysis_id", "product_id", "n_cases",
-        F.coalesce(F.size("selfhelp_gaps.gaps"), F.lit(0)).alias("n_gaps"),
-        F.coalesce(F.size("fmea.failure_modes"), F.lit(0)).alias("n_modes"),
-        F.coalesce(F.size("fmea.high_risk_items"), F.lit(0)).alias("n_risks"),
+        listed("selfhelp_gaps.gaps", lambda x: F.concat_ws(":", x["gap_id"], x["severity_level"], x["impact"].cast("string"))).alias("gaps"),
+        listed("selfhelp_gaps.existing_coverage", lambda x: F.concat_ws(":", x["topic"], x["quality"], F.array_join(x["covered_issues"], ","))).alias("coverage"),
+        listed("selfhelp_gaps.high_priority_needs", lambda x: x).alias("needs"), F.col("selfhelp_gaps.coverage_score").alias("coverage_score"),
+        listed("fmea.failure_modes", lambda x: F.concat_ws(":", x["failure_mode"], x["rpn"].cast("string"))).alias("modes"),
+        listed("fmea.high_risk_items", lambda x: F.concat_ws(":", x["failure_mode"], x["risk_level"])).alias("risks"),
         F.coalesce(F.size("fmea.prevention_opportunities"), F.lit(0)).alias("n_prevention"),
-        F.coalesce(F.size("recommendations"), F.lit(0)).alias("n_recs"),
-        F.col("metrics.n_communities").alias("n_communities"),
-        F.array_join(F.transform(F.sort_array(F.map_entries("metrics.entity_types")),
-                                 lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), "|")
-        .alias("entity_types"))
+        listed("fmea.detection_gaps", lambda x: x["failure_mode"]).alias("detection_gaps"), F.col("fmea.risk_score").alias("risk_score"),
+        listed("recommendations", lambda x: F.concat_ws(":", x["priority"], x["title"])).alias("recommendations"),
+        F.col("metrics.n_communities").alias("n_communities"), counted("metrics.entity_types").alias("entity_types"),
+        F.coalesce(counted("metrics.issue_distribution"), F.lit("")).alias("issues"))
+
+
+@query
+def analysis_result(spark: SparkSession, d: str) -> DataFrame:
+    return _flat_result(nested_results(spark, d))
 
 
 # --- sinks and streams --------------------------------------------------------------------
@@ -743,8 +771,18 @@ def _stored_results(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def sink_result_json(spark: SparkSession, d: str) -> DataFrame:
-    found = _stored_results(spark, d)
-    return found.select("product_id", "run", "analysis_id", "status", "total_cases", "recommendations", *_joined("top_gaps"))
+    """The whole nested results of two runs as JSON; the newest run read back as variants and typed again."""
+    path = scratch_path(spark, "nested")
+    full = nested_results(spark, d)
+    kept = scratch_path(spark, "result")
+    full.write.parquet(kept)
+    stored = spark.read.parquet(kept)
+    fs.write_results(stored.filter("n_cases > 0"), path, "analysis_result_20240101_000000")
+    fs.write_results(stored, path, "analysis_result_20240102_000000")
+    found = fs.latest_run(fs.read_result_variants(spark, path))
+    kinds = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in stored.schema.fields if f.name not in ("product_id", "analysis_timestamp"))
+    typed = found.select("run", "product_id", F.variant_get("result", "$", f"struct<{kinds}>").alias("r")).select("run", "product_id", "r.*")
+    return _flat_result(typed).join(typed.select("analysis_id", "run"), "analysis_id")
 
 
 @query

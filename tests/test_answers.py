@@ -133,3 +133,16 @@ def test_community_report_rating_range(spark):
                                 for r in (0, 10, 10.5, -1)], "component string, report_json string")
     assert [r["rating"] for r in ins.community_insights(df).collect()] == [0.0, 10.0, None, None]
     assert ins.community_insights(df).first()["key_findings"] == ["s"]
+
+
+def test_modes_without_rpn_play_no_part_in_the_risk(spark):
+    modes = spark.createDataFrame([("A", None), ("A", 200), ("B", None)], "analysis_id string, rpn long")
+    known = spark.createDataFrame([("A",), ("B",), ("C",)], "analysis_id string")
+    assert {r["analysis_id"]: r["risk_score"] for r in ins.risk_score(modes, known).collect()} == {"A": 20.0, "B": 0.0, "C": 0.0}
+
+
+def test_sketches_of_runs_are_united(spark):
+    rows = [(run, "A", "CASE_PROBLEM", "CASE_SOURCE", "slow", f"c{k}") for run in range(3) for k in range(run * 500, run * 500 + 1000)]
+    seen = spark.createDataFrame(rows, "run int, analysis_id string, type string, marker string, name string, case_id string")
+    united = ins.merged_problem_frequency(ins.problem_sketches(seen, "run")).first()
+    assert abs(united["estimate"] - 2000) <= 40  # 2 in 100; a register count of 2 ** 14 errs by 0.8 in 100 as a rule

@@ -21,7 +21,7 @@ def duck():
 
 
 #: Iterative ones and measurements; test_communities and test_vector_index hold them against plain implementations.
-WITHOUT_SQL = {"communities", "knn_index_recall"}
+WITHOUT_SQL = {"communities", "knn_index_recall", "problem_frequency_sketch"}
 
 
 def test_every_query_has_an_oracle():
