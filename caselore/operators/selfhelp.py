@@ -36,7 +36,7 @@ def selfhelp_changed(files: DataFrame, tracking: DataFrame, products: DataFrame,
 def selfhelp_diff(files: DataFrame, tracking: DataFrame) -> DataFrame:
     """Per file with text: status (new, incremental, unchanged) and the new text."""
     seen = tracking.select(*KEY, "processed_content", "last_processed")
-    return compared(files.filter(has_text(F.col("content"))).join(seen, KEY, "left"))
+    return compared(files.select(*KEY, "content", "modified_ts").filter(has_text(F.col("content"))).join(seen, KEY, "left"))
 
 
 def compared(rows: DataFrame) -> DataFrame:
