@@ -11,12 +11,12 @@ documents in the same pass.
 
 Null and empty texts have no words and no hits; items without words match nothing; items without an id count for hits,
 but are not listed. Repeated rows get equal results; equal items are all listed. Empty tables give no rows, or no hits.
-Only the id and the text are read by `scan`; in `cut`, columns named like DECON_COLUMNS are replaced.
+Only the text is read; in the result of `scan` input columns named like DECON_COLUMNS, in any case, are replaced,
+`cut` keeps all columns. Their names may be any.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Callable, Iterator
 
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from caselore.llm.blocks import ALNUM, LOWER, Block, Hashes, blocks, to_block, word_of_text, words
+from caselore.llm.columns import numbered, without
 from caselore.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -153,15 +154,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
     """All columns of docs with decon_words (how many), decon_spans (flat list of start and end of removal spans, in
     words) and decon_items (ids of the items with occurring windows, as strings, sorted). `finish` is applied to these
     rows in the same pass and gives rows of `schema`."""
-    names = [c for c in docs.columns if c not in DECON_COLUMNS]
-    out = docs.select(*names, F.lit(None).cast("long").alias("decon_words"),
+    plain, place = numbered(docs)
+    kept, text = without(docs, *DECON_COLUMNS), place(text_col)
+    names = [f"c{i}" for i in kept]
+    out = plain.select(*names, F.lit(None).cast("long").alias("decon_words"),
                       F.array().cast("array<bigint>").alias("decon_spans"), F.array().cast("array<string>").alias("decon_items"))
     steps = phrase_blocks(benchmark, window, item_col, item_text)
     for k, phrases in enumerate(steps):
         last = finish if k == len(steps) - 1 else None
 
         def step(batches: Iterator[pa.RecordBatch], phrases: Phrases = phrases, last=last) -> Iterator[pa.RecordBatch]:
-            for block in blocks(batches, text_col, SHARD_BYTES):
+            for block in blocks(batches, text, SHARD_BYTES):
                 first, flags, doc, item = phrases.hits(_lowered(block))
                 earlier = block.rows.column("decon_spans")
                 for d in np.flatnonzero(pc.list_value_length(earlier).to_numpy(zero_copy_only=False)):
@@ -178,7 +181,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
                 yield last(batch) if last else batch
 
         out = out.mapInArrow(step, schema if last else out.schema)
-    return out
+    return out if finish else out.toDF(*[docs.columns[i] for i in kept], *DECON_COLUMNS)
 
 
 def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -208,23 +211,19 @@ def cut(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: s
         **columns: str) -> DataFrame:
     """The rows of docs, all columns, with the removal spans cut out of the text; a document of which no word is left
     goes. chars_col, if there is one, is the length of the new text."""
-    names = list(docs.columns)
+    plain, place = numbered(docs)
+    names, text = plain.columns, place(text_col)
+    chars = place(chars_col) if chars_col in docs.columns else None
 
     def rewrite(batch: pa.RecordBatch) -> pa.RecordBatch:
         spans = batch.column("decon_spans").to_pylist()
-        new = {d: without_spans(batch.column(text_col)[d].as_py(), s) for d, s in enumerate(spans) if s}
+        new = {d: without_spans(batch.column(text)[d].as_py(), s) for d, s in enumerate(spans) if s}
         keep = [not s or sum(s[1::2]) - sum(s[::2]) < n for s, n in zip(spans, batch.column("decon_words").to_pylist(), strict=True)]
         out = {c: batch.column(c) for c in names}
         if new:
-            out[text_col] = pa.array([new.get(d, t) for d, t in enumerate(out[text_col].to_pylist())], out[text_col].type)
-            if chars_col in out:
-                chars = out[chars_col].to_pylist()
-                out[chars_col] = pa.array([len(new[d]) if d in new else c for d, c in enumerate(chars)], out[chars_col].type)
+            out[text] = pa.array([new.get(d, t) for d, t in enumerate(out[text].to_pylist())], out[text].type)
+            if chars:
+                out[chars] = pa.array([len(new[d]) if d in new else c for d, c in enumerate(out[chars].to_pylist())], out[chars].type)
         return pa.RecordBatch.from_arrays(list(out.values()), list(out)).filter(pa.array(keep, pa.bool_()))
 
-    return scan(docs, benchmark, window, text_col, finish=rewrite, schema=docs.schema, **columns)
-
-
-def items_digest(item_ids: list[str]) -> str:
-    """items_sha256 of a list of ids, for tests."""
-    return hashlib.sha256(",".join(sorted(item_ids)).encode()).hexdigest()
+    return scan(plain, benchmark, window, text, finish=rewrite, schema=plain.schema, **columns).toDF(*docs.columns)

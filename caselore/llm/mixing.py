@@ -19,9 +19,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caselore.llm.columns import numbered, without
 from caselore.session import shared_dir
 
 LEVELS = ("domain", "lang", "source")
+MIX_COLUMNS = ("mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_budget", "mix_epoch")
 #: Up to so many leaves their budgets are sent to all tasks.
 BROADCAST_LEAVES = 20_000
 #: So many documents of the largest leaf are in one range of the order.
@@ -79,13 +81,14 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, float]], t
     """All columns of docs with mix_domain, mix_lang, mix_source, mix_tokens, mix_budget (of the leaf) and mix_epoch
     (from 0). The budget of the whole is total_share of the tokens there are."""
     shared_dir(docs.sparkSession)
-    none = F.lit("(none)")
-    leaf = [F.coalesce(domain, none).alias("mix_domain"), F.coalesce(F.col("lang"), none).alias("mix_lang"),
-            F.coalesce(F.col("source"), none).alias("mix_source")]
     keys = ["mix_domain", "mix_lang", "mix_source"]
-    names = [c for c in docs.columns if not c.startswith("mix_")]
-    place = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    tagged = docs.select(*names, *leaf, n_tokens(F.col(text_col)).alias("mix_tokens"))
+    plain, named = numbered(docs.select("*", domain))
+    kept = without(docs, *MIX_COLUMNS)
+    names = [f"c{i}" for i in kept]
+    place = F.coalesce(F.col(named(id_col)).cast("string"), F.lit(""))
+    leaf = [F.coalesce(F.col(c), F.lit("(none)")).alias(k)
+            for c, k in zip((f"c{len(docs.columns)}", named("lang"), named("source")), keys, strict=True)]
+    tagged = plain.select(*dict.fromkeys([*names, named(id_col)]), *leaf, n_tokens(F.col(named(text_col))).alias("mix_tokens"))
     light = tagged.select(*keys, "mix_tokens", place.alias("place")).checkpoint()
     leaves = (light.groupBy(*keys).agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("n"))
               .withColumnsRenamed(dict(zip(keys, LEVELS, strict=True)))).checkpoint()
@@ -123,4 +126,5 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, float]], t
     taken = with_plan(tagged, cuts).withColumn("mix_last", F.coalesce(epochs, F.col("full") - 1))
     return (taken.filter(F.col("mix_last") >= 0)
             .select(*names, *keys, "mix_tokens", "mix_budget",
-                    F.explode(F.sequence(F.lit(0), F.col("mix_last"))).alias("mix_epoch")))
+                    F.explode(F.sequence(F.lit(0), F.col("mix_last"))).alias("mix_epoch"))
+            .toDF(*[docs.columns[i] for i in kept], *MIX_COLUMNS))

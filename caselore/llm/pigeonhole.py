@@ -201,6 +201,8 @@ def _dealt_again(distance: int):
 def links(fps: DataFrame, distance: int = 3, bucket_members: int = BUCKET_MEMBERS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(a, b): pairs of linked fingerprints that connect all that links connect; fps has a column fp (long), distinct."""
     rows = fps.count()
+    if rows < 2:
+        return fps.sparkSession.createDataFrame([], "a long, b long")
     share = min(1.0, sample_rows / max(1, rows))
     sample = fps.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)).select("fp").toArrow()
     sampled = np.sort(sample["fp"].to_numpy().astype(np.int64)).view(np.uint64)

@@ -45,13 +45,3 @@ def fingerprints(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         ones = np.add.reduceat(bits, offsets[full], axis=0, dtype=np.int32)
         out[full] = np.packbits(2 * ones > n[full, None], axis=1).view(">u8").ravel()
     return out
-
-
-def distinct_per_text(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's hashes sorted and without repeats."""
-    of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    order = np.lexsort((hashes, of))
-    hashes, of = hashes[order], of[order]
-    fresh = np.ones(len(hashes), bool)
-    fresh[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
-    return hashes[fresh], np.concatenate([[0], np.cumsum(fresh)])[offsets]

@@ -2,19 +2,13 @@
 
 `simhash_components` takes one 64-bit fingerprint per text (the majority of each bit over the hashes of its shingles)
 and finds all links within a Hamming distance by the generalised pigeonhole of llm.pigeonhole. Equal fingerprints are
-one node, so copies cost a row each and nothing more.
+one node, so copies cost a row each and nothing more. `one_per_group` keeps the document of the smallest id of each group.
 
-`drop_near_duplicates` is for a similarity: shingle sets with a Jaccard similarity of 0.8 differ in about 15 of 100
-SimHash bits, too many for 64 of them. Candidates are found there by prefixes, whose recall is 1 at any number of rows: in
-one order of all shingles, two sets x and y with at least `least` common shingles share one among the first
-size - least + 1 of each. Rare shingles come first in the order, so that few rows meet; any order loses nothing.
-Candidates are verified on their whole shingle sets (32 bits of each hash).
-
-Null texts are empty ones. Empty texts have fingerprint zero and are linked like any other; in drop_near_duplicates
-they are copies of each other. Rows without an id are nodes of their own in neither: they get the component of their
-fingerprint, and drop_near_duplicates keeps them. Rows of one id are one document with the lowest component of its
-texts, and stay or go together. Empty tables give no rows. Only the id and the text are read; drop_near_duplicates
-returns all columns.
+Null texts are empty ones. Empty texts have fingerprint zero and are linked like any other, so one of them stays. Ids may
+be of any type with an order. Rows without an id get the component of their fingerprint, and one_per_group keeps them.
+Rows of one id are one document to one_per_group: they go if any of their texts is linked to a smaller id. Empty tables
+give no rows. Only the id and the text are read, each from the first column of exactly that name; one_per_group returns
+all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,13 +17,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caselore.llm.blocks import blocks, mixed, release_memory
-from caselore.llm.pigeonhole import links, whole_groups
-from caselore.llm.shingles import distinct_per_text, fingerprints, shingle_hashes
+from caselore.llm.blocks import blocks
+from caselore.llm.columns import numbered, pick
+from caselore.llm.pigeonhole import links
+from caselore.llm.shingles import fingerprints, shingle_hashes
 from caselore.operators.components import connected_components
 from caselore.session import shared_dir
 
@@ -39,14 +33,15 @@ BROADCAST_IDS = 500_000
 
 def simhash(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp): the 64-bit fingerprint of every document as a long."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    texts = pick(docs, id=id_col, text=text_col)
+    kind = texts.schema["id"].dataType.simpleString()
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col):
+        for block in blocks(batches, "text"):
             fp = fingerprints(*shingle_hashes(block, shingle))
-            yield pa.RecordBatch.from_arrays([block.rows.column(id_col), pa.array(fp.view(np.int64))], [id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([block.rows.column("id"), pa.array(fp.view(np.int64))], [id_col, "fp"])
 
-    return docs.select(id_col, text_col).mapInArrow(step, f"{id_col} {kind}, fp long")
+    return texts.mapInArrow(step, f"`{id_col}` {kind}, fp long")
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id",
@@ -64,331 +59,12 @@ def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, id_
     return prints.join(where, "fp").select(id_col, "fp", "component_id")
 
 
-# Near-duplicates by similarity.
-
-#: Every bucket row carries the component of its text so far, the size of its shingle set, the place of the shingle in it, and for each of 64 * FILTER_WORDS
-#: classes of shingles whether their number is odd: sets differ in at least as many shingles as in such bits.
-FILTER_WORDS = 4
-TRAITS = ["component", "size", "place", *(f"s{k}" for k in range(1, FILTER_WORDS + 1))]
-NEIGHBOURS = 15
-#: Rounds in which rows of wide buckets meet the first one only, before all that is left is compared.
-STAR_ROUNDS = 3
-#: The order of shingles comes from counts in this share of the documents, or in ORDER_ROWS of them if that is more. It only
-#: decides how many rows meet, never which pairs are found.
-ORDER_SHARE, ORDER_ROWS = 1 / 16, 4000
-#: Shingles of so many sampled documents come after all others, up to so many shingles.
-COMMON_COUNT, COMMON_SHINGLES = 3, 1 << 18
-#: Against rounding in bounds on the number of common shingles.
-EPSILON = 1e-6
-
-
-def _common_shingles(docs: DataFrame, shingle: int, total: int, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of common shingles, sorted, and their counts."""
-    share = max(ORDER_SHARE, min(1.0, ORDER_ROWS / max(1, total)))
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col):
-            hashes, _ = distinct_per_text(*shingle_hashes(block, shingle))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
-
-    some = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).select(text_col)
-    counts = (some.mapInArrow(step, "hash long").groupBy("hash").agg(F.count("*").alias("n"))
-              .filter(F.col("n") >= COMMON_COUNT).checkpoint())
-    room, least = COMMON_SHINGLES, None
-    for n, shingles in sorted(((r[0], r[1]) for r in counts.groupBy("n").agg(F.count("*")).collect()), reverse=True):
-        room -= shingles
-        if room < 0:
-            break
-        least = n
-    found = counts.filter(F.col("n") >= least).toArrow() if least is not None else pa.table({"hash": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-    hashes, n = found["hash"].to_numpy().view(np.uint64), found["n"].to_numpy()
-    order = np.argsort(hashes)
-    return hashes[order], n[order]
-
-
-def _odd_counts(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """64 * FILTER_WORDS bits of each set: whether the number of its shingles in a class is odd."""
-    n, width = len(offsets) - 1, 64 * FILTER_WORDS
-    of = np.repeat(np.arange(n), np.diff(offsets))
-    place = (mixed(hashes + np.uint64(0x9E3779B97F4A7C15)) % np.uint64(width)).astype(np.int64)
-    counts = np.bincount(of * width + place, minlength=n * width).reshape(n, width)
-    return np.packbits((counts & 1).astype(bool), axis=1).view(np.int64)
-
-
-def _set_keys(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits that are equal for equal sets."""
-    def sums(values: np.ndarray) -> np.ndarray:
-        return np.diff(np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])[offsets])
-
-    return sums(mixed(hashes)), sums(mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)))
-
-
-def _signatures(docs: DataFrame, shingle: int, similarity: float, common: Broadcast, id_col: str, text_col: str) -> DataFrame:
-    """(id, k1, k2, traits but the place, keys): the prefix of each shingle set in the order of all shingles, as keys."""
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = common.value
-        for block in blocks(batches, text_col):
-            hashes, offsets = distinct_per_text(*shingle_hashes(block, shingle))
-            sizes = np.diff(offsets)
-            of = np.repeat(np.arange(len(block)), sizes)
-            count = np.zeros(len(hashes), np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                count = np.where(known[at] == hashes, counts[at], 0)
-            keys = hashes[np.lexsort((hashes, count, of))]
-            prefix = np.where(sizes > 0, sizes - np.ceil(similarity * sizes - EPSILON).astype(np.int64) + 1, 0)
-            keys = keys[np.arange(len(keys)) - np.repeat(offsets[:-1], sizes) < np.repeat(prefix, sizes)]
-            first, second = _set_keys(hashes, offsets)
-            traits = [sizes.astype(np.int64), *_odd_counts(hashes, offsets).T]
-            ends = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [block.rows.column(id_col), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
-                 *(pa.array(np.ascontiguousarray(x)) for x in traits),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)))],
-                [id_col, "k1", "k2", *(t for t in TRAITS[1:] if t != "place"), "keys"])
-
-    schema = f"{id_col} {kind}, k1 long, k2 long, {', '.join(f'{t} long' for t in TRAITS[1:] if t != 'place')}, keys array<bigint>"
-    return docs.select(id_col, text_col).filter(F.col(id_col).isNotNull()).mapInArrow(step, schema)
-
-
-#: What a bucket row is: a row still to be compared, a candidate pair (node, key), or the key of a wide bucket.
-ROW, PAIR, WIDE = 0, 1, 2
-
-
-class _Runs:
-    """Runs of equal keys in sorted batches: every row's place in its run and the first row of it, across batches."""
-
-    def __init__(self) -> None:
-        self.last: tuple[int, int, tuple[int, ...]] | None = None  # key, rows so far, first row
-
-    def of(self, key: np.ndarray, *row: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        opens = np.concatenate([[True], key[1:] != key[:-1]])
-        start = np.maximum.accumulate(np.where(opens, np.arange(len(key)), 0))
-        place, first = np.arange(len(key)) - start, [c[start] for c in row]
-        if self.last is not None and self.last[0] == key[0]:
-            place[start == 0] += self.last[1]
-            for c, value in zip(first, self.last[2], strict=True):
-                c[start == 0] = value
-        self.last = int(key[-1]), int(place[-1]) + 1, tuple(int(c[-1]) for c in first)
-        return place, first
-
-
-def _alike(x: list[np.ndarray], y: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Whether two rows (node, *TRAITS) are of two components and may be similar sets; no such pair that is similar fails in
-    the bucket of its first common shingle."""
-    (of_x, size_x, place_x), (of_y, size_y, place_y) = x[1:4], y[1:4]
-    total = size_x + size_y
-    least = np.ceil(similarity / (1 + similarity) * total - EPSILON).astype(np.int64)
-    near = (of_x != of_y) & (place_x <= size_x - least) & (place_y <= size_y - least)
-    apart = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in zip(x[4:], y[4:], strict=True))
-    return near & (apart <= total - 2 * least)
-
-
-def _bucket_rows(kind: int, key: np.ndarray, *row: np.ndarray) -> pa.RecordBatch:
-    row = row + tuple(np.zeros(len(key), np.int64) for _ in range(1 + len(TRAITS) - len(row)))
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int8)), *map(pa.array, (key, *row))],
-                                      ["kind", "key", "node", *TRAITS])
-
-
-def _combined(similarity: float, reach: int):
-    """Before the shuffle: reach + 1 rows of a bucket go on, later ones in the same task meet the first row here."""
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = _Runs()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, *row = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            place, first = runs.of(key, *row)
-            on = place <= reach
-            yield _bucket_rows(ROW, key[on], *(c[on] for c in row))
-            met = ~on & _alike(row, first, similarity)
-            pairs = np.unique(np.sort(np.stack([row[0][met], first[0][met]]), axis=0), axis=1)
-            yield _bucket_rows(PAIR, pairs[1], pairs[0])
-            yield _bucket_rows(WIDE, key[place == reach + 1])
-        release_memory()
-
-    return step
-
-
-def _neighbours(similarity: float, reach: int):
-    """(a, b): candidate pairs of sorted bucket rows. Rows of buckets of up to reach + 1 meet all others; those of wider
-    ones, which are named as (key, null), the first one only. Pairs that were made before are handed on."""
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, kept = _Runs(), None
-        for batch in batches:
-            kind, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            handed = [c[kind == PAIR] for c in columns[:2]]
-            named = [columns[0][kind == WIDE]]
-            columns, pairs = [c[kind == ROW] for c in columns], [np.stack([handed[1], handed[0]])]
-            if len(columns[0]):
-                place, first = runs.of(*columns)
-                columns = [*columns, place, *first]
-                old = 0
-                if kept is not None:
-                    old = len(kept[0])
-                    columns = [np.concatenate(x) for x in zip(kept, columns, strict=True)]
-                key, row = columns[0], columns[1:2 + len(TRAITS)]
-                place, first = columns[2 + len(TRAITS)], columns[3 + len(TRAITS):]
-                wide = np.unique(key[place > reach])
-                in_wide = np.isin(key, wide)
-                named.append(key[old:][place[old:] == reach + 1])
-                star = in_wide & _alike(row, first, similarity)
-                pairs.append(np.stack([row[0][star], first[0][star]]))
-                for d in range(1, reach + 1):
-                    right = np.arange(max(old, d), len(key))
-                    right = right[(key[right] == key[right - d]) & ~in_wide[right]]
-                    left = right - d
-                    near = _alike([c[left] for c in row], [c[right] for c in row], similarity)
-                    pairs.append(np.stack([row[0][left[near]], row[0][right[near]]]))
-                kept = [c[-(reach + 1):].copy() for c in columns]
-            a, b = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
-            keys = np.unique(np.concatenate(named))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([a, keys])),
-                 pa.array(np.concatenate([b, keys]), mask=np.arange(len(b) + len(keys)) >= len(b))], ["a", "b"])
-        release_memory()
-
-    return step
-
-
-#: Rows of a bucket that are compared whole in one task; those of a larger one are dealt to pairs of parts.
-PART_ROWS = 1000
-STRIP = 256
-
-
-def _crossed(similarity: float):
-    """(a, b): all candidate pairs of two components in each (key, low, high), rows sorted by that."""
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, low, high, mine, *row in whole_groups(batches, ["key", "low", "high"]):
-            opens = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-            starts = np.concatenate([[0], np.flatnonzero(opens) + 1, [len(key)]])
-            pairs = [np.zeros((2, 0), np.int64)]
-            for i, j in zip(starts[:-1], starts[1:], strict=True):
-                for start in range(i, j, STRIP):
-                    here = np.arange(start, min(j, start + STRIP))
-                    left, right = np.repeat(here, j - start), np.tile(np.arange(start, j), len(here))
-                    on = (left < right) & (row[1][left] != row[1][right]) & ((mine[left] != mine[right]) | (low[i] == high[i]))
-                    left, right = left[on], right[on]
-                    near = _alike([c[left] for c in row], [c[right] for c in row], similarity)
-                    pairs.append(np.stack([row[0][left[near]], row[0][right[near]]]))
-            a, b = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-        release_memory()
-
-    return step
-
-
-def _all_pairs(rows: DataFrame, similarity: float, part_rows: int) -> DataFrame:
-    """(a, b): all candidate pairs of two components in the buckets of rows."""
-    large = (rows.groupBy("key").count().filter(F.col("count") > part_rows)
-             .select("key", F.ceil(F.col("count") / part_rows).cast("int").alias("parts"))).checkpoint()
-    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    dealt = (rows.join(_sent(large), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", *TRAITS))
-    return (dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-            .mapInArrow(_crossed(similarity), "a long, b long").distinct())
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) of ids whose shingle sets have at least the similarity."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias(id_col)).distinct().checkpoint()
-    small = ids.count() <= BROADCAST_IDS
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col):
-            hashes, offsets = shingle_hashes(block, shingle)
-            hashes, offsets = distinct_per_text(hashes & np.uint64(0xFFFFFFFF), offsets)
-            data = hashes.astype(np.uint32)
-            each = [data[i:j].tobytes() for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([block.rows.column(id_col), pa.array(each, pa.binary())], ["node", "shingles"])
-
-    texts = docs.select(id_col, text_col).join(F.broadcast(ids) if small else ids, id_col)
-    sets = texts.mapInArrow(step, "node long, shingles binary").checkpoint()
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= similarity * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-        release_memory()
-
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct()
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id",
-                    text_col: str = "text", neighbours: int = NEIGHBOURS, star_rounds: int = STAR_ROUNDS,
-                    part_rows: int = PART_ROWS) -> DataFrame:
-    """(id): the documents to drop; of each group of copies and linked near copies the smallest id is not among them.
-
-    Buckets of up to neighbours + 1 texts are compared whole. In wider ones each row meets the first one of an order that
-    is the same in all buckets, so that the rows of a large group meet few others; a task does this with its own rows
-    before the shuffle and sends on neighbours + 1 of a bucket at most. This is done again, in other orders, with the wide
-    buckets that still have texts of several components, as long as components grow, up to star_rounds times. In the end all
-    pairs of two components in the buckets that are left are compared. Texts stay in their buckets until all in them are of
-    one component, so no link between components is left out, and no pair is verified twice.
-    """
-    spark = docs.sparkSession
-    shared_dir(spark)
-    total = docs.count()
-    common = spark.sparkContext.broadcast(_common_shingles(docs, shingle, total, id_col, text_col))
-    signed = _signatures(docs, shingle, similarity, common, id_col, text_col).checkpoint()
-    alike = signed.groupBy("k1", "k2").agg(F.min(id_col).alias("node")).checkpoint()
-    nodes = (alike.join(signed.withColumnRenamed(id_col, "node"), ["k1", "k2", "node"])
-             .dropDuplicates(["k1", "k2", "node"]).drop("k1", "k2"))
-    rows = (nodes.withColumn("component", F.col("node")).select("*", F.posexplode("keys").alias("at", "key"))
-            .withColumn("place", F.col("at").cast("long")).select("key", "node", *TRAITS))
-    copies = signed.join(alike, ["k1", "k2"]).filter(F.col(id_col) != F.col("node")).select(F.col(id_col).alias("gone"))
-    edges, groups, tried, turn = None, None, None, 0
-    while True:
-        if last := turn > 0 and (turn >= star_rounds or not merged):
-            pairs = _all_pairs(rows, similarity, part_rows).checkpoint()
-        else:
-            order = F.xxhash64(F.lit(turn), "node")
-            here = (rows.sortWithinPartitions("key", order)
-                    .mapInArrow(_combined(similarity, neighbours),
-                                "kind tinyint, key long, node long, " + ", ".join(f"{t} long" for t in TRAITS)))
-            dealt = (here.repartition(F.when(F.col("kind") == PAIR, F.xxhash64("node", "key")).otherwise(F.col("key")))
-                     .sortWithinPartitions("kind", "key", order))
-            found = dealt.mapInArrow(_neighbours(similarity, neighbours), "a long, b long").distinct().checkpoint()
-            wide = found.filter(F.col("b").isNull()).select(F.col("a").alias("key"))
-            pairs = found.filter(F.col("b").isNotNull())
-        fresh = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti").checkpoint()
-        tried = fresh if tried is None else tried.unionByName(fresh)
-        now = _verified(fresh, docs, shingle, similarity, id_col, text_col).checkpoint()
-        merged = not now.isEmpty()
-        if groups is None or merged:
-            edges = now if edges is None else edges.unionByName(now).checkpoint()
-            groups = connected_components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))).checkpoint()
-        if last:
-            break
-        if turn == 0:
-            rows = rows.join(_sent(wide), "key", "left_semi")
-        moved = _sent(groups.filter(F.col("node") != F.col("component")).withColumnRenamed("component", "joined"))
-        rows = (rows.join(moved, "node", "left").withColumn("component", F.coalesce("joined", "component")).drop("joined")
-                .checkpoint())
-        several = (rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                   .filter(F.col("low") < F.col("high")).select("key").checkpoint())
-        if several.isEmpty():
-            break
-        rows, turn = rows.join(_sent(several), "key", "left_semi").checkpoint(), turn + 1
-    gone = groups.filter(F.col("node") != F.col("component")).select(F.col("node").alias("gone"))
-    return copies.unionByName(gone).distinct().select(F.col("gone").alias(id_col))
-
-
-def _sent(small: DataFrame) -> DataFrame:
-    """Rows to join with, sent to all tasks if they are few."""
-    return F.broadcast(small) if small.count() <= BROADCAST_IDS else small
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs, all columns, without near_duplicates(docs)."""
-    gone = near_duplicates(docs, id_col=id_col, **options).checkpoint()
-    return docs.join(_sent(gone), id_col, "left_anti")
+def one_per_group(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                  **options: int) -> DataFrame:
+    """The rows of docs, all columns, without those linked to a document of a smaller id."""
+    found = simhash_components(docs, shingle, distance, id_col, text_col, **options)
+    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct().checkpoint()
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    rows, place = numbered(docs)
+    return rows.join(gone, rows[place(id_col)] == gone["gone"], "left_anti").toDF(*docs.columns)

@@ -17,7 +17,8 @@ read three times; passes 2 and 3 and the removal look only at texts that have op
 
 A null text is empty; texts shorter than a window have no windows and stay whole. Rows are known by their id and a hash of the
 text, so nulls and repeated ids are rows like any other; a repeated row is a repeat of its windows. Spans are bytes, so
-what is left can end inside a character. An empty table gives no rows. Only the id and the text are read.
+what is left can end inside a character. Ids may be of any type. An empty table gives no rows. Only the id and the text
+are read, each from the first column of exactly that name.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from caselore.llm.blocks import Block, Hashes, blocks, mixed
+from caselore.llm.columns import pick
 from caselore.session import shared_dir
 
 WINDOW, ANCHOR, PART = 400, 128, 32
@@ -185,7 +188,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     twice = windows.groupBy("whole").count().filter(F.col("count") > 1).select("whole")
     single = windows.join(twice, "whole", "left_semi").select("doc", "mark", "low", F.lit(1).cast("long").alias("n"))
     every = spans.unionByName(more).unionByName(single)
-    lists = every.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", (F.col("low") + F.col("n") - 1 + window).alias("end"))).alias("spans"))
+    lists = every.groupBy("doc", "mark").agg(F.collect_set(F.struct("low", (F.col("low") + F.col("n") - 1 + window).alias("end"))).alias("spans"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,7 +206,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
+    """doc is the id, or a hash of it where ids are no whole numbers: two rows that share it and the hash of the text only
+    share their spans."""
+    texts = pick(docs, id=id_col, text=text_col)
+    whole = isinstance(texts.schema["id"].dataType, IntegralType)
+    doc = F.col("id").cast("long") if whole else F.when(F.col("id").isNotNull(), F.xxhash64("id"))
+    return texts.select(doc.alias("doc"), F.xxhash64("text").alias("mark"), "text", "id")
 
 
 def merged(low: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,10 +247,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                 found.append((stop - start, stop - start - len(kept), n, hashlib.sha256(kept).hexdigest(), kept if with_kept else None))
             columns = list(zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [block.rows.column("doc"), *[pa.array(c, t) for c, t in
+                [block.rows.column("id"), *[pa.array(c, t) for c, t in
                                              zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)]],
                 [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    out = (_with_texts(texts, spans, "spans", "left").select("doc", "text", "spans")
-           .mapInArrow(step, f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
+    out = (_with_texts(texts, spans, "spans", "left").select("id", "text", "spans")
+           .mapInArrow(step, f"`{id_col}` {texts.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
     return out if with_kept else out.drop("kept")

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caselore.llm import quality_classifier
 from caselore.llm.decontamination import cut
-from caselore.llm.mixing import mix
+from caselore.llm.mixing import MIX_COLUMNS, mix
 from caselore.llm.queries import WEIGHTS, domain_of_source, held_out, table
 from caselore.llm.sharding import shard
-from caselore.llm.simhash import drop_near_duplicates
+from caselore.llm.simhash import one_per_group
 from caselore.session import scratch_path
 
 #: Share of the remaining tokens that the mixture takes.
@@ -31,8 +31,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest id, of each group of copies and near copies (five words, 0.8)."""
-    return drop_near_duplicates(docs).select(*docs.columns)
+    """One document, the one of the smallest id, of each group of linked SimHash fingerprints (three words, three bits)."""
+    return one_per_group(docs, shingle=3, distance=3)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the mixture by target weights, each at most once."""
-    return mix(docs, domain_of_source(), WEIGHTS, total_share=MIX_SHARE, max_epochs=1).select(*docs.columns)
+    return mix(docs, domain_of_source(), WEIGHTS, total_share=MIX_SHARE, max_epochs=1).drop(*MIX_COLUMNS)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

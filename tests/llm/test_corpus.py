@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from caselore.llm import mixing, pigeonhole, sharding, simhash, suffix_dedup
+from caselore.llm import decontamination, mixing, pigeonhole, sharding, simhash, suffix_dedup
 from caselore.llm.prefix import running_totals
 
 from .test_texts import LOWER, UPPER, spaced
@@ -96,76 +96,69 @@ def test_thresholds_add_up():
 
 
 def brute_gone(rows):
-    sets = [{xxhash.xxh64_intdigest(" ".join(ws[i:i + 5]), 42) for i in range(max(1, len(ws) - 4))} if ws else set()
-            for ws in (spaced((t or "").translate(str.maketrans(UPPER, LOWER))) for _, t in rows)]
-    edges = [(i, j) for i in range(len(sets)) for j in range(i)
-             if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    root = roots(len(sets), edges)
-    return {rows[i][0] for i in range(len(sets)) if root[i] != i}
-
-
-def test_near_duplicates(spark, docs, corpus, nothing):
-    want = brute_gone([(i, t) for i, t, *_ in corpus])
-    assert {r["doc_id"] for r in simhash.near_duplicates(docs).collect()} == want
-    left = simhash.drop_near_duplicates(docs)
-    assert {r["doc_id"] for r in left.collect()} == {r[0] for r in corpus} - want and set(left.columns) == set(docs.columns)
-    assert simhash.drop_near_duplicates(nothing).count() == 0
-    rng = np.random.default_rng(9)
-    base, rows = [f"w{k}" for k in rng.integers(0, 10_000, 400)], []
-    for i in range(120):  # one wide group of near copies, compared in rounds
-        ws = list(base)
-        for k in rng.integers(0, 400, 3):
-            ws[k] = f"x{rng.integers(0, 10_000)}"
-        rows.append((i, " ".join(ws)))
-    many = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r["doc_id"] for r in simhash.near_duplicates(many, neighbours=2).collect()} == brute_gone(rows)
-
-
-def test_similar_sets_always_meet():
-    """Pairs at or just above the similarity share a key whose rows pass the filter, whatever the order and the number of rows."""
-    rng = np.random.default_rng(4)
-    for n in (1, 5, 9, 90, 400):
-        for _ in range(20):
-            common = -(-8 * n // 9)
-            pool = np.unique(rng.integers(0, 1 << 62, 4 * n + 9).astype(np.uint64))
-            rng.shuffle(pool)
-            x = pool[:n]
-            y = np.concatenate([x[:common], pool[n:2 * n - common]])
-            order = {int(h): k for k, h in enumerate(rng.permutation(pool))}
-            if len(set(x) & set(y)) < 0.8 * len(set(x) | set(y)):
-                continue
-            rows = []
-            for node, one in enumerate((x, y)):  # (node, *TRAITS)
-                odd = simhash._odd_counts(one, np.array([0, n]))[0]
-                rows.append({int(h): [np.array([v]) for v in (node, node, n, k, *odd)]
-                             for k, h in enumerate(sorted(one, key=lambda h: order[int(h)]))})
-            assert any(simhash._alike(rows[0][h], rows[1][h], 0.8)[0] for h in rows[0].keys() & rows[1].keys())
-
-
-def test_near_duplicates_at_a_low_similarity(spark):
-    """None of many pairs just above the similarity is missed, also where bits differ in over a fourth."""
-    rng, rows = np.random.default_rng(12), []
-    for k in range(200):
-        ws = [f"w{w}" for w in rng.integers(0, 1_000_000, 100)]
-        again = [f"x{at}" if at in (8, 22, 38, 52, 68, 82) else w for at, w in enumerate(ws)]  # 66 of 126 shingles
-        rows += [(2 * k, " ".join(ws)), (2 * k + 1, " ".join(again))]
-    many = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r["doc_id"] for r in simhash.near_duplicates(many, similarity=0.5).collect()} == {2 * k + 1 for k in range(200)}
-
-
-def test_drifting_copies(spark):
-    """A chain of copies in a wide bucket: each is similar to its neighbours, few are similar to the first one."""
-    rng = np.random.default_rng(15)
-    base, rows = [f"w{k}" for k in rng.integers(0, 1_000_000, 300)], []
-    for i in range(60):  # five words change with each step, at the front, and so 9 shingles; the rest is common to all
-        base[5 * i % 240:5 * i % 240 + 5] = [f"x{i}-{k}" for k in range(5)]
-        rows.append((i, " ".join(base)))
-    rows += [(100 + i, " ".join([*(f"y{i}-{k}" for k in range(150)), *base[150:]])) for i in range(20)]  # half alike only
-    many = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    want = brute_gone(rows)
-    assert len(want) == 59
-    for options in ({"neighbours": 2}, {"neighbours": 2, "star_rounds": 1, "part_rows": 20}):
-        assert {r["doc_id"] for r in simhash.near_duplicates(many, **options).collect()} == want
+    """Ids linked, over any number of links, to a smaller one."""
+    rows = sorted(rows)
+    prints = [fingerprint(t) for _, t in rows]
+    edges = [(i, j) for i in range(len(rows)) for j in range(i) if bin(prints[i] ^ prints[j]).count("1") <= 3]
+    root = roots(len(rows), edges)
+    return {rows[i][0] for i in range(len(rows)) if root[i] != i}
+
+
+def odd_columns(df):
+    """The table with columns named like what operators use inside, and with names that clash, repeat or have dots."""
+    names = ["full", "cut", "SHARD", "slot", "a.b", "range", "Mix_Tokens", "decon_words", "salt", "bucket", "c0", "gone", "same", "same", "row"]
+    return df.select("*", *[F.lit(f"{n}!").alias(n) for n in names])
+
+
+def test_one_per_group(spark, docs, corpus, nothing):
+    rows = [(i, t) for i, t, *_ in corpus]
+    want = {i for i, _ in rows} - brute_gone(rows)
+    odd = odd_columns(docs)
+    left = simhash.one_per_group(odd)
+    assert left.columns == odd.columns and {r[0] for r in left.collect()} == want
+    assert simhash.one_per_group(nothing).count() == 0
+    texts = docs.select(F.format_string("%05d", "doc_id").alias("doc_id"), "text")
+    assert {int(r["doc_id"]) for r in simhash.one_per_group(texts).collect()} == want
+    nulls = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (3, "a b c d"), (2, "a b c d"), (2, "a b c d")], "doc_id long, text string")
+    assert [r["doc_id"] for r in simhash.one_per_group(nulls).orderBy("doc_id").collect()] == [None, None, 2, 2]
+
+
+def test_odd_columns(spark, docs, corpus):
+    odd = odd_columns(docs)
+    mixed = mixing.mix(odd, F.col("source"), {}, total_share=0.6)
+    plain = mixing.mix(docs, F.col("source"), {}, total_share=0.6)
+    assert mixed.columns == [*[c for c in odd.columns if c != "Mix_Tokens"], *mixing.MIX_COLUMNS]
+    assert sorted((r[0], r[-1]) for r in mixed.collect()) == sorted((r[0], r[-1]) for r in plain.collect())
+    dealt = sharding.shard(odd)
+    assert dealt.columns == [*[c for c in odd.columns if c not in ("SHARD", "slot")], "shard", "slot"]
+    assert sorted(r[0] for r in dealt.collect()) == [r[0] for r in corpus]
+    bench = spark.createDataFrame([("a", " ".join((corpus[3][1]).split()[:12]))], "item_id string, text string")
+    left = decontamination.cut(odd, bench)
+    assert left.columns == odd.columns
+    got = {r[0]: r[1] for r in left.collect()}
+    assert {r["doc_id"]: r["text"] for r in decontamination.cut(docs, bench).collect()} == got
+    assert len(got[3].split()) == len(corpus[3][1].split()) - 12
+    scanned = decontamination.scan(odd, bench)
+    assert scanned.columns == [*[c for c in odd.columns if c != "decon_words"], *decontamination.DECON_COLUMNS]
+    texts = docs.select(F.format_string("id %d", "doc_id").alias("doc_id"), "text", F.lit(1).alias("DOC_ID"), F.lit(2).alias("mark"))
+    found = {r[0]: r[1:] for r in suffix_dedup.remove_repeats(texts).collect()}
+    assert found == {f"id {r[0]}": r[1:] for r in suffix_dedup.remove_repeats(docs).collect()}
+
+
+def test_sharding_of_equal_rows(spark):
+    """A third of all rows are equal in id and text: they are spread over buckets, and the law holds."""
+    rows = [(None, "the same row again and again")] * 3000 + [(i, f"text of row {i} with some more words") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = sharding.shard(docs, 8, bucket_bytes=8_000)
+    slots = {}
+    for r in found.collect():
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert {len(s) for s in slots.values()} == {1125}
+    plain = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShufflePartitionIdPassThrough" in plain or "REPARTITION_BY" in plain
+    sizes = [r["n"] for r in found.filter("doc_id IS NULL").groupBy("shard").agg(F.count("*").alias("n")).collect()]
+    assert min(sizes) > 250
 
 
 def test_mixing(docs, corpus, nothing):
