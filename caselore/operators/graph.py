@@ -8,6 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselore.functions import vocabulary as V
+from caselore.operators.gazetteer import PhraseTree, heavy_pair_rows, mention_rows
+from caselore.session import scratch_path
+
+#: A lexicon of up to so many words and characters is sent to every task.
+TREE_WORDS, TREE_CHARS = 1_000_000, 16_000_000
+#: A term with at least this fraction of all mentions is heavy, so there are no more heavy terms than this.
+HEAVY_TERMS = 2048
 
 
 def chunks(documents: DataFrame, size: int = V.CHUNK_SIZE, overlap: int = V.CHUNK_OVERLAP) -> DataFrame:
@@ -130,11 +137,35 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
 
 
+def _phrase_tree(lexicon: DataFrame) -> PhraseTree | None:
+    """The lexicon as a tree of words if it is small enough to be sent to every task, else nothing."""
+    size = lexicon.agg(F.sum(F.size(F.split("term", " "))).alias("words"), F.sum(F.char_length("term")).alias("chars")).first()
+    if (size["words"] or 0) > TREE_WORDS or (size["chars"] or 0) > TREE_CHARS:
+        return None
+    return PhraseTree([(r["term"], r["type"]) for r in lexicon.select("term", "type").collect()])
+
+
 def mentions(chunked: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(doc_id, chunk_no, term, type, n) for lexicon terms of any number of words.
+    """(doc_id, chunk_no, term, type, n) for lexicon terms of any number of words, terms inside others included.
 
-    Only runs of as many words as some term has are looked up; these numbers are fetched first.
+    A lexicon of at most TREE_WORDS words is a prefix tree that every chunk is walked through, without a shuffle; a
+    larger one is joined. Null terms and types of their own are allowed: a null term is found nowhere, a term of several
+    types gives a row for each. Every row of chunked is a chunk of its own.
     """
+    spark = chunked.sparkSession
+    terms = lexicon.select("term", "type").filter(F.col("term").isNotNull()).distinct()
+    tree = _phrase_tree(terms)
+    if tree is None:
+        return mentions_by_join(chunked, terms)
+    sent = spark.sparkContext.broadcast(tree)
+    kinds = {f.name: f.dataType.simpleString() for f in chunked.schema.fields}
+    return (chunked.select("doc_id", "chunk_no", words(F.col("text")).alias("words"))
+            .mapInArrow(mention_rows(lambda: sent.value),
+                        f"doc_id {kinds['doc_id']}, chunk_no {kinds['chunk_no']}, term string, type string, n long"))
+
+
+def mentions_by_join(chunked: DataFrame, terms: DataFrame) -> DataFrame:
+    """The rows of mentions for a lexicon of any size: the word runs of the lengths that terms have are joined to it."""
     def runs_of(n: int) -> Column:
         if n == 1:
             return F.col("words")
@@ -142,24 +173,36 @@ def mentions(chunked: DataFrame, lexicon: DataFrame) -> DataFrame:
         found = F.transform(starts, lambda i: F.array_join(F.slice("words", i, F.lit(n)), " "))
         return F.when(F.size("words") >= n, found).otherwise(F.array().cast("array<string>"))
 
-    counts = lexicon.select(F.size(F.split("term", " ")).alias("n")).filter(F.col("n") > 0).distinct()
+    counts = terms.select(F.size(F.split("term", " ")).alias("n")).filter(F.col("n") > 0).distinct()
     runs = [runs_of(row["n"]) for row in counts.orderBy("n").collect()] or [F.col("words")]
     return (chunked.select("doc_id", "chunk_no", words(F.col("text")).alias("words"))
             .select("doc_id", "chunk_no", F.explode(F.concat(*runs)).alias("term"))
-            .join(lexicon, "term").groupBy("doc_id", "chunk_no", "term", "type").agg(F.count("*").alias("n")))
+            .join(terms, "term").groupBy("doc_id", "chunk_no", "term", "type").agg(F.count("*").alias("n")))
 
 
-def cooccurrence(mentions: DataFrame) -> DataFrame:
-    """(source, target, shared, strength): entities that share chunks.
+def cooccurrence(mentions: DataFrame, heavy_terms: int = HEAVY_TERMS) -> DataFrame:
+    """(source, target, shared, strength): entities that share chunks, source before target.
 
-    The entities of one chunk are bounded by the chunk size, and their pairs are counted
-    before the shuffle.
+    Terms that hold at least one in heavy_terms of all mentions are heavy, so there are at most heavy_terms of them. Their
+    pairs are counted by a matrix product inside every task, which lets a frequent pair leave a task once. A light term
+    meets the other terms of its chunk one by one. The terms of a chunk are bounded by its text and kept in a table
+    that both sides read.
     """
-    per_chunk = mentions.groupBy("doc_id", "chunk_no").agg(F.sort_array(F.collect_set("term")).alias("terms"))
-    pairs = F.flatten(F.transform("terms", lambda a, i: F.transform(
-        F.slice("terms", i + 2, F.size("terms")), lambda b: F.struct(a.alias("source"), b.alias("target")))))
-    return (per_chunk.select(F.explode(pairs).alias("p")).groupBy("p.source", "p.target")
-            .agg(F.count("*").alias("shared"))
+    spark = mentions.sparkSession
+    path = scratch_path(spark, "chunk_terms")
+    (mentions.groupBy("doc_id", "chunk_no").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+     .select("terms").write.parquet(path))
+    held = spark.read.parquet(path)
+    total = held.agg(F.sum(F.size("terms"))).first()[0] or 0
+    heavy = sorted(r["term"] for r in held.select(F.explode("terms").alias("term")).groupBy("term").count()
+                   .filter(F.col("count") * heavy_terms >= total).collect())
+    frequent = held.mapInArrow(heavy_pair_rows(heavy), "source string, target string, n long")
+    is_heavy = (lambda t: t.isin(heavy)) if heavy else (lambda t: F.lit(False))
+    split = held.select(F.filter("terms", is_heavy).alias("heavy"), F.filter("terms", lambda t: ~is_heavy(t)).alias("light"))
+    rare = (split.select("heavy", "light", F.posexplode("light").alias("i", "a"))
+            .select("a", F.explode(F.concat("heavy", F.slice("light", F.col("i") + 2, F.size("light")))).alias("b"))
+            .select(F.least("a", "b").alias("source"), F.greatest("a", "b").alias("target"), F.lit(1).cast("long").alias("n")))
+    return (frequent.unionByName(rare).groupBy("source", "target").agg(F.sum("n").alias("shared"))
             .withColumn("strength", F.least(F.col("shared"), F.lit(10)).cast("int")))
 
 

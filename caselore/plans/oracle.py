@@ -477,14 +477,14 @@ _WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda w
 _TYPES = "[" + ", ".join(_quote(t) for t in V.ENTITY_TYPES) + "]"
 view("lexicon", "", f"""
 SELECT DISTINCT term, {_TYPES}[length(term) % 23 + 1] AS type FROM (
-  SELECT unnest(list_filter(words, lambda w: length(w) >= 7)) AS term FROM (SELECT {_WORDS} AS words FROM benchmark)
-  UNION ALL SELECT array_to_string(words[1:2], ' ') FROM (SELECT {_WORDS} AS words FROM benchmark))""")
+  SELECT unnest(words || list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS term
+  FROM (SELECT {_WORDS} AS words FROM benchmark))""")
 view("tokens", "chunked", f"""
 SELECT doc_id, chunk_no, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM (
   SELECT doc_id, chunk_no, {_WORDS} AS words FROM chunked)""")
 view("ment", "tokens lexicon", """
 SELECT doc_id, chunk_no, term, type, count(*) AS n FROM (
-  SELECT doc_id, chunk_no, unnest([w, w || ' ' || lead(w, 1) OVER p, w || ' ' || lead(w, 1) OVER p || ' ' || lead(w, 2) OVER p]) AS term
+  SELECT doc_id, chunk_no, unnest([w, w || ' ' || lead(w, 1) OVER p]) AS term
   FROM tokens WINDOW p AS (PARTITION BY doc_id, chunk_no ORDER BY pos)) JOIN lexicon USING (term) GROUP BY ALL""")
 view("cooc", "ment", """
 SELECT x.term AS source, y.term AS target, count(*) AS shared, least(count(*), 10)::INT AS strength
@@ -632,14 +632,16 @@ oracle("report_executive", "rp1", "SELECT * FROM rp1")
 oracle("report_gaps", "rp2", "SELECT * FROM rp2")
 oracle("report_fmea", "rp3", "SELECT * FROM rp3")
 oracle("report_recommendations", "rp4", "SELECT * FROM rp4")
-oracle("report_detail", "full_metric dist", "\nUNION ALL ".join([
+view("rp5", "full_metric dist", "\nUNION ALL ".join([
     _lines("detailed_analysis", "full_metric", "0", [
         "'# Detailed Analysis Report'", "''", "'## Processing Metrics'", "'- **Total Processing Time:** 0.0 minutes'",
         "'- **Entities Extracted:** ' || n_entities", "'- **Relationships Found:** ' || n_relations",
         "'- **Communities Identified:** ' || n_communities", "''", "'## Entity Distribution'"]),
     _lines("detailed_analysis", "dist", "1", ["'- **' || type || ':** ' || mentions"], "-mentions")]))
-oracle("sink_reports", "rp2 rp3 rp4", """SELECT analysis_id, report, text, count(*) AS n FROM (
-    SELECT * FROM rp2 UNION ALL SELECT * FROM rp3 UNION ALL SELECT * FROM rp4) GROUP BY 1, 2, 3""")
+oracle("report_detail", "rp5", "SELECT * FROM rp5")
+oracle("sink_reports", "rp1 rp2 rp3 rp4 rp5", """SELECT analysis_id, report, (row_number() OVER (PARTITION BY analysis_id, report
+    ORDER BY section_no NULLS FIRST, rank_key NULLS FIRST, query_no NULLS FIRST, item_no NULLS FIRST, line_no, text))::INT AS line_no, text
+  FROM (SELECT * FROM rp1 UNION ALL SELECT * FROM rp2 UNION ALL SELECT * FROM rp3 UNION ALL SELECT * FROM rp4 UNION ALL SELECT * FROM rp5)""")
 _ARRIVAL = "ORDER BY query_no, item_no"
 oracle("document_record", "counts gaps risks recs metric", f"""
 SELECT c.analysis_id AS id, product_id AS "productId", '2002-01-01 00:00:00' AS "analysisTimestamp", n_cases AS "totalCasesAnalyzed",

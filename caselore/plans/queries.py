@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -752,10 +753,11 @@ def sink_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def sink_reports(spark: SparkSession, d: str) -> DataFrame:
+    """All five reports written as texts and read back, every line at its place."""
     path = scratch_path(spark, "reports")
-    lines = report_gaps(spark, d).unionByName(report_fmea(spark, d)).unionByName(report_recommendations(spark, d))
-    fs.write_reports(lines, path, rep.ORDER)
-    return fs.read_reports(spark, path).groupBy("analysis_id", "report", "text").agg(F.count("*").alias("n"))
+    made = [r(spark, d) for r in (report_executive, report_gaps, report_fmea, report_recommendations, report_detail)]
+    fs.write_reports(reduce(DataFrame.unionByName, made), path, rep.ORDER)
+    return fs.read_reports(spark, path)
 
 
 def _stored_results(spark: SparkSession, d: str) -> DataFrame:

@@ -394,12 +394,12 @@ def extraction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long words of the benchmark texts and the two opening words of each, with a type."""
+    """All words and all pairs of adjacent words of the benchmark texts, with a type."""
     words = table(spark, sf_dir, "benchmark").select(
         F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "").alias("words"))
-    terms = words.select(F.explode(F.concat(
-        F.filter("words", lambda w: F.char_length(w) >= 7),
-        F.array(F.array_join(F.slice("words", 1, 2), " ")))).alias("term")).distinct()
+    first, second = F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))), F.slice("words", 2, F.size("words"))
+    pairs = F.zip_with(first, second, lambda a, b: F.concat(a, F.lit(" "), b))
+    terms = words.select(F.explode(F.concat("words", pairs)).alias("term")).distinct()
     types = F.array(*[F.lit(t) for t in V.ENTITY_TYPES])
     return terms.select("term", F.get(types, F.char_length("term") % len(V.ENTITY_TYPES)).alias("type"))
 

@@ -6,11 +6,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from caselore.functions import vocabulary as V
 from caselore.operators import components as comp
+from caselore.operators import gazetteer as gz
 from caselore.operators import graph as gr
 from caselore.operators import insights as ins
 from caselore.operators import retrieval as ret
@@ -179,3 +181,47 @@ def test_terms_of_any_length_and_all_related_names(spark):
     rows = ins.entity_insights(found, edges).collect()
     assert {r["related"] for r in rows if r["name"] == "zero"} == {f"n{i}" for i in range(15)}
     assert [(r["frequency"], r["related"]) for r in rows if r["name"] != "zero"] == [(1, None)]
+
+
+def test_tree_and_join_find_the_same_mentions(spark, monkeypatch):
+    """Nested, overlapping and repeated terms, two types of one term, null and unreachable terms, blocks of a few words."""
+    rng = random.Random(11)
+    words = ["a", "b", "c", "ü", "dd"]
+    texts = [" ".join(rng.choice(words + ["zz", "1"]) for _ in range(rng.randrange(1, 40))) for _ in range(60)] + ["", None, "a" * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    terms = {" ".join(rng.choice(words) for _ in range(rng.randrange(1, 5))) for _ in range(60)}
+    rows = [(t, "ISSUE") for t in terms] + [("a", "OUTAGE"), ("a", None), (None, "ISSUE"), ("no  such", "ISSUE"), ("", "ISSUE"), ("b c", "ISSUE")]
+    lexicon = spark.createDataFrame(rows, "term string, type string")
+    walked = gr.mentions(gr.chunks(docs), lexicon)
+    monkeypatch.setattr(gr, "TREE_WORDS", 3)
+    joined = gr.mentions(gr.chunks(docs), lexicon)
+    found = Counter(tuple(r) for r in walked.select(*joined.columns).collect())
+    assert found == Counter(tuple(r) for r in joined.collect())
+    assert max(found.values()) == 1 and {"OUTAGE", None} == {k for *_, t, k, _ in found if t == "a"} - {"ISSUE"}
+
+
+def test_blocks_of_words_change_nothing():
+    tree = gz.PhraseTree([("a", "X"), ("a b", "X"), ("b a b", "X"), ("b", "Y"), ("b", "X")])
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "chunk_no": [0, 0, 0, 1],
+                                        "words": [["a", "b", "a", "b"], [], ["b"], ["q", "a"]]})
+    whole = pa.Table.from_batches(gz.mention_rows(lambda: tree)(iter([batch]))).to_pylist()
+    assert sorted((r["doc_id"], r["chunk_no"], r["term"], r["type"], r["n"]) for r in whole) == [
+        (1, 0, "a", "X", 2), (1, 0, "a b", "X", 2), (1, 0, "b", "X", 2), (1, 0, "b", "Y", 2), (1, 0, "b a b", "X", 1),
+        (3, 0, "b", "X", 1), (3, 0, "b", "Y", 1), (4, 1, "a", "X", 1)]
+    size, gz.BLOCK_WORDS = gz.BLOCK_WORDS, 2
+    try:
+        assert pa.Table.from_batches(gz.mention_rows(lambda: tree)(iter([batch]))).to_pylist() == whole
+    finally:
+        gz.BLOCK_WORDS = size
+
+
+@pytest.mark.parametrize("heavy_terms", [1, 4, 10_000])
+def test_heavy_and_light_pairs(spark, heavy_terms):
+    """One term in every chunk, some in a third, the rest rare: the pairs are those of a plain count, however they are split."""
+    rng = random.Random(2)
+    chunks = [{"hot", *rng.sample(["w1", "w2", "w3"], 1), *(f"r{rng.randrange(30)}" for _ in range(rng.randrange(6)))} for _ in range(90)]
+    rows = [(i // 2, i % 2, t) for i, terms in enumerate(chunks) for t in terms]
+    found = gr.cooccurrence(spark.createDataFrame(rows + rows[:5], "doc_id long, chunk_no int, term string"), heavy_terms)
+    pairs = Counter(p for terms in chunks for p in itertools.combinations(sorted(terms), 2))
+    assert {(r["source"], r["target"]): (r["shared"], r["strength"]) for r in found.collect()} == {p: (n, min(n, 10)) for p, n in pairs.items()}
+    assert gr.cooccurrence(spark.createDataFrame([], "doc_id long, chunk_no int, term string"), heavy_terms).isEmpty()
