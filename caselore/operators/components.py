@@ -50,3 +50,24 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_r
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return all_nodes.join(state, all_nodes["node"] == state["u"], "left").select(
         "node", F.coalesce("v", "node").alias("component"))
+
+
+def merge_components(stored: DataFrame, new_edges: DataFrame) -> DataFrame:
+    """(node, component) after new edges (src, dst) arrive, from the stored (node, component) and those edges alone.
+
+    Every stored component is one node, its smallest member, so only edges that the new ones draw between components or
+    to new nodes are contracted. The smallest of the smallest members is the smallest node of all, hence the result is that of
+    connected_components over all edges. Edges inside a component change nothing; an edge from a node to itself adds the
+    node; null end points are left out.
+    """
+    known = stored.select("node", "component")
+    edges = new_edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst").distinct()
+    src, dst = known.toDF("src", "src_component"), known.toDF("dst", "dst_component")
+    ends = edges.join(src, "src", "left").join(dst, "dst", "left").select(
+        F.coalesce("src_component", "src").alias("src"), F.coalesce("dst_component", "dst").alias("dst")).distinct()
+    moved = connected_components(ends).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    old = known.join(moved, "component", "left").select("node", F.coalesce("merged", "component").alias("component"))
+    added = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().join(known, "node", "left_anti")
+    # a new node is its own component among the contracted ones
+    fresh = added.join(moved.withColumnRenamed("component", "node"), "node").select("node", F.col("merged").alias("component"))
+    return old.unionByName(fresh)

@@ -238,7 +238,8 @@ UNION ALL SELECT product_id, 'selfhelp', 1, file_name, section || {NL} FROM sh_s
 oracle("selfhelp_changed", "sh_changed", "SELECT * FROM sh_changed")
 oracle("selfhelp_diff", "sh_diff", "SELECT product_id, file_name, status, new_content FROM sh_diff")
 oracle("selfhelp_sections", "sh_sections", "SELECT * FROM sh_sections")
-oracle("selfhelp_tracking_after", "sh_diff sh_track", f"""
+for _name in ("selfhelp_tracking_after", "sink_tracking"):
+    oracle(_name, "sh_diff sh_track", f"""
 SELECT product_id, file_name, processed_content, {_stamp('last_processed')} AS last_processed, length(processed_content)::INT AS content_length
 FROM (SELECT * FROM sh_track WHERE product_id NOT IN (SELECT product_id FROM sh_diff WHERE status <> 'unchanged')
   UNION ALL SELECT product_id, file_name, content, CASE status WHEN 'unchanged' THEN last_processed ELSE {AS_OF} END
@@ -528,6 +529,11 @@ view("returned", "lp", """SELECT analysis_id, problem AS name, count(*) FILTER (
 oracle("graph_merge_entities", "returned", """SELECT analysis_id, 'CASE_PROBLEM' AS type, name,
     CASE WHEN r > 0 THEN 'new ' || r ELSE 'old ' || k END AS description FROM returned""")
 view("half_edges", "edges", "SELECT * FROM edges WHERE src < split_part(src, '/', 1) || '/M'")
+oracle("graph_merge_embeddings", "", """SELECT CASE k WHEN 2 THEN -vec_id - 1 ELSE vec_id END AS vec_id,
+  CASE k WHEN 0 THEN 'first' ELSE 'second' END AS run, len(embedding)::INT AS dims,
+  (CASE k WHEN 0 THEN embedding[1] ELSE embedding[-1] END)::DOUBLE AS first,
+  (CASE k WHEN 0 THEN embedding[-1] ELSE embedding[1] END)::DOUBLE AS last
+FROM (SELECT *, unnest(CASE WHEN vec_id % 6 = 0 THEN [1, 2] WHEN vec_id % 3 = 0 THEN [1] ELSE [0] END) AS k FROM embeddings)""")
 oracle("graph_merge_components", "comps half_edges", f"""SELECT node, c.component, o.component AS old_component FROM comps c
     LEFT JOIN ({_components('half_edges')}) o USING (node)""")
 

@@ -561,14 +561,27 @@ def graph_merge_relations(spark: SparkSession, d: str) -> DataFrame:
     return ins.relationship_insights(gr.merge_relations(current, incoming))
 
 
+@query
+def graph_merge_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of two index runs by id: the second run replaces every third one and adds ids of its own."""
+    current = _vectors(spark, d).withColumn("run", F.lit("first"))
+    incoming = current.filter(F.col("vec_id") % 3 == 0).withColumns({"vector": F.reverse("vector"), "run": F.lit("second")})
+    added = incoming.filter(F.col("vec_id") % 2 == 0).withColumn("vec_id", -F.col("vec_id") - 1)
+    merged = gr.merge_entities(current, incoming.unionByName(added), ["vec_id"])
+    return merged.select("vec_id", "run", F.size("vector").alias("dims"), F.element_at("vector", 1).cast("double").alias("first"),
+                         F.element_at("vector", -1).cast("double").alias("last"))
+
+
 @query
 def graph_merge_components(spark: SparkSession, d: str) -> DataFrame:
-    """Components before the merge have one half of the edges, after it all of them."""
+    """The stored components of one half of the edges, and what they become by the other half and some edges known before."""
     edges = mp.graph_edges(spark, d).select("src", "dst")
-    first = edges.filter(F.col("src") < F.concat(F.substring_index("src", "/", 1), F.lit("/M")))
-    before = comp.connected_components(first).select("node", F.col("component").alias("old_component"))
-    after = comp.connected_components(gr.merge_relations(first, edges))
-    return after.join(before, "node", "left")
+    first = F.col("src") < F.concat(F.substring_index("src", "/", 1), F.lit("/M"))
+    path = scratch_path(spark, "components")
+    comp.connected_components(edges.filter(first)).write.parquet(path)
+    stored = spark.read.parquet(path)
+    after = comp.merge_components(stored, edges.filter(~first | (F.crc32("src") % 4 == 0)))
+    return after.join(stored.withColumnRenamed("component", "old_component"), "node", "left")
 
 
 # --- retrieval ----------------------------------------------------------------------------
@@ -803,13 +816,31 @@ def graph_csv(spark: SparkSession, d: str) -> DataFrame:
     return fs.read_graph_csv(spark, path, fs.RELATION_CSV).select("source", "target", "type", "strength")
 
 
+def _blocked(rows: DataFrame) -> DataFrame:
+    """Tracking rows with a block of 64 sources, which bounds a stored map."""
+    return rows.withColumn("block", F.floor(F.regexp_extract("file_name", r"_(\d+)\.txt$", 1).cast("long") / 64))
+
+
 @query
 def tracking_maps(spark: SparkSession, d: str) -> DataFrame:
-    """Tracking rows written as JSON maps of one source each and read back."""
-    rows = mp.selfhelp_tracking(spark, d)
-    number = F.regexp_extract("file_name", r"_(\d+)\.txt$", 1).cast("long")
-    texts = fs.to_map_text(rows.withColumn("block", F.floor(number / 64)), ["product_id", "block"])
-    return _stamped(fs.tracking_rows(texts), "last_processed")
+    """Tracking rows written to files of JSON maps and read back."""
+    path = scratch_path(spark, "tracking")
+    fs.write_tracking(_blocked(mp.selfhelp_tracking(spark, d)), path, "tracking_20231201_000000", "block")
+    return _stamped(fs.read_latest_tracking(spark, path), "last_processed")
+
+
+@query
+def sink_tracking(spark: SparkSession, d: str) -> DataFrame:
+    """The tracking stored by an earlier run is read, advanced by the present files, stored, and read again."""
+    path = scratch_path(spark, "tracking")
+    fs.write_tracking(_blocked(mp.selfhelp_tracking(spark, d)), path, "tracking_20231201_000000", "block")
+    stored = fs.read_latest_tracking(spark, path)
+    after = sh.tracking_after(sh.selfhelp_diff(mp.selfhelp_files(spark, d), stored), stored, mp.as_of())
+    kept = scratch_path(spark, "tracking_after")
+    after.write.parquet(kept)
+    fs.write_tracking(_blocked(spark.read.parquet(kept)), path, "tracking_20240101_000000", "block")
+    found = fs.read_latest_tracking(spark, path)
+    return _stamped(found.select(*after.columns), "last_processed")
 
 
 @query

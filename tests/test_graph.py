@@ -225,3 +225,18 @@ def test_heavy_and_light_pairs(spark, heavy_terms):
     pairs = Counter(p for terms in chunks for p in itertools.combinations(sorted(terms), 2))
     assert {(r["source"], r["target"]): (r["shared"], r["strength"]) for r in found.collect()} == {p: (n, min(n, 10)) for p, n in pairs.items()}
     assert gr.cooccurrence(spark.createDataFrame([], "doc_id long, chunk_no int, term string"), heavy_terms).isEmpty()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_merged_components_are_those_of_all_edges(spark, seed):
+    """New edges inside, between and beside stored components, some known before, loops and new nodes; the stored rows decide alone."""
+    rng = random.Random(seed)
+    draw = lambda n, top: [(f"n{rng.randrange(top):02d}", f"n{rng.randrange(top):02d}") for _ in range(n)]
+    old, new = draw(20, 40), draw(12, 60)
+    edges = lambda rows: spark.createDataFrame(rows, "src string, dst string")
+    stored = comp.connected_components(edges(old))
+    found = comp.merge_components(stored, edges(new + old[:5] + [(None, "n01"), ("lone", "lone")]))
+    expected = comp.connected_components(edges(old + new + [("lone", "lone")]))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert sorted(map(tuple, comp.merge_components(stored, edges([])).collect())) == sorted(map(tuple, stored.collect()))
+    assert sorted(map(tuple, comp.merge_components(stored.limit(0), edges(old)).collect())) == sorted(map(tuple, stored.collect()))
