@@ -1,8 +1,10 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-Every language has a model of order 4 over letters: text is lower-cased, runs of anything else are one space, and the
-62 most frequent letters have codes of their own, other letters share one. An n-gram is a packed code, which is its own
-hash, and a model keeps sorted arrays of codes with their discounted shares and back-off weights. A text gets the
+Every language has a model of order 4 over letters: text is lower-cased, runs of anything else are one space, and every
+letter of the learned texts has a code of its own (of more than 32766 letters the most frequent ones; letters never
+learned share one). A code has as many bits as these letters need, at least 6 and at most 15, so an n-gram is packed into 60
+bits or fewer; the packed code is its own hash, and a model keeps sorted arrays of codes with their discounted shares
+and back-off weights. A text gets the
 language of the lowest cross-entropy per character; a text whose best cross-entropy lies above the 99.5th percentile
 of that language's held-back documents is marked as rejected (it is in none of the languages), but still gets its best.
 
@@ -27,13 +29,14 @@ from pyspark.sql import functions as F
 
 from caselore.llm.char_models import gathered, looked_up
 
-ORDER, BITS = 4, 6
-LETTERS = (1 << BITS) - 2
+ORDER, LEAST_BITS, MOST_BITS = 4, 6, 15
 FIT_DOCS = 1500
 BLOCK_CHARS = 1 << 20
 REJECT_ABOVE = 0.995
 #: Sharpness of the score: the softmax of the cross-entropies times this.
 SHARPNESS = 12.0
+#: Different n-grams whose probabilities a task remembers; beyond that it starts anew.
+REMEMBERED = 1 << 22
 UNKNOWN = "und"
 
 
@@ -57,11 +60,14 @@ def _char_blocks(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[t
 
 
 class Alphabet:
-    """Codes of the letters: 0 for anything else, 1 to LETTERS for the known, one more for the rest."""
+    """Codes of the letters: 0 for anything else, numbers from 1 for the known, the last code for the rest."""
 
     def __init__(self, letters: np.ndarray):
-        self.table = np.where(_alphabetic(), LETTERS + 1, 0).astype(np.uint8)
-        self.table[letters[:LETTERS]] = np.arange(1, len(letters[:LETTERS]) + 1)
+        self.bits = min(max((len(letters) + 1).bit_length(), LEAST_BITS), MOST_BITS)
+        rest = (1 << self.bits) - 1
+        known = letters[:rest - 1]
+        self.table = np.where(_alphabetic(), rest, 0).astype(np.uint16)
+        self.table[known] = np.arange(1, len(known) + 1)
 
     def ngrams(self, points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(n-gram code ending at each character, offsets, letters of each text); runs of non-letters count once."""
@@ -71,14 +77,14 @@ class Alphabet:
         keep[1:] = (codes[1:] > 0) | (codes[:-1] > 0)
         keep[inner] = True
         total = np.concatenate([[0], np.cumsum(keep)])
-        offsets, codes = total[offsets], codes[keep].astype(np.int32)
+        offsets, codes = total[offsets], codes[keep].astype(np.int64)
         packed = codes.copy()
         age = np.arange(len(codes)) - np.repeat(offsets[:-1], np.diff(offsets))
         for k in range(1, ORDER):
-            before = np.zeros(len(codes), np.int32)
+            before = np.zeros(len(codes), np.int64)
             before[k:] = codes[:-k] if k else codes
             before[age < k] = 0
-            packed |= before << (BITS * k)
+            packed |= before << (self.bits * k)
         letters = np.diff(np.concatenate([[0], np.cumsum(codes > 0)])[offsets])
         return packed, offsets, letters
 
@@ -91,23 +97,23 @@ def _grouped(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
 class KneserNey:
     """Interpolated Kneser-Ney over packed codes, from the counts of full n-grams."""
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        self.levels = []
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, bits: int = LEAST_BITS):
+        self.levels, self.bits = [], bits
         for order in range(ORDER, 0, -1):
-            context, total = _grouped(codes >> BITS, counts)
-            _, kinds = _grouped(codes >> BITS, np.ones(len(codes)))
+            context, total = _grouped(codes >> bits, counts)
+            _, kinds = _grouped(codes >> bits, np.ones(len(codes)))
             once, twice = np.count_nonzero(counts == 1), np.count_nonzero(counts == 2)
             discount = once / (once + 2 * twice) if once else 0.5
-            share = (counts - discount) / total[np.searchsorted(context, codes >> BITS)]
+            share = (counts - discount) / total[np.searchsorted(context, codes >> bits)]
             self.levels.append((order, codes, np.maximum(share, 0), context, discount * kinds / total))
             # Below the top, an n-gram counts once for every different character before it.
-            codes, counts = _grouped(codes & ((1 << (BITS * (order - 1))) - 1), np.ones(len(codes)))
+            codes, counts = _grouped(codes & ((1 << (bits * (order - 1))) - 1), np.ones(len(codes)))
 
     def log2(self, wanted: np.ndarray) -> np.ndarray:
-        p = np.full(len(wanted), 1.0 / (1 << BITS))
+        p = np.full(len(wanted), 1.0 / (1 << self.bits))
         for order, codes, share, context, backoff in reversed(self.levels):
-            now = wanted & ((1 << (BITS * order)) - 1)
-            p = looked_up(codes, share, now) + looked_up(context, backoff, now >> BITS, 1.0) * p
+            now = wanted & ((1 << (self.bits * order)) - 1)
+            p = looked_up(codes, share, now) + looked_up(context, backoff, now >> self.bits, 1.0) * p
         return np.log2(p)
 
 
@@ -117,23 +123,21 @@ class Models:
 
     def entropies(self, batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
         """(rows, cross-entropy per text and language, letters per text). A code is looked up once in a task."""
-        place = np.full(1 << (BITS * ORDER), -1, np.int32)
-        known = np.zeros((len(self.by_language), 1 << 16), np.float32)
-        n_known = 0
+        seen, known = np.zeros(0, np.int64), np.zeros((len(self.by_language), 0), np.float32)
         for rows, points, offsets in _char_blocks(batches, text_col):
             codes, offsets, letters = self.alphabet.ngrams(points, offsets)
-            new = np.unique(codes[place[codes] < 0])
-            if n_known + len(new) > known.shape[1]:
-                known = np.concatenate([known, np.zeros((len(known), max(known.shape[1], len(new))), np.float32)], axis=1)
-            for k, model in enumerate(self.by_language.values()):
-                known[k, n_known:n_known + len(new)] = model.log2(new.astype(np.int64))
-            place[new] = np.arange(n_known, n_known + len(new))
-            n_known += len(new)
-            at, full = place[codes], np.flatnonzero(np.diff(offsets))
+            wanted, at = np.unique(codes, return_inverse=True)
+            if len(seen) > REMEMBERED:
+                seen, known = seen[:0], known[:, :0]
+            new = np.setdiff1d(wanted, seen, assume_unique=True)
+            fresh = np.array([model.log2(new) for model in self.by_language.values()], np.float32).reshape(len(known), len(new))
+            order = np.argsort(np.concatenate([seen, new]), kind="stable")
+            seen, known = np.concatenate([seen, new])[order], np.concatenate([known, fresh], axis=1)[:, order]
+            bits, full = known[:, np.searchsorted(seen, wanted)], np.flatnonzero(np.diff(offsets))
             out = np.full((len(known), rows.num_rows), np.inf)
             for k in range(len(known)):
                 if len(full):
-                    out[k, full] = -np.add.reduceat(known[k][at], offsets[full], dtype=np.float64) / np.diff(offsets)[full]
+                    out[k, full] = -np.add.reduceat(bits[k][at], offsets[full], dtype=np.float64) / np.diff(offsets)[full]
             yield rows, out, letters
 
 
@@ -174,7 +178,7 @@ def fit(train: DataFrame, fit_docs: int = FIT_DOCS, id_col: str = "doc_id", text
                 yield name, *np.unique(codes[(languages == name)[of]], return_counts=True)
 
     counted = gathered(fitted, ngrams)
-    models = Models(alphabet, {name: KneserNey(codes.astype(np.int64), n) for name, (codes, n) in counted.items()})
+    models = Models(alphabet, {name: KneserNey(codes.astype(np.int64), n, alphabet.bits) for name, (codes, n) in counted.items()})
     names = list(models.by_language)
     if not names:
         return None

@@ -1,11 +1,14 @@
 """Operators on single texts against plain Python."""
 
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,6 +142,64 @@ def test_kneser_ney_sums_to_one():
         assert abs(np.exp2(model.log2((context << 6) | np.arange(64))).sum() - 1) < 1e-9
 
 
+def plain_entropies(train, texts, bits):
+    """Cross-entropy of texts under a plain Kneser-Ney model of order 4 of train, by dictionaries of strings."""
+    def shown(text):
+        return re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in text.lower()))
+
+    def grams(text):
+        padded = "   " + shown(text)
+        return [padded[i:i + 4] for i in range(len(padded) - 3)]
+
+    counts, levels = Counter(g for t in train for g in grams(t)), []
+    while True:
+        once, twice = (sum(n == k for n in counts.values()) for k in (1, 2))
+        discount = once / (once + 2 * twice) if once else 0.5
+        total, kinds = Counter(), Counter()
+        for g, n in counts.items():
+            total[g[:-1]] += n
+            kinds[g[:-1]] += 1
+        levels.append((dict(counts), discount, total, kinds))
+        if len(next(iter(counts))) == 1:
+            break
+        counts = Counter(g[1:] for g in counts)
+
+    def p(gram):
+        found = 1 / (1 << bits)
+        for k, (counts, discount, total, kinds) in enumerate(reversed(levels)):
+            g = gram[3 - k:]
+            if g[:-1] in total:
+                found = max(counts.get(g, discount) - discount, 0) / total[g[:-1]] + discount * kinds[g[:-1]] / total[g[:-1]] * found
+        return found
+
+    return [-sum(math.log2(p(g)) for g in grams(t)) / len(grams(t)) if t else math.inf for t in texts]
+
+
+@pytest.mark.parametrize("remembered", [1 << 22, 10])
+def test_language_models_against_plain_ones(monkeypatch, remembered):
+    """More letters than 62, of scripts that only their own codes tell apart; a memory that starts anew changes nothing."""
+    monkeypatch.setattr(language_id, "REMEMBERED", remembered)
+    monkeypatch.setattr(language_id, "BLOCK_CHARS", 64)
+    rng = random.Random(6)
+    letters = {name: [chr(first + i) for i in range(60)] for name, first in (("x", 0xAC00), ("y", 0xB000), ("z", 0x4E00))}
+    drawn = lambda name, n: " ".join("".join(rng.choice(letters[name][:30]) for _ in range(rng.randrange(1, 6))) for _ in range(n))
+    train = {name: [drawn(name, 30) for _ in range(12)] + ["".join(letters[name]), "1, 2"] for name in letters}
+    points = np.unique(np.frombuffer("".join(t for texts in train.values() for t in texts).encode("utf-32-le"), np.uint32))
+    alphabet = language_id.Alphabet(np.array([c for c in points if chr(c).isalpha()]))
+    assert alphabet.bits == 8
+    models = {}
+    for name, texts in train.items():
+        batch = pa.RecordBatch.from_pydict({"text": texts})
+        codes = np.concatenate([alphabet.ngrams(points, offsets)[0] for _, points, offsets in language_id._char_blocks(iter([batch]), "text")])
+        models[name] = language_id.KneserNey(*np.unique(codes, return_counts=True), alphabet.bits)
+    texts = [drawn(name, 8) for name in letters for _ in range(5)] + ["", "...", "7 " + letters["y"][0]]
+    found = list(language_id.Models(alphabet, models).entropies(iter([pa.RecordBatch.from_pydict({"text": texts})]), "text"))
+    bits = np.concatenate([b for _, b, _ in found], axis=1)
+    for k, name in enumerate(letters):
+        assert np.allclose(bits[k], plain_entropies(train[name], texts, 8), rtol=1e-4)
+    assert list(bits.argmin(axis=0)[:15]) == [0] * 5 + [1] * 5 + [2] * 5
+
+
 def test_quality(spark, nothing):
     root = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{root}/documents.parquet"), spark.read.parquet(f"{root}/labels.parquet")
