@@ -160,3 +160,8 @@ def hours_between(later: Column, earlier: Column) -> Column:
 
 def priority_tier(impact: Column) -> Column:
     return F.when(impact > 7, "High").when(impact > 4, "Medium").otherwise("Low")
+
+
+def minutes_between(later: Column, earlier: Column) -> Column:
+    """Processing time of a run in minutes, null if either end is unknown."""
+    return F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(60_000_000.0)

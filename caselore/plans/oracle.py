@@ -580,8 +580,9 @@ SELECT a.*, (SELECT count(*) FROM cases c WHERE c.product_id = a.product_id) AS
   (SELECT count(*) FROM recs r WHERE r.analysis_id = a.analysis_id) AS n_recs,
   coalesce(s.coverage_score, 0) AS coverage_score
 FROM analyses a LEFT JOIN scores s ON s.analysis_id = a.analysis_id""")
-view("metric", "analyses ents rels", """
-SELECT analysis_id, coalesce(e.n, 0) AS n_entities, coalesce(r.n, 0) AS n_relations FROM analyses
+view("metric", "analyses ents rels lp", """
+SELECT analysis_id, coalesce(e.n, 0) AS n_entities, coalesce(r.n, 0) AS n_relations, coalesce(t.n * 6, 0)::DOUBLE / 60 AS minutes FROM analyses
+LEFT JOIN (SELECT analysis_id, count(*) AS n FROM lp GROUP BY 1) t USING (analysis_id)
 LEFT JOIN (SELECT analysis_id, count(*) AS n FROM (SELECT DISTINCT analysis_id, type, name FROM ents) GROUP BY 1) e USING (analysis_id)
 LEFT JOIN (SELECT analysis_id, count(*) AS n FROM (SELECT DISTINCT analysis_id, source, target, type FROM rels) GROUP BY 1) r USING (analysis_id)""")
 oracle("result_counts", "counts metric", """SELECT analysis_id, product_id, n_gaps, n_risks, n_recs, n_entities, n_relations
@@ -640,7 +641,7 @@ oracle("report_fmea", "rp3", "SELECT * FROM rp3")
 oracle("report_recommendations", "rp4", "SELECT * FROM rp4")
 view("rp5", "full_metric dist", "\nUNION ALL ".join([
     _lines("detailed_analysis", "full_metric", "0", [
-        "'# Detailed Analysis Report'", "''", "'## Processing Metrics'", "'- **Total Processing Time:** 0.0 minutes'",
+        "'# Detailed Analysis Report'", "''", "'## Processing Metrics'", "'- **Total Processing Time:** ' || printf('%.1f', minutes) || ' minutes'",
         "'- **Entities Extracted:** ' || n_entities", "'- **Relationships Found:** ' || n_relations",
         "'- **Communities Identified:** ' || n_communities", "''", "'## Entity Distribution'"]),
     _lines("detailed_analysis", "dist", "1", ["'- **' || type || ':** ' || mentions"], "-mentions")]))
@@ -655,12 +656,12 @@ SELECT c.analysis_id AS id, product_id AS "productId", '2002-01-01 00:00:00' AS
   coalesce((SELECT string_agg(impact::VARCHAR, '|' {_ARRIVAL}) FROM gaps g WHERE g.analysis_id = c.analysis_id), '') AS gap_impacts,
   coalesce((SELECT string_agg(rpn::VARCHAR, '|' {_ARRIVAL}) FROM risks r WHERE r.analysis_id = c.analysis_id), '') AS risk_rpns,
   coalesce((SELECT string_agg(title, '|' ORDER BY seq) FROM recs r WHERE r.analysis_id = c.analysis_id), '') AS rec_titles,
-  n_entities, n_relations, 31536000 AS ttl
+  n_entities, n_relations, minutes, 31536000 AS ttl
 FROM counts c JOIN metric m ON m.analysis_id = c.analysis_id""")
 for _name in ("metrics_record", "sink_metrics"):
     oracle(_name, "counts metric risk_scores", """
 SELECT analysis_id, product_id, '2002-01-01 00:00:00' AS analysis_timestamp, n_cases AS total_cases, n_entities AS total_entities,
-  n_relations AS total_relationships, 0.0::DOUBLE AS processing_minutes, coverage_score, risk_score
+  n_relations AS total_relationships, minutes AS processing_minutes, coverage_score, risk_score
 FROM counts JOIN metric USING (analysis_id) JOIN risk_scores USING (analysis_id)""")
 view("callback", "counts gaps risks", f"""
 SELECT 'Success' AS status, analysis_id, product_id, n_cases AS total_cases,
@@ -696,7 +697,7 @@ SELECT c.analysis_id, product_id, n_cases,
   coalesce((SELECT string_agg(failure_mode, '|' ORDER BY failure_mode) FROM undetected x WHERE x.analysis_id = c.analysis_id), '') AS detection_gaps,
   (SELECT risk_score FROM risk_scores x WHERE x.analysis_id = c.analysis_id) AS risk_score,
   coalesce((SELECT string_agg(concat_ws(':', priority, title), '|' ORDER BY seq) FROM recs x WHERE x.analysis_id = c.analysis_id), '') AS recommendations,
-  n_communities,
+  n_communities, minutes,
   (SELECT string_agg(type || '=' || mentions, '|' ORDER BY type) FROM dist d WHERE d.analysis_id = c.analysis_id) AS entity_types,
   coalesce((SELECT string_agg(issue_category || '=' || n, '|' ORDER BY issue_category) FROM (
     SELECT analysis_id, issue_category, sum(frequency)::BIGINT AS n FROM gaps GROUP BY 1, 2) i WHERE i.analysis_id = c.analysis_id), '') AS issues

@@ -85,7 +85,8 @@ def summary(spark: SparkSession, d: str, gaps: DataFrame, risks: DataFrame, recs
 def metrics(spark: SparkSession, d: str, communities: bool = False) -> DataFrame:
     entities = mp.entity_mentions(spark, d).select("analysis_id", "type", "name").distinct()
     relations = mp.relations(spark, d).select("analysis_id", "source", "target", "type").distinct()
-    out = (analyses(spark, d).select("analysis_id", F.lit(0.0).alias("minutes"))
+    took = mp.runs(spark, d).select("analysis_id", X.minutes_between(F.col("finished_ts"), F.col("started_ts")).alias("minutes"))
+    out = (analyses(spark, d).select("analysis_id").join(took, "analysis_id", "left")
            .join(entities.groupBy("analysis_id").agg(F.count("*").alias("n_entities")), "analysis_id", "left")
            .join(relations.groupBy("analysis_id").agg(F.count("*").alias("n_relations")), "analysis_id", "left"))
     if communities:
@@ -684,7 +685,8 @@ def document_record(spark: SparkSession, d: str) -> DataFrame:
         titles("fmeaHighRiskItems", "rpn").alias("risk_rpns"),
         titles("recommendations", "title").alias("rec_titles"),
         F.col("metrics.totalEntitiesExtracted").alias("n_entities"),
-        F.col("metrics.totalRelationshipsFound").alias("n_relations"), "ttl")
+        F.col("metrics.totalRelationshipsFound").alias("n_relations"),
+        F.col("metrics.processingTimeMinutes").alias("minutes"), "ttl")
 
 
 @query
@@ -730,7 +732,7 @@ def _flat_result(full: DataFrame) -> DataFrame:
         F.coalesce(F.size("fmea.prevention_opportunities"), F.lit(0)).alias("n_prevention"),
         listed("fmea.detection_gaps", lambda x: x["failure_mode"]).alias("detection_gaps"), F.col("fmea.risk_score").alias("risk_score"),
         listed("recommendations", lambda x: F.concat_ws(":", x["priority"], x["title"])).alias("recommendations"),
-        F.col("metrics.n_communities").alias("n_communities"), counted("metrics.entity_types").alias("entity_types"),
+        F.col("metrics.n_communities").alias("n_communities"), F.col("metrics.minutes").alias("minutes"), counted("metrics.entity_types").alias("entity_types"),
         F.coalesce(counted("metrics.issue_distribution"), F.lit("")).alias("issues"))
 
 

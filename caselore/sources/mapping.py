@@ -393,6 +393,12 @@ def extraction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(V.END_MARK + " trailing words")).alias("records")))
 
 
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start and end of the run of every analysis: six seconds for every line it reads."""
+    lines = lines_with_parts(spark, sf_dir).groupBy("analysis_id").agg(F.count("*").cast("int").alias("n"))
+    return lines.select("analysis_id", as_of().alias("started_ts"), (as_of() + F.make_dt_interval(secs=F.col("n") * 6)).alias("finished_ts"))
+
+
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words and all pairs of adjacent words of the benchmark texts, with a type."""
     words = table(spark, sf_dir, "benchmark").select(
