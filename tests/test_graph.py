@@ -227,6 +227,35 @@ def test_heavy_and_light_pairs(spark, heavy_terms):
     assert gr.cooccurrence(spark.createDataFrame([], "doc_id long, chunk_no int, term string"), heavy_terms).isEmpty()
 
 
+@pytest.mark.parametrize("block", [1, 50, 1 << 20])
+def test_a_light_pair_leaves_a_block_once(block):
+    """Pairs are counted inside the task, light ones too: no row per place where two terms meet."""
+    rng = random.Random(4)
+    lists = [sorted(rng.sample(range(40), rng.randrange(12))) for _ in range(400)]
+    batch = pa.RecordBatch.from_pydict({"terms": pa.array(lists, pa.list_(pa.int64()))})
+    old, gz.BLOCK_PAIRS = gz.BLOCK_PAIRS, block
+    try:
+        rows = [r for b in gz.pair_rows([3, 7])(iter([batch])) for r in b.to_pylist()]
+    finally:
+        gz.BLOCK_PAIRS = old
+    expected = Counter(p for terms in lists for p in itertools.combinations(terms, 2))
+    found = Counter()
+    for r in rows:
+        found[r["a"], r["b"]] += r["n"]
+    assert found == expected
+    if block == 1 << 20:
+        assert len(rows) == len(expected)
+
+
+def test_names_without_partners_and_pairs_in_both_orders(spark):
+    mentions = spark.createDataFrame([("X", "a", 1, 0), ("Y", "a", 1, 0), ("X", "b", 1, 0), ("X", "c", 2, 0), ("X", None, 3, 0)],
+                                     "type string, term string, doc_id long, chunk_no int")
+    pairs = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "b"), (None, "b"), ("b", None)], "source string, target string")
+    found = sorted(map(tuple, ins.entity_insights(mentions, pairs).collect()), key=repr)
+    assert found == sorted([("X", "a", 1, "b"), ("Y", "a", 1, "b"), ("X", "b", 1, "a"), ("X", "b", 1, "b"), ("X", "b", 1, None),
+                            ("X", "c", 1, None), ("X", None, 1, None)], key=repr)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_merged_components_are_those_of_all_edges(spark, seed):
     """New edges inside, between and beside stored components, some known before, loops and new nodes; the stored rows decide alone."""
