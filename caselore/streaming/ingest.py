@@ -2,13 +2,15 @@
 
 What is known of a key is in the state store: of a case the stamp and digest of its newest version, of a self-help file
 the text processed so far. A micro-batch reads its own arrivals and the state of their keys only, never what was stored
-before. Its changes are appended in a folder of the batch's own that a retried batch overwrites; the current state
+before. Cases share a state entry in groups of a fixed number, a few hundred cases each among millions, since a call of
+Python for every case costs far more than the work on it. Its changes are appended in a folder of the batch's own that a retried batch overwrites; the current state
 of a folder is the newest version of every key. With the RocksDB provider the state is on disk; the provider is set in the session.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -48,28 +50,39 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return newest(_stored(spark, path, CORPUS), CASE)
 
 
-def _newest_version(policy: str):
-    """The parts of a case's newest version, if it is newer than the one known and its text is another."""
+#: Cases are dealt to so many groups by a hash; a group has one state entry, the stamps and digests of its cases.
+CASE_GROUPS = 1 << 16
+
+
+def _newest_versions(policy: str):
+    """For a group of cases: the parts of each case's newest version, if it is newer than the one known and its text is another."""
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best, parts = None, {}
+        best, parts = {}, {}
         for frame in frames:
-            frame = frame.assign(version=frame["version"].fillna(0).astype("int64"))
-            for stamp, rows in frame.groupby(["version", "modified", "path"]):
-                stamp = (int(stamp[0]), int(stamp[1]), stamp[2])
-                if best is None or stamp >= best:
-                    parts = parts if stamp == best else {}
-                    best = stamp
-                    for part_no, content in zip(rows["part_no"], rows["content"], strict=True):
-                        # Of unlike texts of one part in one version the greatest.
-                        parts[part_no] = content if parts.get(part_no) is None else max(parts[part_no], content or "")
-        known = state.get if state.exists else None
-        if best is None or (known and best < known[:3]):
-            return
-        digest = hashlib.sha256(repr(sorted(parts.items())).encode()).hexdigest()
-        state.update((*best, digest))
-        if known and (policy == "new_only" or digest == known[3]):
-            return
-        yield pd.DataFrame({"product_id": key[0], "case_id": key[1], "part_no": list(parts), "content": list(parts.values())})
+            columns = (frame[c].tolist() for c in ("product_id", "case_id", "version", "modified", "path", "part_no", "content"))
+            for product, case_id, version, modified, path, part_no, content in zip(*columns, strict=True):
+                case, stamp = (product, case_id), (int(version), int(modified), path)
+                if case not in best or stamp > best[case]:
+                    best[case], parts[case] = stamp, {}
+                if stamp == best[case]:
+                    mine = parts[case]
+                    # parts without a number are all kept
+                    part = (1, len(mine)) if part_no is None or part_no != part_no else (0, int(part_no))
+                    # Of unlike texts of one part in one version the greatest.
+                    mine[part] = content if mine.get(part) is None else max(mine[part], content or "")
+        known = {(p, c): tuple(last) for p, c, *last in json.loads(state.get[0])} if state.exists else {}
+        rows = []
+        for case, stamp in best.items():
+            last = known.get(case)
+            if last and stamp < last[:3]:
+                continue
+            digest = hashlib.sha256(repr(sorted(parts[case].items())).encode()).hexdigest()
+            known[case] = (*stamp, digest)
+            if not last or (policy != "new_only" and digest != last[3]):
+                rows += [(*case, None if part[0] else part[1], content) for part, content in parts[case].items()]
+        state.update((json.dumps([(*case, *last) for case, last in known.items()]),))
+        if rows:
+            yield pd.DataFrame(rows, columns=["product_id", "case_id", "part_no", "content"], dtype=object)
 
     return step
 
@@ -87,26 +100,28 @@ def stream_cases(spark: SparkSession, source: str, corpus: str, checkpoint: str,
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     arrivals = reader.parquet(source).select(
-        "*", F.unix_micros("_metadata.file_modification_time").alias("modified"), F.col("_metadata.file_path").alias("path"))
-    changed = arrivals.groupBy(*CASE).applyInPandasWithState(
-        _newest_version(policy), DOCUMENTS, "version long, modified long, path string, digest string", "append", GroupStateTimeout.NoTimeout)
+        *CASE, "part_no", "content", F.coalesce("version", F.lit(0)).alias("version"),
+        F.unix_micros("_metadata.file_modification_time").alias("modified"), F.col("_metadata.file_path").alias("path"),
+        F.pmod(F.xxhash64(*CASE), F.lit(CASE_GROUPS)).alias("case_group"))
+    changed = arrivals.groupBy("case_group").applyInPandasWithState(
+        _newest_versions(policy), DOCUMENTS, "known string", "append", GroupStateTimeout.NoTimeout)
     return (changed.writeStream.outputMode("append").foreachBatch(upsert)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def _next_versions(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Every version of a file that is not older than the one known, in order, with the text processed before it."""
-    versions = pd.concat(list(frames)).drop_duplicates().sort_values(["modified_us", "content"])
+    versions = {v for frame in frames for v in zip(frame["modified_us"].tolist(), frame["content"].tolist(), strict=True)}
     text, at = state.get if state.exists else (None, None)
     rows = []
-    for content, modified in zip(versions["content"], versions["modified_us"], strict=True):
+    for modified, content in sorted(versions, key=lambda v: (v[0] != v[0], *v)):  # without a time last
         if at is None or modified >= at:
             rows.append((content, modified, text, at, len(rows) + 1))
             text, at = content, int(modified)
     if rows:
         state.update((text, at))
-        columns = pd.DataFrame(rows, columns=["content", "modified_us", "processed_content", "processed_us", "step"], dtype=object)
-        yield columns.assign(product_id=key[0], file_name=key[1])[[*selfhelp.KEY, *columns.columns]]
+        columns = dict(zip(["content", "modified_us", "processed_content", "processed_us", "step"], zip(*rows, strict=True), strict=True))
+        yield pd.DataFrame({"product_id": key[0], "file_name": key[1], **columns}, dtype=object)
 
 
 def stream_selfhelp(spark: SparkSession, source: str, sections: str, tracking: str, checkpoint: str,

@@ -183,3 +183,21 @@ def test_a_late_file_version_is_left_out(spark, tmp_path):
     assert [r["processed_content"] for r in ingest.read_stream_tracking(spark, tracking).collect()] == ["one two three"]
     rows = sorted(ingest.read_sections(spark, sections).collect(), key=lambda r: r["batch"])
     assert [r["status"] for r in rows] == ["new", "incremental"] and "\n\n three\n\n" in rows[1]["section"]
+
+
+def test_cases_of_a_group_keep_their_own_versions(spark, tmp_path, monkeypatch):
+    """Cases that share a state entry are told apart, null keys and parts without a number included; one call serves a group."""
+    monkeypatch.setattr(ingest, "CASE_GROUPS", 1)
+    source, corpus, check = (str(tmp_path / n) for n in ("in", "corpus", "check"))
+    first = [("P", str(i), 0, f"one {i}", 1) for i in range(20)] + [("Q", "3", 0, "other product", 1), (None, "3", 0, "none", 1)]
+    second = [("P", "1", 0, "late", 0), ("P", "2", 0, "two", 2), ("P", "3", 0, "one 3", 2), ("P", "new", None, "x", 1), ("P", "new", None, "y", 1)]
+    third = [("P", "3", 0, "late", 1), (None, "3", 0, "again", 2)]
+    for rows in (first, second, third):
+        feed(spark, rows, ingest.ARRIVALS, source)
+        ingest.stream_cases(spark, source, corpus, check).awaitTermination()
+    stored = ingest._stored(spark, corpus, ingest.CORPUS)
+    got = sorted(((r["product_id"], r["case_id"], r["content"], r["batch"]) for r in stored.collect()), key=repr)
+    assert got == sorted([(p, c, t, 0) for p, c, _, t, _ in first] + [("P", "2", "two", 1), ("P", "new", "x", 1), ("P", "new", "y", 1),
+                                                                      (None, "3", "again", 2)], key=repr)
+    entries = spark.read.format("statestore").load(check)
+    assert entries.count() == 1
