@@ -314,3 +314,16 @@ def test_equal_bytes_have_equal_hashes(data, draw):
     assert int(Hashes(whole).of(np.array([i]), np.array([j]))[0]) == want
     if j > i:
         assert int(Hashes(whole).rolling(j - i)[i]) == want
+
+
+def test_the_query_goes_through_all_levels(spark, tmp_path, monkeypatch):
+    """The doubling is not stopped at the window: levels of 26 words and more are compared too."""
+    from caselore.llm import queries
+
+    long = " ".join(f"w{i}" for i in range(60))
+    spark.createDataFrame([(1, long), (2, long), (3, "short text")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    seen, extend = [], substring_dedup._extend
+    monkeypatch.setattr(substring_dedup, "_extend", lambda rows, window: seen.append(extend(rows, window)) or seen[-1])
+    found = queries.op12_substring_dedup(spark, str(tmp_path))
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in found.collect()) == [(1, 60, 0), (2, 60, 60), (3, 2, 0)]
+    assert max(r["longest"] for r in seen[0].collect()) >= 26
