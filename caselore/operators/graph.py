@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,8 @@ from caselore.session import scratch_path
 TREE_WORDS, TREE_CHARS = 1_000_000, 16_000_000
 #: A term with at least this fraction of all mentions is heavy, so there are no more heavy terms than this.
 HEAVY_TERMS = 2048
+#: A closing bracket at the end, or before a last line break.
+_CLOSED = "\\)(\r\n|[\n\r\u0085\u2028\u2029])?$"
 
 
 def chunks(documents: DataFrame, size: int = V.CHUNK_SIZE, overlap: int = V.CHUNK_OVERLAP) -> DataFrame:
@@ -42,13 +47,28 @@ def chunk_count(documents: DataFrame, size: int = V.CHUNK_SIZE, overlap: int = V
     return documents.filter(F.col("text").rlike(r"\S")).agg(F.coalesce(F.sum(n), F.lit(0)).alias("n"))
 
 
+def _record_fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(analysis_id, doc_id, p) per record that is not blank: its fields, without the brackets around them."""
+    for whole in batches:
+        for k in range(0, whole.num_rows, 1024):
+            batch = whole.slice(k, 1024)
+            lists = pc.split_pattern(batch.column("records"), V.RECORD_DELIMITER)
+            of = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            records = pc.utf8_trim(lists.flatten(), " ")
+            some = pc.not_equal(records, "")
+            of = pa.array(of).filter(some)
+            records = pc.replace_substring_regex(pc.replace_substring_regex(records.filter(some), r"^\(", "", max_replacements=1),
+                                                 _CLOSED, r"\1")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("analysis_id").take(of), batch.column("doc_id").take(of), pc.split_pattern(records, V.TUPLE_DELIMITER)],
+                ["analysis_id", "doc_id", "p"])
+
+
 def parse_records(texts: DataFrame) -> DataFrame:
     """Rows of record texts (analysis_id, doc_id, records): kind is entity, relationship or malformed."""
-    # cut and split inside the generator: a filter on its output cannot repeat the splitting
-    body = F.substring_index("records", V.END_MARK, 1)
-    records = F.filter(F.transform(F.split(body, re.escape(V.RECORD_DELIMITER), -1), lambda r: F.trim(r)), lambda r: r != "")
-    fields = F.transform(records, lambda r: F.split(F.regexp_replace(r, r"^\(|\)$", ""), re.escape(V.TUPLE_DELIMITER), -1))
-    parts = texts.select("analysis_id", "doc_id", F.explode(fields).alias("p"))
+    kinds = {f.name: f.dataType.simpleString() for f in texts.schema.fields}
+    parts = (texts.select("analysis_id", "doc_id", F.substring_index("records", V.END_MARK, 1).alias("records"))
+             .mapInArrow(_record_fields, f"analysis_id {kinds['analysis_id']}, doc_id {kinds['doc_id']}, p array<string>"))
     tag, n = F.trim(F.get("p", 0)), F.size("p")
     strength = F.trim(F.get("p", 4)).try_cast("double")
     is_entity = (tag == '"entity"') & (n == 4)
@@ -100,7 +120,7 @@ def _relation_map(index: int, kind: str) -> Column:
 
 
 def vocabulary_violations(parsed: DataFrame) -> DataFrame:
-    """One row per violation (analysis_id, doc_id, violation, subject) in parsed records.
+    """One row per violation (analysis_id, doc_id, violation, subject) in parsed records, which are parsed once.
 
     Types and strength ranges are literal maps in the expression, so one pass finds what can
     be wrong with each record. An end point is in order if the graph holds an entity of that
@@ -116,6 +136,9 @@ def vocabulary_violations(parsed: DataFrame) -> DataFrame:
     rows = parsed.filter(is_relation | is_entity).select(
         "analysis_id", "doc_id", "kind", "strength", _name(1).alias("source"), _name(2).alias("target"),
         F.when(is_relation, relation_type(F.trim(F.get("p", 3)))).otherwise(F.trim(F.get("p", 2))).alias("type"))
+    path = scratch_path(parsed.sparkSession, "records")
+    rows.write.parquet(path)
+    rows = parsed.sparkSession.read.schema(rows.schema).parquet(path)
     # what the vocabulary says of the type is looked up once, before it is used several times
     said = rows.withColumns({name: F.when(is_relation, _relation_map(i, t)[kind]) for name, i, t in (
         ("source_type", 1, "string"), ("target_type", 2, "string"), ("low", 3, "double"), ("high", 4, "double"))})
@@ -126,8 +149,7 @@ def vocabulary_violations(parsed: DataFrame) -> DataFrame:
         candidate((strength < F.col("low")) | (strength > F.col("high")), "strength", edge, none, none),
         candidate(F.col("source_type").isNotNull(), "source type", edge, source, F.col("source_type")),
         candidate(F.col("target_type").isNotNull(), "target type", edge, target, F.col("target_type"))))
-    known = parsed.filter(is_entity).select(
-        "analysis_id", _name(1).alias("end"), F.trim(F.get("p", 2)).alias("end_type")).distinct()
+    known = rows.filter(is_entity).select("analysis_id", F.col("source").alias("end"), F.col("type").alias("end_type")).distinct()
     return (said.select("analysis_id", "doc_id", F.explode(candidates).alias("c")).select("analysis_id", "doc_id", "c.*")
             .join(known, ["analysis_id", "end", "end_type"], "left_anti")
             .select("analysis_id", "doc_id", "violation", "subject"))

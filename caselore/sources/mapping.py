@@ -364,32 +364,34 @@ def extraction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record texts as an extractor writes them, one text per analysis and case."""
     d = F.lit(V.TUPLE_DELIMITER)
     case_id = F.concat(F.lit("SR"), F.col("l_orderkey").cast("string"))
-    supplier = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
 
     def entity(name: Column, kind: Column, about: Column) -> Column:
         return F.concat(F.lit('("entity"'), d, name, d, kind, d, about, F.lit(")"))
 
-    lost = (F.col("l_orderkey") + F.col("l_linenumber")) % 10 == 0
-    relation = F.when(F.col("l_linenumber") == 6, "CAUSES").otherwise("TRIGGERS")
-    source = F.when(F.col("l_linenumber") == 4, F.col("problem")).otherwise(supplier)
-    head = F.concat(F.lit('("relationship"'), d, source, d, F.lower("failure_mode"), d,
-                    relation, F.lit(": cause of the mode"))
-    strength = (1 + (F.col("l_linenumber") + F.col("l_suppkey")) % 11).cast("string")
-    text = F.concat_ws(
-        V.RECORD_DELIMITER,
-        entity(F.lower("problem"), F.when(F.col("l_linenumber") == 7, "WIDGET").otherwise("CASE_PROBLEM"),
-               F.concat(F.lit("CASE_SOURCE problem in "), case_id)),
-        entity(F.col("failure_mode"), F.lit("FAILURE_MODE"), F.lit("CASE_SOURCE mode")),
-        entity(supplier, F.lit("FAILURE_CAUSE"), F.lit("no marker")),
-        F.when(lost, F.concat(head, F.lit(")"))).otherwise(F.concat(head, d, strength, F.lit(")"))),
-    )
+    def text(line: Column) -> Column:
+        number, mode, problem_ = line["l_linenumber"], line["failure_mode"], line["problem"]
+        supplier = F.concat(F.lit("s"), line["l_suppkey"].cast("string"))
+        lost = (F.col("l_orderkey") + number) % 10 == 0
+        relation = F.when(number == 6, "CAUSES").otherwise("TRIGGERS")
+        source = F.when(number == 4, problem_).otherwise(supplier)
+        head = F.concat(F.lit('("relationship"'), d, source, d, F.lower(mode), d, relation, F.lit(": cause of the mode"))
+        strength = (1 + (number + line["l_suppkey"]) % 11).cast("string")
+        return F.concat_ws(
+            V.RECORD_DELIMITER,
+            entity(F.lower(problem_), F.when(number == 7, "WIDGET").otherwise("CASE_PROBLEM"),
+                   F.concat(F.lit("CASE_SOURCE problem in "), case_id)),
+            entity(mode, F.lit("FAILURE_MODE"), F.lit("CASE_SOURCE mode")),
+            entity(supplier, F.lit("FAILURE_CAUSE"), F.lit("no marker")),
+            F.when(lost, F.concat(head, F.lit(")"))).otherwise(F.concat(head, d, strength, F.lit(")"))))
+
+    # lines are gathered as keys and names; their texts, many times as long, are made after the shuffle
+    lines = F.transform("lines", lambda x: F.struct(x["l_linenumber"].alias("l_linenumber"), text(x).alias("text")))
     return (
         lines_with_parts(spark, sf_dir)
-        .select("analysis_id", case_id.alias("doc_id"), "l_linenumber", text.alias("text"))
-        .groupBy("analysis_id", "doc_id")
-        .agg(F.concat(
-            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "text"))),
-                                     lambda x: x["text"]), V.RECORD_DELIMITER),
+        .groupBy("analysis_id", "l_orderkey")
+        .agg(F.collect_list(F.struct("l_linenumber", "l_suppkey", "problem", "failure_mode")).alias("lines"))
+        .select("analysis_id", case_id.alias("doc_id"), F.concat(
+            F.array_join(F.transform(F.sort_array(lines), lambda x: x["text"]), V.RECORD_DELIMITER),
             F.lit(V.END_MARK + " trailing words")).alias("records")))
 
 

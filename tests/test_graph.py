@@ -256,6 +256,27 @@ def test_names_without_partners_and_pairs_in_both_orders(spark):
                             ("X", "c", 1, None), ("X", None, 1, None)], key=repr)
 
 
+def test_records_are_parsed_once_for_the_vocabulary(spark):
+    """The check reads its records from one pass, and odd brackets, blanks and breaks are split as before."""
+    d = V.TUPLE_DELIMITER
+    texts = [f'("entity"{d}a{d}X{d}b)', "()", " ", ")", "((x))", f'("entity"{d}a{d}X{d}b)\n', f'("relationship"{d}a{d}b{d}c{d}1)', ""]
+    rows = [("A", "1", V.RECORD_DELIMITER.join(texts) + V.END_MARK + "(rest)"), ("A", "2", None), ("A", "3", "")]
+    passes = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            passes.add(batch.num_rows)
+            yield batch
+
+    given = spark.createDataFrame(rows, "analysis_id string, doc_id string, records string").repartition(1)
+    parsed = gr.parse_records(given.mapInArrow(counted, given.schema))
+    assert [r["p"] for r in parsed.collect()] == [
+        ['"entity"', "a", "X", "b"], [""], [""], ["(x)"], ['"entity"', "a", "X", "b\n"], ['"relationship"', "a", "b", "c", "1"]]
+    passes.value = 0
+    assert gr.vocabulary_violations(parsed).count() > 0
+    assert passes.value == len(rows)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_merged_components_are_those_of_all_edges(spark, seed):
     """New edges inside, between and beside stored components, some known before, loops and new nodes; the stored rows decide alone."""
