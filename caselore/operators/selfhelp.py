@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselore.functions.text import appended_text, content_hash, has_text, stamp, title_from_file, trim_end
+from caselore.session import scratch_path
 
 KEY = ["product_id", "file_name"]
 
@@ -68,8 +69,15 @@ def selfhelp_sections(diff: DataFrame) -> DataFrame:
 
 
 def tracking_after(diff: DataFrame, tracking: DataFrame, now: Column) -> DataFrame:
-    """Tracking rows after a run; they are replaced only where some file had new text."""
-    renewed = diff.filter(F.col("status") != "unchanged").select("product_id").distinct()
+    """Tracking rows after a run; they are replaced only where some file had new text.
+
+    The compared files are stored once, without the texts they were compared to. The products with new text, a short row each,
+    are sent to the texts, which are never dealt by product.
+    """
+    spark, path = diff.sparkSession, scratch_path(diff.sparkSession, "compared")
+    diff.select(*KEY, "status", "content", "last_processed").write.parquet(path)
+    diff = spark.read.schema(diff.select(*KEY, "status", "content", "last_processed").schema).parquet(path)
+    renewed = F.broadcast(diff.filter(F.col("status") != "unchanged").select("product_id").distinct())
     last = F.when(F.col("status") == "unchanged", F.col("last_processed")).otherwise(now)
     fresh = diff.join(renewed, "product_id", "left_semi").select(
         *KEY, F.col("content").alias("processed_content"), last.alias("last_processed"),
