@@ -28,6 +28,7 @@ from pyspark.sql.window import Window
 from caselore.session import scratch_path
 
 SAMPLE_ROWS, MAX_CELLS, BLOCK_ROWS, QUERY_ROWS = 20_000, 4096, 2048, 256
+OUT_ROWS = 1 << 14  # rows with a vector that leave a task together
 _ROUND = 1e-6  # what rounding can add to a score
 
 
@@ -75,8 +76,9 @@ def build_index(vectors: DataFrame, cells: int | None = None, sample_rows: int =
     centres = fit_centres(rows, min(MAX_CELLS, cells or max(1, int(np.sqrt(n))))) if len(rows) else np.zeros((0, 1))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for k in range(0, whole.num_rows, QUERY_ROWS):
+                batch = whole.slice(k, QUERY_ROWS)
                 near = _matrix(batch.column("vector")) @ centres.T
                 at = np.argmax(near, axis=1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32)), pa.array(near[np.arange(len(at)), at])],
@@ -116,11 +118,13 @@ def _cells_of(index: VectorIndex, queries: DataFrame, probes: int, rest: bool) -
                 if rest:
                     threshold = batch.column("threshold").to_numpy(zero_copy_only=False)[:, None]
                     wanted = ~wanted & (np.cos(np.maximum(angle - np.arccos(np.clip(low, -1, 1)), 0)) + _ROUND >= threshold)
-                row, cell = np.nonzero(wanted)
-                known = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("query_id").take(known), batch.column("vector").take(known), batch.column("threshold").take(known),
-                     pa.array(cell.astype(np.int32)), pa.array(angle[row, cell])], ["query_id", "vector", "threshold", "cell", "angle"])
+                rows, cells = np.nonzero(wanted)
+                for low_ in range(0, len(rows), OUT_ROWS):
+                    row, cell = rows[low_:low_ + OUT_ROWS], cells[low_:low_ + OUT_ROWS]
+                    known = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("query_id").take(known), batch.column("vector").take(known), batch.column("threshold").take(known),
+                         pa.array(cell.astype(np.int32)), pa.array(angle[row, cell])], ["query_id", "vector", "threshold", "cell", "angle"])
 
     kinds = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
     return queries.select("query_id", "vector", "threshold").mapInArrow(

@@ -714,8 +714,11 @@ def callback_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def nested_results(spark: SparkSession, d: str) -> DataFrame:
-    gaps, risks, recs = _report_inputs(spark, d)
-    modes, edges, mentioned = modes_of(spark, d), mp.relations(spark, d), mp.entity_mentions(spark, d)
+    # what several parts of the result are made of is parsed once
+    gaps, modes = _kept(gaps_of(spark, d), "gaps"), _kept(modes_of(spark, d), "modes")
+    risks = _kept(ans.high_risk(modes), "risks")
+    recs = _kept(ans.recommendations(gaps, risks), "recommendations")
+    edges, mentioned = mp.relations(spark, d), mp.entity_mentions(spark, d)
     return rep.analysis_result(
         summary(spark, d, gaps, risks, recs), gaps, modes, risks,
         ans.parse_prevention(mp.fmea_answers(spark, d)), recs, metrics(spark, d, communities=True),
