@@ -301,7 +301,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     out = joined.mapInArrow(step, schema)
     if not extend:
         return out.select(F.col("doc").alias(id_col), "n_words", "n_removed", "kept_sha256", *["kept"] * with_kept)
-    out = _stored(out, "levels")
+    # a folder per level: each level of the doubling reads its own rows only
+    path = scratch_path(docs.sparkSession, "levels")
+    out.write.partitionBy("level").parquet(path)
+    out = docs.sparkSession.read.schema(out.schema).parquet(path)
     longest = (_extend(out.filter("level > 0").select("doc", "mark", "level", "at", "name"), window)
                .unionByName(spans.select("doc", "mark", F.lit(window).cast("long").alias("longest")))
                .groupBy("doc", "mark").agg(F.max("longest").alias("longest")).withColumnsRenamed({"doc": "doc_", "mark": "mark_"}))
@@ -317,7 +320,7 @@ def _extend(rows: DataFrame, window: int) -> DataFrame:
     while True:
         now = rows.filter(F.col("level") == level)
         if alive is not None:
-            now = now.join(alive, ["doc", "mark", "at"], "left_semi")
+            now = _stored(now.join(alive, ["doc", "mark", "at"], "left_semi"), "now")
         several = (now.groupBy("name").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter(F.col("lo") < F.col("hi")))
         alive = _stored(now.join(several.select("name"), "name", "left_semi").select("doc", "mark", "at").distinct(), "alive")
         found.append(alive.select("doc", "mark", F.lit(window << level).cast("long").alias("longest")).distinct())
