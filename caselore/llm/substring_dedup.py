@@ -1,6 +1,6 @@
 """Substring dedup by level-wise doubling: word windows repeated at one length alone are extended to twice that length.
 
-Names. The name of a word is a 64-bit half of its XXH3-128; the name of a window is a mix, not linear, of the names of two
+Names. A word has two names of 64 bits: mixes of its bytes, or the halves of its XXH3-128 if it has more than 16; the name of a window is a mix, not linear, of the names of two
 shorter windows that cover it, so lengths go 1, 2, 4, 7, 13 and on to 26, 52, ... and every step costs one operation per word.
 
 Level 7 (half the window, rounded up). Of the seeds in a window of 13 words the one with the least name is its anchor;
@@ -38,13 +38,11 @@ from pyspark.sql import functions as F
 
 from caselore.llm.blocks import SPACED, Block, blocks, mixed, word_of_text, words
 from caselore.llm.columns import pick
-from caselore.session import scratch_path
+from caselore.session import freed_shuffles, scratch_path
 
 WINDOW = 13
 #: The bit set of repeated anchors has 16 bits for each and never more than this (32 MB).
 MAX_BITS = 1 << 28
-#: So many words of a text are hashed at a time.
-_WORDS = 1 << 16
 
 
 def _lengths(window: int) -> list[int]:
@@ -55,8 +53,14 @@ def _lengths(window: int) -> list[int]:
     return out
 
 
-def _paired(left: np.ndarray, right: np.ndarray, salt: int) -> np.ndarray:
-    return mixed(mixed(left + np.uint64(salt)) + right * np.uint64(0x9E3779B97F4A7C15))
+def _paired(left: np.ndarray, right: np.ndarray, salt: int | np.ndarray) -> np.ndarray:
+    return mixed(mixed(left + np.asarray(salt, np.uint64)) + right * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _leading(eights: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The first so many of 8 bytes (at most all) as a number, the others as zeros."""
+    unused = np.uint64(8) * (8 - np.clip(sizes, 1, 8)).astype(np.uint64)
+    return np.where(sizes > 0, eights.view("<u8").ravel() & (np.uint64(0xFFFFFFFFFFFFFFFF) >> unused), np.uint64(0))
 
 
 def extended(names: np.ndarray, have: int, want: int) -> np.ndarray:
@@ -70,10 +74,15 @@ def extended(names: np.ndarray, have: int, want: int) -> np.ndarray:
 def word_names(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first word of each text and one more, two names of every word)."""
     starts, ends, first = words(block, SPACED)
-    raw, digest = block.data.tobytes(), xxhash.xxh3_128_digest
-    joined = b"".join([digest(raw[i:j]) for i, j in zip(starts.tolist(), ends.tolist(), strict=True)])
-    halves = np.frombuffer(joined, np.uint64).reshape(-1, 2)
-    return starts, ends, first, halves[:, 0].copy(), halves[:, 1].copy()
+    sizes = ends - starts
+    padded = np.concatenate([block.data, np.zeros(16, np.uint8)])
+    eights = np.lib.stride_tricks.as_strided(padded[:-7].view(), (len(padded) - 7, 8), (1, 1))
+    low, high = (_leading(eights[starts + 8 * k], sizes - 8 * k) for k in (0, 1))
+    salt = sizes.astype(np.uint64)
+    a, b = _paired(low, high, salt), _paired(high, low, ~salt)
+    for k in np.flatnonzero(sizes > 16).tolist():
+        a[k], b[k] = np.frombuffer(xxhash.xxh3_128_digest(block.data[starts[k]:ends[k]].tobytes()), np.uint64)
+    return starts, ends, first, a, b
 
 
 def anchors(names: np.ndarray, width: int) -> np.ndarray:
@@ -120,9 +129,10 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
-    """Written to the shared folder and read again: cuts the lineage, survives lost executors."""
+    """Written to the shared folder and read again: cuts the lineage, survives lost executors, needs no shuffle files any more."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -188,24 +198,28 @@ def repeated_windows(texts: DataFrame, window: int) -> DataFrame:
     """(doc, mark, low, end, late): ranges of words of windows that documents of different ids have; they overlap."""
     spark = texts.sparkSession
     digits = _stored(_anchor_ids(texts, window), "anchors")
-    runs = _stored(_candidate_runs(texts, window, bit_set(spark, digits)).withColumn("whole", F.xxhash64("back", "names")), "runs")
+    runs = _stored(_candidate_runs(texts, window, bit_set(spark, digits)), "runs").withColumn("whole", F.xxhash64("back", "names"))
     # Stored before the join, so that a hot digit can be split there.
     shared = _stored(runs.groupBy("digit").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.min("whole").alias("one"),
                                                F.max("whole").alias("other"))
                      .filter(F.col("lo") < F.col("hi")).select("digit", "lo", (F.col("one") == F.col("other")).alias("same")), "shared")
-    known = _stored(runs.join(shared, "digit"), "known")
-    last = F.col("low") + F.size("names") - 1 + window
+    # Anchor and names of a run are kept only as long as something is compared by them.
+    open_ = [F.when(~F.col("same"), F.col(k)).alias(k) for k in ("digit", "whole", "names")]
+    known = _stored(runs.join(shared, "digit").select("doc", "mark", "low", F.size("names").alias("n"), "lo", "same", *open_), "known")
+    last = F.col("low") + F.col("n") - 1 + window
     settled = known.filter("same").select(*_span(last, F.col("doc") > F.col("lo")))
     # Runs that share their anchor only: equal ones are settled together, by the least id that has them.
     mixed_ = known.filter(~F.col("same")).drop("lo", "same")
     classes = _stored(mixed_.groupBy("digit", "whole").agg(F.min("doc").alias("lo")), "classes")
-    mixed_ = _stored(mixed_.join(classes, ["digit", "whole"]), "mixed")
+    first = F.when(F.col("doc") == F.col("lo"), F.col("names")).alias("names")
+    mixed_ = _stored(mixed_.join(classes, ["digit", "whole"]).select("doc", "mark", "low", "n", "lo", "digit", "whole", first), "mixed")
     copies = mixed_.filter(F.col("doc") > F.col("lo")).select(*_span(last, F.lit(True)))
     single = (mixed_.filter(F.col("doc") == F.col("lo"))
               .select("doc", "mark", "low", "digit", F.posexplode("names").alias("k", "name"))
               .select("doc", "mark", (F.col("low") + F.col("k")).alias("low"), "digit", "name"))
     # The windows of one run per class and document; those of its copies count as well, as owners of a smaller or larger id.
-    several = mixed_.groupBy("digit", "whole").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.first("names").alias("names"))
+    several = mixed_.groupBy("digit", "whole").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"),
+                                                     F.first("names", ignorenulls=True).alias("names"))
     names = (several.select("digit", "lo", "hi", F.explode("names").alias("name")).groupBy("digit", "name")
              .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter(F.col("lo") < F.col("hi")))
     names = _stored(names, "names")
@@ -221,14 +235,19 @@ def _covered(first: np.ndarray, text: np.ndarray, low: np.ndarray, end: np.ndarr
     return np.cumsum(steps[:-1]) > 0
 
 
-def _kept_hash(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[str, bytes]:
-    """SHA-256 of the words joined by one space, and the words themselves, in pieces."""
-    hasher, pieces = hashlib.sha256(), []
-    for k in range(0, len(starts), _WORDS):
-        piece = b" ".join([raw[i:j] for i, j in zip(starts[k:k + _WORDS].tolist(), ends[k:k + _WORDS].tolist(), strict=True)])
-        pieces.append(b" " + piece if k else piece)
-        hasher.update(pieces[-1])
-    return hasher.hexdigest(), b"".join(pieces)
+def _kept_texts(block: Block, starts: np.ndarray, ends: np.ndarray, stay: np.ndarray) -> list[bytes]:
+    """The words that stay of each text, joined by one space."""
+    data = np.where(SPACED[block.data], block.data, np.uint8(0x20))
+    # A word goes with the byte after it, a space now, unless its text ends there.
+    inside = np.ones(len(data) + 1, np.int8)
+    inside[block.offsets] = 0
+    ends = ends[stay]
+    steps = np.zeros(len(data) + 1, np.int8)
+    steps[starts[stay]] = 1
+    steps[ends + inside[ends]] -= 1
+    flags = np.cumsum(steps[:-1], dtype=np.int8) > 0
+    kept, cuts = data[flags].tobytes(), np.concatenate([[0], np.cumsum(block.per_text(flags))]).tolist()
+    return [kept[i:j].removesuffix(b" ") for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _level_rows(block: Block, shared: np.ndarray, window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -261,29 +280,32 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     texts = _texts(docs, id_col, text_col)
     kind = texts.schema["doc"].dataType.simpleString()
     spans = repeated_windows(texts, window)
-    spans = _stored((spans if extend else spans.filter("late")).distinct(), "spans")
-    lists = (spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "end", "late")).alias("spans"))
+    # A span is one number: low, end and, in the last bit, late.
+    packed = F.expr("shiftleft(bigint(low), 32) + 2L * end + int(late)")
+    spans = _stored((spans if extend else spans.filter("late")).select("doc", "mark", packed.alias("span")), "spans")
+    lists = (spans.groupBy("doc", "mark").agg(F.collect_set("span").alias("spans"))
              .withColumnsRenamed({"doc": "doc_", "mark": "mark_"}))
-    schema = f"doc {kind}, mark long, level int, at int, name long, n_words long, n_removed long, kept_sha256 string, kept string"
+    schema = (f"doc {kind}, mark long, level int, at int, name long, n_words long, n_removed long, kept_sha256 string, kept string, "
+              "shares boolean")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "mark", "level", "at", "name", "n_words", "n_removed", "kept_sha256", "kept"]
+        names = ["doc", "mark", "level", "at", "name", "n_words", "n_removed", "kept_sha256", "kept", "shares"]
         for block in blocks(batches, "text"):
             starts, ends, first = words(block, SPACED)
             lists = block.rows.column("spans")
             text = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-            low, end, late = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+            span = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            low, end, late = span >> 32, (span & 0xFFFFFFFF) >> 1, span & 1 != 0
             gone = _covered(first, text[late], low[late], end[late])
-            raw, found = block.data.tobytes(), []
-            for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                stay = np.flatnonzero(~gone[i:j]) + i
-                digest, kept = _kept_hash(raw, starts[stay], ends[stay])
-                found.append((j - i, j - i - len(stay), digest, kept.decode("utf-8", "replace") if with_kept else None))
+            per_text, before = np.diff(first), np.concatenate([[0], np.cumsum(gone)])
+            found = [(n, m, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace") if with_kept else None, some > 0)
+                     for n, m, kept, some in zip(per_text.tolist(), np.diff(before[first]).tolist(), _kept_texts(block, starts, ends, ~gone),
+                                                 np.diff(lists.offsets.to_numpy()).tolist(), strict=True)]
             n = len(block)
             rows = [block.rows.column("doc"), block.rows.column("mark"), pa.array(np.zeros(n, np.int32)), pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.int64())]
             yield pa.RecordBatch.from_arrays(rows + [pa.array(x, t) for x, t in zip(
-                zip(*found, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names)
+                zip(*found, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()), strict=True)], names)
             some = np.unique(text)
             if not extend or not len(some):
                 continue
@@ -294,7 +316,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
                 yield pa.RecordBatch.from_arrays(
                     [block.rows.column("doc").take(known), block.rows.column("mark").take(known), pa.array(np.full(m, level, np.int32)),
                      pa.array(at.astype(np.int32)), pa.array(name.view(np.int64)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                     pa.nulls(m, pa.string()), pa.nulls(m, pa.string())], names)
+                     pa.nulls(m, pa.string()), pa.nulls(m, pa.string()), pa.nulls(m, pa.bool_())], names)
 
     joined = (texts.join(lists, texts["doc"].eqNullSafe(lists["doc_"]) & (texts["mark"] == lists["mark_"]), "left")
               .select("doc", "mark", "text", F.coalesce("spans", F.array().cast(lists.schema["spans"].dataType)).alias("spans")))
@@ -303,14 +325,15 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
         return out.select(F.col("doc").alias(id_col), "n_words", "n_removed", "kept_sha256", *["kept"] * with_kept)
     # a folder per level: each level of the doubling reads its own rows only
     path = scratch_path(docs.sparkSession, "levels")
-    out.write.partitionBy("level").parquet(path)
+    with freed_shuffles(docs.sparkSession):
+        out.write.partitionBy("level").parquet(path)
     out = docs.sparkSession.read.schema(out.schema).parquet(path)
     longest = (_extend(out.filter("level > 0").select("doc", "mark", "level", "at", "name"), window)
-               .unionByName(spans.select("doc", "mark", F.lit(window).cast("long").alias("longest")))
                .groupBy("doc", "mark").agg(F.max("longest").alias("longest")).withColumnsRenamed({"doc": "doc_", "mark": "mark_"}))
     rows = out.filter("level = 0")
     return (rows.join(longest, rows["doc"].eqNullSafe(longest["doc_"]) & (rows["mark"] == longest["mark_"]), "left")
-            .select(F.col("doc").alias(id_col), "n_words", "n_removed", "kept_sha256", F.coalesce("longest", F.lit(0)).alias("longest"),
+            .select(F.col("doc").alias(id_col), "n_words", "n_removed", "kept_sha256",
+                    F.coalesce("longest", F.when(F.col("shares"), F.lit(window)).otherwise(0).cast("long")).alias("longest"),
                     *["kept"] * with_kept))
 
 
@@ -321,9 +344,11 @@ def _extend(rows: DataFrame, window: int) -> DataFrame:
         now = rows.filter(F.col("level") == level)
         if alive is not None:
             now = _stored(now.join(alive, ["doc", "mark", "at"], "left_semi"), "now")
-        several = (now.groupBy("name").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter(F.col("lo") < F.col("hi")))
-        alive = _stored(now.join(several.select("name"), "name", "left_semi").select("doc", "mark", "at").distinct(), "alive")
-        found.append(alive.select("doc", "mark", F.lit(window << level).cast("long").alias("longest")).distinct())
+        # Stored before the join, so that a hot name can be split there.
+        several = _stored(now.groupBy("name").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                          .filter(F.col("lo") < F.col("hi")).select("name"), "several")
+        alive = _stored(now.join(several, "name", "left_semi").select("doc", "mark", "at"), "alive")
+        found.append(alive.select("doc", "mark", F.lit(window << level).cast("long").alias("longest")))
         if alive.isEmpty():
             return reduce(DataFrame.unionByName, found)
         level += 1

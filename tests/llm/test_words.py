@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import permutations
@@ -327,3 +328,45 @@ def test_the_query_goes_through_all_levels(spark, tmp_path, monkeypatch):
     found = queries.op12_substring_dedup(spark, str(tmp_path))
     assert sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in found.collect()) == [(1, 60, 0), (2, 60, 60), (3, 2, 0)]
     assert max(r["longest"] for r in seen[0].collect()) >= 26
+
+
+def test_names_of_long_and_odd_words():
+    """Words around 8 and 16 bytes, with zero bytes and at the ends of texts; equal words have equal names wherever they stand."""
+    import pyarrow as pa
+
+    shapes = ["a" * n for n in (1, 7, 8, 9, 15, 16, 17, 40)] + ["a\0", "a\0\0", "\0", "\0\0", "aaaaaaaa\0", "é" * 8, "é" * 9]
+    rows = [" ".join(shapes), *shapes, "\n".join(shapes[::-1]) + " "]
+    block = to_block(pa.array(rows))
+    starts, ends, _, *names = substring_dedup.word_names(block)
+    texts = [block.data[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
+    for one in names:
+        assert len(set(one.tolist())) == len(set(texts)) == len({*zip(one.tolist(), texts, strict=True)}) == len(shapes)
+
+
+@given(st.lists(st.text(alphabet="ab \n\té", max_size=12), min_size=1, max_size=6), st.randoms())
+@settings(max_examples=100, deadline=None)
+def test_kept_words_are_joined_by_one_space(rows, random):
+    import pyarrow as pa
+
+    block = to_block(pa.array(rows))
+    starts, ends, first, *_ = substring_dedup.word_names(block)
+    stay = np.array([random.random() < 0.6 for _ in starts], bool)
+    want = [b" ".join(block.data[starts[k]:ends[k]].tobytes() for k in range(i, j) if stay[k])
+            for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    assert substring_dedup._kept_texts(block, starts, ends, stay) == want
+
+
+def test_stored_steps_leave_no_shuffle_files(spark, docs):
+    """Disk: what a step was shuffled by goes when its rows are stored; the setting of the session stays as it was."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {name for name in files.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+    before, was = shuffles(), spark.conf.get(key)
+    substring_dedup._stored(docs.groupBy("source").agg(F.count("*").alias("n")), "counts")
+    until = time.monotonic() + 20  # files are deleted beside other work
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before and spark.conf.get(key) == was
