@@ -201,3 +201,26 @@ def test_cases_of_a_group_keep_their_own_versions(spark, tmp_path, monkeypatch):
                                                                       (None, "3", "again", 2)], key=repr)
     entries = spark.read.format("statestore").load(check)
     assert entries.count() == 1
+
+
+def test_files_of_a_group_keep_their_own_versions(spark, tmp_path, monkeypatch):
+    """Files that share a state entry are told apart, null keys included, and the state holds no text."""
+    monkeypatch.setattr(ingest, "FILE_GROUPS", 1, raising=False)
+    source, sections, tracking, check = (str(tmp_path / n) for n in ("in", "sections", "tracking", "check"))
+    early, late = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    texts = {name: f"\U0001f600 long text of {name} " * 200 for name in "abcd"}
+    first = [("P", n, t, early) for n, t in texts.items()] + [("Q", "a", "other product", early), (None, "a", "none", early)]
+    second = [("P", "a", texts["a"] + "é more", late), ("P", "b", texts["b"][:-3], late), ("P", "c", texts["c"], late),
+              ("P", "c", texts["c"] + "tail", dt.datetime(2024, 1, 3)), (None, "a", "none and more", late), ("Q", "a", "late", dt.datetime(2023, 1, 1))]
+    for rows in (first, second):
+        feed(spark, rows, ingest.FILES, source)
+        ingest.stream_selfhelp(spark, source, sections, tracking, check).awaitTermination()
+    got = {(r["product_id"], r["file_name"], r["status"], r["batch"]): r["section"] for r in ingest.read_sections(spark, sections).collect()}
+    assert {k for k in got if k[3] == 0} == {(p, n, "new", 0) for p, n, _, _ in first}
+    fresh = {("P", "a"): "é more", ("P", "b"): texts["b"][:-3], ("P", "c"): "tail"}
+    assert {k for k in got if k[3] == 1} == {(p, n, "incremental", 1) for p, n in [*fresh, (None, "a")]}
+    assert all(f"\n\n{text}\n\n" in got[p, n, "incremental", 1] for (p, n), text in fresh.items())
+    assert {(r["product_id"], r["file_name"], r["processed_content"]) for r in ingest.read_stream_tracking(spark, tracking).collect() if r["product_id"]} == {
+        ("P", "a", texts["a"] + "é more"), ("P", "b", texts["b"][:-3]), ("P", "c", texts["c"] + "tail"), ("P", "d", texts["d"]), ("Q", "a", "other product")}
+    entries = [str(r) for r in spark.read.format("statestore").load(check).collect()]
+    assert len(entries) == 1 and "long text" not in entries[0]
