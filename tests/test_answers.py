@@ -1,6 +1,7 @@
 """Answer parsing, ranking, recommendations, reports."""
 
 import json
+import re
 
 import pytest
 
@@ -121,6 +122,18 @@ def test_a_case_cited_twice_is_one_case(spark):
     assert (row["cited"], row["found"], row["confirmed"], row["severity_level"]) == (1, 1, False, "2")
 
 
+def test_cited_cases_are_dealt_by_case_alone(spark):
+    """Gaps that come twice, lists with nulls and no list; a row per cited case is dealt to its case, and not before that by gap too."""
+    gaps = spark.createDataFrame([("A", "g", ["1", None, "1"]), ("A", "g", ["1", "2"]), ("A", "h", None), ("B", "g", [None]), (None, "g", ["9"])],
+                                 "analysis_id string, gap_id string, related_cases array<string>")
+    cases = spark.createDataFrame([("1", "3"), ("2", None), (None, "1")], "case_id string, sr_severity string")
+    checked = ins.gap_case_check(gaps, cases)
+    assert {(r["analysis_id"], r["gap_id"]): (r["cited"], r["found"], r["severity_level"]) for r in checked.collect()} == {
+        ("A", "g"): (2, 2, ""), ("A", "h"): (0, 0, ""), ("B", "g"): (0, 0, ""), (None, "g"): (1, 0, "")}
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(analysis_id#\d+, gap_id#\d+, case_id#\d+", plan)
+
+
 def test_ratings_too_large_to_multiply(spark):
     payload = {"failureModes": [{"severityRating": 2000, "occurrenceFrequency": 2000, "detectabilityRating": 2000}, {}]}
     found = answer(spark, payload, {"failureModes": [{}]})

@@ -11,7 +11,9 @@ from caselore import session
 from caselore.operators import changes as ch
 from caselore.operators import reports as rep
 from caselore.operators import selfhelp as sh
+from caselore.plans import queries as Q
 from caselore.sources import files as fs
+from caselore.sources import mapping as mp
 from caselore.streaming import ingest
 
 
@@ -63,6 +65,19 @@ def test_latest_run(spark, tmp_path):
     assert {r["note"] for r in rows.collect()} == {"P1 in analysis_result_2", "P2 in analysis_result_1"}
 
 
+def test_results_are_packed(spark, tmp_path):
+    """Results are packed JSON lines, and read back as they were by both readers."""
+    path, rows = tmp_path / "results", [("P1", "é" * 5000, [1, 2]), ("P2", "", [])]
+    frame = spark.createDataFrame(rows, "product_id string, note string, places array<int>")
+    fs.write_results(frame, str(path), "analysis_result_1")
+    files = [p for p in path.rglob("part-*") if p.is_file()]
+    assert len(files) >= 2 and all(p.name.endswith(".json.gz") for p in files) and sum(p.stat().st_size for p in files) < 2000
+    plain = fs.read_results(spark, str(path), "note string, places array<int>, product_id string, run string")
+    assert {(r["product_id"], r["note"], tuple(r["places"])) for r in plain.collect()} == {(p, n, tuple(x)) for p, n, x in rows}
+    read = fs.read_result_variants(spark, str(path)).select("product_id", F.variant_get("result", "$.note", "string").alias("note"))
+    assert {tuple(r) for r in read.collect()} == {(p, n) for p, n, _ in rows}
+
+
 def test_written_report_reads_in_order(spark, tmp_path):
     rows = [("A", "r", s, -i, 1, 0, n, f"{s}-{i}-{n}") for s, i, n in itertools.product(range(2), range(40), range(3))]
     lines = spark.createDataFrame(rows, "analysis_id string, report string, section_no int, rank_key long, query_no int,"
@@ -80,6 +95,37 @@ def test_shared_dir_follows_the_session_setting(spark):
     assert session.scratch_path(spark, "x").startswith(first) and session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
 
 
+@pytest.fixture
+def small_tables(spark, monkeypatch):
+    """Tables of 80 parts, 60 orders and 240 lines in place of stored ones; counts how often lines are joined to their parts."""
+    day = dt.datetime(1998, 1, 1)
+    rows = {
+        "region": [(i, f"R{i}") for i in range(5)], "nation": [(i, f"N{i}", i % 5) for i in range(10)],
+        "customer": [(i, f"c{i}", i % 10, 9500.0 if i % 3 else 1.0, "AUTO") for i in range(20)],
+        "orders": [(i, i % 20, "FOP"[i % 3], 1000.0 * i, day, f"{i % 5 + 1}-X") for i in range(60)],
+        "lineitem": [(i % 60, i % 80, i % 7, i // 60 + 1, 1.0, 2.0, 0.0, 0.0, "RNA"[i % 3], "OF"[i % 2], day) for i in range(240)],
+        "part": [(i, f"part {i}", f"Brand#{i % 9}", ["PROMO", "SMALL", "LARGE", "ECO"][i % 4], i % 50, 1.0) for i in range(80)],
+        "conversations": [(i, t, "user" if t % 2 else "assistant", f"t{t}") for i in range(20) for t in range(2)]}
+    joined = []
+    monkeypatch.setattr(mp, "table", lambda spark, d, name: spark.createDataFrame(rows[name], mp.SCHEMAS[name]))
+    lines = mp.lines_with_parts
+    monkeypatch.setattr(mp, "lines_with_parts", lambda *args: joined.append(1) or lines(*args))
+    return joined
+
+
+def test_results_join_lines_to_parts_once(spark, small_tables):
+    """The stored inputs give the results of each part made on its own."""
+    read = {r["analysis_id"]: r for r in Q.sink_result_json(spark, "").collect()}
+    assert len(small_tables) == 1 and sorted(read) == ["A0", "A1"]
+    alone = {r["analysis_id"]: r for r in Q.metrics(spark, "", communities=True).collect()}
+    gaps, risks, recs = Q._report_inputs(spark, "")
+    counts = {r["analysis_id"]: r for r in Q.summary(spark, "", gaps, risks, recs).collect()}
+    for a, r in read.items():
+        assert (r["n_communities"], r["minutes"], r["n_cases"], r["coverage_score"]) == (
+            alone[a]["n_communities"], alone[a]["minutes"], counts[a]["n_cases"], counts[a]["coverage_score"])
+        assert r["n_cases"] > 0 and r["gaps"] and r["modes"]
+
+
 # --- streams --------------------------------------------------------------------------------
 
 def feed(spark, rows, schema, folder):
