@@ -126,6 +126,17 @@ def test_results_join_lines_to_parts_once(spark, small_tables):
         assert r["n_cases"] > 0 and r["gaps"] and r["modes"]
 
 
+def test_reports_join_lines_to_parts_once(spark, small_tables):
+    """The reports from stored inputs are the five reports made on their own, each line at its place."""
+    got = {(r["analysis_id"], r["report"], r["line_no"]): r["text"] for r in Q.sink_reports(spark, "").collect()}
+    assert len(small_tables) == 1
+    want = {}
+    for name in ("executive", "gaps", "fmea", "recommendations", "detail"):
+        for r in Q.QUERIES[f"report_{name}"](spark, "").collect():
+            want.setdefault((r["analysis_id"], r["report"]), []).append((*[r[c] if r[c] is not None else -10**9 for c in rep.ORDER[:-1]], r["text"]))
+    assert len(want) == 10 and got == {(*key, n): row[-1] for key, rows in want.items() for n, row in enumerate(sorted(rows), 1)}
+
+
 # --- streams --------------------------------------------------------------------------------
 
 def feed(spark, rows, schema, folder):
